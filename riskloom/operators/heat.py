@@ -58,17 +58,24 @@ class Split:
     hot: DataFrame | None
     heat: Heat
 
-    def lookup(self, other: DataFrame, how: str) -> Split:
+    def lookup(self, other: DataFrame, how: str, null_safe: bool = False) -> Split:
         """Join on customer_id with a table of at most one row per customer.
 
         The hot side meets fewer than ``max_keys`` such rows, so broadcasting
-        them is bounded and keeps the hot rows where they are.
+        them is bounded and keeps the hot rows where they are. ``null_safe``
+        lets rows without a customer find each other.
         """
-        ordinary = self.ordinary.join(other, "customer_id", how)
-        if self.hot is None:
-            return Split(ordinary, None, self.heat)
-        few = F.broadcast(_only_hot(other, self.heat, "left_semi"))
-        return Split(ordinary, self.hot.join(few, "customer_id", how), self.heat)
+
+        def joined(rows: DataFrame, found: DataFrame) -> DataFrame:
+            if not null_safe:
+                return rows.join(found, "customer_id", how)
+            found = found.withColumnRenamed("customer_id", "_found")
+            return rows.join(found, F.col("customer_id").eqNullSafe(F.col("_found")), how).drop("_found")
+
+        return self.map(
+            lambda rows: joined(rows, other),
+            lambda rows: joined(rows, F.broadcast(_only_hot(other, self.heat, "left_semi"))),
+        )
 
     def where(self, condition) -> Split:
         return self.map(lambda rows: rows.where(condition), lambda rows: rows.where(condition))

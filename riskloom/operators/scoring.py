@@ -15,7 +15,7 @@ from riskloom.operators.history import SCORE_BURSTS, attach_history
 from riskloom.params import RiskParams
 from riskloom.schemas import MART_COLUMNS
 
-_PROFILE = {
+PROFILE_COLUMNS = {
     "avg_amount": "baseline_avg",
     "stddev_amount": "baseline_std",
     "p99_amount": "p99_amount",
@@ -33,7 +33,7 @@ def enrich_with_baseline(txns: DataFrame, baseline: DataFrame, heat: Heat | None
 
 
 def _enrich(split: Split, baseline: DataFrame) -> Split:
-    wanted = baseline.select("customer_id", *[F.col(old).alias(new) for old, new in _PROFILE.items()])
+    wanted = baseline.select("customer_id", *[F.col(old).alias(new) for old, new in PROFILE_COLUMNS.items()])
     return split.lookup(wanted, "left")
 
 

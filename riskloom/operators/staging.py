@@ -12,12 +12,16 @@ def stage_transactions(raw: DataFrame, strict: bool = True) -> DataFrame:
     """Cast, trim and rename raw transactions; rows without an id are dropped.
 
     ``strict`` keeps the ANSI behaviour: an unreadable timestamp ends the job.
-    Otherwise it becomes NULL, to be caught by the quality checks.
+    Otherwise it becomes NULL, to be caught by the quality checks. If the raw
+    table carries its ``event_date`` layout column, that is the transaction date
+    and day filters reach the files.
     """
 
     def cast(name: str, kind: str):
         return F.col(name).cast(kind) if strict else F.col(name).try_cast(kind)
 
+    laid_out = "event_date" in raw.columns
+    day = F.col("event_date") if laid_out else cast("transaction_timestamp", "date")
     return raw.where(F.col("transaction_id").isNotNull()).select(
         "transaction_id",
         "customer_id",
@@ -26,7 +30,7 @@ def stage_transactions(raw: DataFrame, strict: bool = True) -> DataFrame:
         F.trim("merchant_name").alias("merchant_name"),
         F.lower(F.trim("merchant_category")).alias("merchant_category"),
         cast("transaction_timestamp", "timestamp_ntz").alias("transaction_timestamp"),
-        cast("transaction_timestamp", "date").alias("transaction_date"),
+        day.alias("transaction_date"),
         F.upper(F.trim("country")).alias("country"),
         F.trim("city").alias("city"),
         F.col("latitude").cast("double").alias("latitude"),
@@ -63,8 +67,3 @@ def newer_than(txns: DataFrame, high_water: dt.datetime | None) -> DataFrame:
     if high_water is None:
         return txns
     return txns.where(F.col("transaction_timestamp") > F.lit(str(high_water)).cast("timestamp_ntz"))
-
-
-def not_yet_scored(txns: DataFrame, scored: DataFrame) -> DataFrame:
-    """Rows whose id is absent from the scored table, however late they came."""
-    return txns.join(scored.select("transaction_id"), "transaction_id", "left_anti")

@@ -24,8 +24,9 @@ MESSAGE_SCHEMA = T.StructType(
     ]
 )
 
+# Stored fields are all nullable: decoding does not enforce the above.
 RAW_SCHEMA = T.StructType(
-    MESSAGE_SCHEMA.fields
+    [T.StructField(f.name, f.dataType) for f in MESSAGE_SCHEMA]
     + [
         T.StructField("kafka_timestamp", T.TimestampNTZType()),
         T.StructField("ingested_at", T.TimestampNTZType()),
@@ -96,3 +97,26 @@ MART_COLUMNS = (
     "actual_fraud_type",
     "scored_at",
 )
+
+_MART_TYPES = {
+    "transaction_date": T.DateType(),
+    "transaction_timestamp": T.TimestampNTZType(),
+    "amount": T.DecimalType(18, 2),
+    "amount_score": T.IntegerType(),
+    "velocity_score": T.IntegerType(),
+    "geo_score": T.IntegerType(),
+    "device_score": T.IntegerType(),
+    "temporal_score": T.IntegerType(),
+    "total_score": T.IntegerType(),
+    "amount_zscore": T.DoubleType(),
+    "baseline_avg": T.DoubleType(),
+    "baseline_std": T.DoubleType(),
+    "distance_km": T.DoubleType(),
+    "travel_speed_kmh": T.DoubleType(),
+    "current_burst_5min": T.LongType(),
+    "historical_max_5min": T.LongType(),
+    "actual_fraud_flag": T.BooleanType(),
+    "scored_at": T.TimestampNTZType(),
+}
+
+MART_SCHEMA = T.StructType([T.StructField(c, _MART_TYPES.get(c, T.StringType())) for c in MART_COLUMNS])
