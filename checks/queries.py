@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from checks.fixture import AS_OF, RUN_TS, SECOND_AS_OF, SECOND_RUN_TS, raw_transactions, raw_with_origin
 from riskloom.operators import evaluation, history, monitoring, profile, quality, scoring, staging
+from riskloom.operators.heat import Heat, measure_heat
 from riskloom.params import RiskParams
 from riskloom.plans.cycle import Store, run_cycle
 from riskloom.plans.refresh import refresh_baseline, refresh_scores, unscored
@@ -41,13 +42,15 @@ def _window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.lookback(_staged(spark, sf_dir), AS_OF, P.baseline_lookback_days)
 
 
-def _baseline(txns: DataFrame) -> DataFrame:
-    return profile.customer_baseline(txns, AS_OF, RUN_TS)
+def _profiled(txns: DataFrame) -> tuple[DataFrame, Heat]:
+    heat = measure_heat(txns)
+    return profile.customer_baseline(txns, AS_OF, RUN_TS, heat=heat), heat
 
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     txns = _staged(spark, sf_dir)
-    return scoring.score_transactions(txns, _baseline(txns), RUN_TS)
+    baseline, heat = _profiled(txns)
+    return scoring.score_transactions(txns, baseline, RUN_TS, heat=heat)
 
 
 # -- staging and selection ---------------------------------------------------
@@ -153,7 +156,7 @@ def device_profile(spark, sf_dir):
 
 
 def customer_baseline(spark, sf_dir):
-    return _rounded(_baseline(_staged(spark, sf_dir)))
+    return _rounded(_profiled(_staged(spark, sf_dir))[0])
 
 
 # -- behaviour and scores ----------------------------------------------------
@@ -171,7 +174,8 @@ def previous_transaction(spark, sf_dir):
 
 def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     txns = _staged(spark, sf_dir)
-    return scoring.enrich_with_baseline(txns, _baseline(txns))
+    baseline, heat = _profiled(txns)
+    return scoring.enrich_with_baseline(txns, baseline, heat)
 
 
 def enrich_with_baseline(spark, sf_dir):
@@ -191,8 +195,9 @@ def amount_score(spark, sf_dir):
 
 def velocity_score(spark, sf_dir):
     txns = _staged(spark, sf_dir)
-    rows = history.burst_counts(txns, history.SCORE_BURSTS)
-    rows = scoring.add_velocity_score(scoring.enrich_with_baseline(rows, _baseline(txns)))
+    baseline, heat = _profiled(txns)
+    rows = history.burst_counts(txns, history.SCORE_BURSTS, heat)
+    rows = scoring.add_velocity_score(scoring.enrich_with_baseline(rows, baseline, heat))
     return rows.select("transaction_id", "current_burst_5min", "historical_max_5min", "velocity_score")
 
 
@@ -310,8 +315,9 @@ def dq_unique(spark, sf_dir):
 def _four_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     raw = _redelivered(spark, sf_dir)
     txns = staging.stage_transactions(raw)
-    baseline = written(_baseline(txns), "baseline")
-    scored = written(scoring.score_transactions(txns, baseline, RUN_TS), "mart")
+    baseline, heat = _profiled(txns)
+    baseline = written(baseline, "baseline")
+    scored = written(scoring.score_transactions(txns, baseline, RUN_TS, heat=heat), "mart")
     return {
         "raw_transactions": raw,
         "stg_transactions": txns,
@@ -365,7 +371,7 @@ def freshness_check(spark, sf_dir):
 
 def alert_route(spark, sf_dir):
     """The usual rules now and an hour later, and a lower bar for urgent alerts."""
-    scored = _scored(spark, sf_dir)
+    scored = written(_scored(spark, sf_dir).select("risk_level", "scored_at"), "levels")
     eager = replace(P, urgent_alert_above=2)
     routes = [
         monitoring.alert_route(scored, RUN_TS, P),
@@ -418,10 +424,8 @@ def stream_score(spark, sf_dir):
 
 def detection_metrics(spark, sf_dir):
     """Rates for two readings of "detected": not LOW, and any score at all."""
-    rows = _scored(spark, sf_dir)
-    strict = evaluation.detection_metrics(rows).withColumn("positive_rule", F.lit("not_low"))
-    loose = evaluation.detection_metrics(rows, F.col("total_score") > 0).withColumn("positive_rule", F.lit("any_score"))
-    return _rounded(strict.unionByName(loose))
+    rules = {"not_low": F.col("risk_level") != "LOW", "any_score": F.col("total_score") > 0}
+    return _rounded(evaluation.detection_metrics(_scored(spark, sf_dir), rules))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -36,18 +36,13 @@ def measure_heat(rows: DataFrame, policy: HotKeyPolicy | None = None) -> Heat:
     each of them owns more than ``1 / max_keys`` of the rows.
     """
     policy = policy or HotKeyPolicy()
-    total = rows.count()
-    limit = max(policy.min_rows, total // policy.max_keys)
-    if total <= limit:
+    counts = rows.groupBy("customer_id").agg(F.count("*").alias("n"))
+    total, largest = counts.agg(F.sum("n"), F.max("n")).first()
+    limit = max(policy.min_rows, (total or 0) // policy.max_keys)
+    if (largest or 0) <= limit:
         return Heat(policy)
-    hot = (
-        rows.groupBy("customer_id")
-        .agg(F.count("*").alias("n"))
-        .where(F.col("n") > limit)
-        .select(F.col("customer_id").alias(_HOT_ID))
-        .collect()
-    )
-    return Heat(policy, rows.sparkSession.createDataFrame(hot, _HOT_SCHEMA) if hot else None)
+    hot = counts.where(F.col("n") > limit).select(F.col("customer_id").alias(_HOT_ID)).collect()
+    return Heat(policy, rows.sparkSession.createDataFrame(hot, _HOT_SCHEMA))
 
 
 @dataclass(frozen=True)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from itertools import zip_longest
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions import rules
@@ -37,58 +38,92 @@ def _enrich(split: Split, baseline: DataFrame) -> Split:
     return split.lookup(wanted, "left")
 
 
+# Each part is a list of levels; a level may use the columns of the ones before.
+# Parts are merged level by level, so that all of them cost a few projections.
+
+
+def _amount(p: RiskParams) -> list[dict[str, Column]]:
+    amount, std, zscore = F.col("amount"), F.col("baseline_std"), F.col("amount_zscore")
+    return [
+        {"amount_zscore": rules.amount_zscore(amount, F.col("baseline_avg"), std)},
+        {"amount_score": rules.amount_score(amount, zscore, std, F.col("p99_amount"), p)},
+    ]
+
+
+def _velocity(p: RiskParams) -> list[dict[str, Column]]:
+    return [{"velocity_score": rules.velocity_score(F.col("current_burst_5min"), F.col("historical_max_5min"), p)}]
+
+
+def _travel(p: RiskParams) -> list[dict[str, Column]]:
+    minutes = F.col("minutes_elapsed")
+    return [
+        {
+            "distance_km": haversine_km(F.col("prev_lat"), F.col("prev_lon"), F.col("latitude"), F.col("longitude")),
+            "minutes_elapsed": minutes_between(F.col("prev_ts"), F.col("transaction_timestamp")),
+        },
+        {
+            "hours_elapsed": minutes / F.lit(60.0),
+            "_speed": rules.speed_kmh(F.col("distance_km"), minutes),
+        },
+        {"travel_speed_kmh": rules.travel_speed(F.col("_speed"))},
+    ]
+
+
+def _geo(p: RiskParams) -> list[dict[str, Column]]:
+    minutes, here, before = F.col("minutes_elapsed"), F.col("country"), F.col("prev_country")
+    return [{}, {}, {"geo_score": rules.geo_score(F.col("_speed"), minutes, here, before, p)}]
+
+
+def _device(p: RiskParams) -> list[dict[str, Column]]:
+    known, count = F.col("primary_device"), F.col("device_count_90d")
+    return [{"device_score": rules.device_score(F.col("device_id"), known, count, p)}]
+
+
+def _temporal(p: RiskParams) -> list[dict[str, Column]]:
+    return [{"temporal_score": rules.temporal_score(F.col("transaction_timestamp"), F.col("late_night_rate"), p)}]
+
+
+def _verdict(p: RiskParams) -> list[dict[str, Column]]:
+    total = F.col("total_score")
+    parts = ("amount_score", "velocity_score", "geo_score", "device_score", "temporal_score")
+    return [
+        {},
+        {},
+        {},
+        {"total_score": sum((F.col(part) for part in parts[1:]), F.col(parts[0]))},
+        {"risk_level": rules.risk_level(total, p), "recommended_action": rules.recommended_action(total, p)},
+    ]
+
+
+def _add(rows: DataFrame, p: RiskParams, *parts) -> DataFrame:
+    for level in zip_longest(*[part(p) for part in parts], fillvalue={}):
+        rows = rows.withColumns({name: column for columns in level for name, column in columns.items()})
+    return rows
+
+
 def add_amount_score(rows: DataFrame, p: RiskParams = RiskParams()) -> DataFrame:
-    amount, std = F.col("amount"), F.col("baseline_std")
-    return rows.withColumn("amount_zscore", rules.amount_zscore(amount, F.col("baseline_avg"), std)).withColumn(
-        "amount_score", rules.amount_score(amount, F.col("amount_zscore"), std, F.col("p99_amount"), p)
-    )
+    return _add(rows, p, _amount)
 
 
 def add_velocity_score(rows: DataFrame, p: RiskParams = RiskParams()) -> DataFrame:
-    score = rules.velocity_score(F.col("current_burst_5min"), F.col("historical_max_5min"), p)
-    return rows.withColumn("velocity_score", score)
-
-
-def add_travel(rows: DataFrame) -> DataFrame:
-    """Distance, minutes and implied speed since the previous transaction."""
-    distance = haversine_km(F.col("prev_lat"), F.col("prev_lon"), F.col("latitude"), F.col("longitude"))
-    minutes = minutes_between(F.col("prev_ts"), F.col("transaction_timestamp"))
-    return (
-        rows.withColumns({"distance_km": distance, "minutes_elapsed": minutes})
-        .withColumns(
-            {
-                "hours_elapsed": F.col("minutes_elapsed") / F.lit(60.0),
-                "_speed": rules.speed_kmh(F.col("distance_km"), F.col("minutes_elapsed")),
-            }
-        )
-        .withColumn("travel_speed_kmh", rules.travel_speed(F.col("_speed")))
-    )
+    return _add(rows, p, _velocity)
+
+
+def add_travel(rows: DataFrame, p: RiskParams = RiskParams()) -> DataFrame:
+    """Distance, elapsed time and implied speed since the previous transaction."""
+    return _add(rows, p, _travel)
 
 
 def add_geo_score(rows: DataFrame, p: RiskParams = RiskParams()) -> DataFrame:
-    score = rules.geo_score(F.col("_speed"), F.col("minutes_elapsed"), F.col("country"), F.col("prev_country"), p)
-    return rows.withColumn("geo_score", score)
+    return _add(rows, p, _travel, _geo)
 
 
 def add_device_score(rows: DataFrame, p: RiskParams = RiskParams()) -> DataFrame:
-    score = rules.device_score(F.col("device_id"), F.col("primary_device"), F.col("device_count_90d"), p)
-    return rows.withColumn("device_score", score)
+    return _add(rows, p, _device)
 
 
 def add_temporal_score(rows: DataFrame, p: RiskParams = RiskParams()) -> DataFrame:
-    score = rules.temporal_score(F.col("transaction_timestamp"), F.col("late_night_rate"), p)
-    return rows.withColumn("temporal_score", score)
-
-
-def add_verdict(rows: DataFrame, p: RiskParams = RiskParams()) -> DataFrame:
-    parts = ("amount_score", "velocity_score", "geo_score", "device_score", "temporal_score")
-    total = sum((F.col(part) for part in parts[1:]), F.col(parts[0]))
-    return rows.withColumn("total_score", total).withColumns(
-        {
-            "risk_level": rules.risk_level(F.col("total_score"), p),
-            "recommended_action": rules.recommended_action(F.col("total_score"), p),
-        }
-    )
+    return _add(rows, p, _temporal)
 
 
 def score_transactions(
@@ -111,12 +146,8 @@ def score_transactions(
     if only is not None:
         split = split.where(only)
     rows = _enrich(split, baseline).merged()
-    rows = add_amount_score(rows, p)
-    rows = add_velocity_score(rows, p)
-    rows = add_geo_score(add_travel(rows), p)
-    rows = add_device_score(rows, p)
-    rows = add_temporal_score(rows, p)
-    rows = add_verdict(rows, p).withColumn("scored_at", as_ntz(run_ts))
+    rows = _add(rows, p, _amount, _velocity, _travel, _geo, _device, _temporal, _verdict)
+    rows = rows.withColumn("scored_at", as_ntz(run_ts))
     return rows.select(*MART_COLUMNS, *extra)
 
 

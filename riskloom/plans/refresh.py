@@ -13,7 +13,7 @@ from riskloom.operators.scoring import score_transactions
 from riskloom.operators.staging import active_customers, newer_than
 from riskloom.params import HotKeyPolicy, RiskParams
 from riskloom.session import written
-from riskloom.sources.tables import DailyTable, VersionedTable, latest_per_key
+from riskloom.sources.tables import DailyTable, VersionedTable, without_copies
 
 # What bursts and trips need to know about rows that are not scored themselves.
 _CONTEXT = ("transaction_id", "customer_id", "transaction_timestamp", "transaction_date", "country", "latitude", "longitude")
@@ -94,7 +94,7 @@ def refresh_scores(
     scored = table.read()
     if scored is None:
         rows = score_transactions(txns, baseline, run_ts, p, measure_heat(txns, policy), extra=("_ingested_at",))
-        table.append(latest_per_key(rows, "transaction_id", "_ingested_at").drop("_ingested_at"))
+        table.append(without_copies(rows, txns, "transaction_id", "_ingested_at").drop("_ingested_at"))
         return
 
     days = p.baseline_lookback_days if late_days is None else late_days
@@ -132,7 +132,7 @@ def refresh_scores(
     result = score_transactions(
         rows, baseline, run_ts, p, heat, only=F.col("_wanted"), extra=("_ingested_at",)
     )
-    result = latest_per_key(result, "transaction_id", "_ingested_at").drop("_ingested_at")
+    result = without_copies(result, rows.where("_wanted"), "transaction_id", "_ingested_at").drop("_ingested_at")
     if mode == "missing" and not rescore_later:
         table.append(result)
     else:

@@ -13,8 +13,8 @@ RECOMMENDED = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # rows reach the profile aggregate sorted by customer already
-    "spark.sql.execution.replaceHashWithSortAgg": "true",
+    # no stack inspection per column expression: plans are built faster
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

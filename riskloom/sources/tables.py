@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskloom.operators.quality import duplicated_keys
 from riskloom.schemas import RAW_SCHEMA
 from riskloom.session import written
 
@@ -88,7 +89,8 @@ def latest_per_key(rows: DataFrame, key: str, newest_by: str | None = None) -> D
     """One row per key: the greatest by ``newest_by``, then by all columns.
 
     A maximum over structs is pre-aggregated before the shuffle, so many copies
-    of one key do not meet in one task. Rows without a key are all kept.
+    of one key do not meet in one task. Rows without a key are all kept. Meant
+    for the few keys that have copies; see ``without_copies``.
     """
     order = [newest_by] if newest_by else []
     order += [c for c in rows.columns if c not in (key, newest_by)]
@@ -97,6 +99,21 @@ def latest_per_key(rows: DataFrame, key: str, newest_by: str | None = None) -> D
     return picked.unionByName(rows.where(F.col(key).isNull()))
 
 
+def without_copies(rows: DataFrame, keys: DataFrame, key: str, newest_by: str) -> DataFrame:
+    """``rows`` with one row per key; ``keys`` holds their keys, with repetition.
+
+    Usually nothing is repeated: then finding that out costs one shuffle of the
+    key column, and the rows themselves are not moved.
+    """
+    repeated = written(duplicated_keys(keys.select(key), key).select(key), "repeated")
+    if repeated.isEmpty():
+        return rows
+    rows = written(rows, "with_copies")
+    return rows.join(repeated, key, "left_anti").unionByName(
+        latest_per_key(rows.join(repeated, key, "left_semi"), key, newest_by)
+    )
+
+
 def merged(existing: DataFrame, updates: DataFrame, key: str) -> DataFrame:
     """Existing rows without an update, plus the updates (one row per key)."""
     return existing.join(updates.select(key), key, "left_anti").select(*updates.columns).unionByName(updates)
