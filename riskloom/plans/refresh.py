@@ -123,7 +123,9 @@ def refresh_scores(
     if context == "slice":
         rows = rows.where(wanted)
     elif rescore_later:
-        wanted = wanted | (F.col("transaction_timestamp") > F.col("_first_new"))
+        # equal times count too: they see each other; undated rows come last
+        at = F.col("transaction_timestamp")
+        wanted = wanted | at.isNull() | F.coalesce(at >= F.col("_first_new"), F.lit(False))
     rows = rows.withColumn("_wanted", wanted).drop("_new", "_first_new")
     # context rows travel without what only scored rows need
     rows = rows.select(
