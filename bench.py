@@ -2,7 +2,7 @@
 
 BENCH_SF_DIR (default /root/testdata/sf0.1) and BENCH_CPUS (default 8) choose the
 data and the number of local threads. Each query runs once to warm up and is then
-timed three times, from building the DataFrame to producing its last row; the
+timed twice, from building the DataFrame to producing its last row; the
 fastest counts.
 """
 
@@ -48,7 +48,7 @@ def main() -> None:
     taken = {}
     for name in HEADLINE:
         seconds(spark, name, sf_dir)
-        taken[name] = round(min(seconds(spark, name, sf_dir) for _ in range(3)), 3)
+        taken[name] = round(min(seconds(spark, name, sf_dir) for _ in range(2)), 3)
     for name in LONG:
         taken[name] = round(seconds(spark, name, sf_dir), 3)
     print(

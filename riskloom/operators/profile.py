@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -118,15 +119,12 @@ def _unpack_quantiles(profile: DataFrame) -> DataFrame:
     return profile.withColumns(named).drop("_quantiles")
 
 
-def _plain(*parts: Callable[[RiskParams], list[Column]]):
-    def build(rows: DataFrame, p: RiskParams) -> DataFrame:
-        if _plain_velocity in parts:
-            rows = plain_history(rows, PROFILE_BURSTS, previous=False)
-        if _plain_geography in parts:
-            rows = _with_home(rows)
-        return _unpack_quantiles(rows.groupBy(KEY).agg(*[c for part in parts for c in part(p)]))
-
-    return build
+def _plain(rows: DataFrame, p: RiskParams, parts) -> DataFrame:
+    if _plain_velocity in parts:
+        rows = plain_history(rows, PROFILE_BURSTS, previous=False)
+    if _plain_geography in parts:
+        rows = _with_home(rows)
+    return _unpack_quantiles(rows.groupBy(KEY).agg(*[c for part in parts for c in part(p)]))
 
 
 # -- hot customers -----------------------------------------------------------
@@ -190,10 +188,6 @@ def spread_quantiles(rows: DataFrame) -> DataFrame:
     return picked.select(KEY, *[interpolated(name, q) for name, q in QUANTILES.items()])
 
 
-def _spread_spending(rows: DataFrame, p: RiskParams) -> DataFrame:
-    return _same_customer(rows.groupBy(KEY).agg(*_moments(p)), spread_quantiles(rows))
-
-
 def _value_counts(rows: DataFrame, values: dict[str, Column]) -> DataFrame:
     """(customer, attribute, value, n) in one pass over the rows."""
     pairs = F.array(*[F.struct(F.lit(name).alias("k"), value.alias("v")) for name, value in values.items()])
@@ -213,85 +207,113 @@ def _most_frequent(name: str) -> Column:
     return F.min(_of(name, F.struct((-F.col("_n")).alias("n"), F.col("_value").alias("v"))))["v"]
 
 
-def _spread_geography(rows: DataFrame, p: RiskParams) -> DataFrame:
-    counted = _value_counts(rows, {"country": F.col("country"), "city": F.col("city")})
+@dataclass(frozen=True)
+class _Spread:
+    """How one part of the profile is put together for hot customers."""
+
+    moments: Callable[[RiskParams], list[Column]] = lambda p: []
+    values: dict[str, Column] = field(default_factory=dict)  # to be counted
+    summary: Callable[[], list[Column]] = lambda: []  # over the value counts
+    tables: tuple[Callable[[DataFrame], DataFrame], ...] = ()  # of their own
+
+
+def _geography_summary() -> list[Column]:
     n = F.col("_n")
     elsewhere = F.coalesce(F.sum(_of("country", n)) - F.max(_of("country", n)), F.lit(0))
-    return counted.groupBy(KEY).agg(
+    return [
         _most_frequent("country").alias("home_country"),
         _most_frequent("city").alias("home_city"),
         F.count(_of("country", F.lit(1))).alias("countries_visited"),
         (elsewhere / F.sum(F.when(F.col("_attribute") == "country", n))).alias("cross_border_rate"),
-    )
+    ]
 
 
-def _spread_timing(rows: DataFrame, p: RiskParams) -> DataFrame:
-    # two digits, so that text order is hour order
-    hour = F.lpad(F.hour("transaction_timestamp").cast("string"), 2, "0")
-    typical = _value_counts(rows, {"hour": hour}).groupBy(KEY).agg(
-        _most_frequent("hour").cast("int").alias("typical_hour")
-    )
-    return _same_customer(rows.groupBy(KEY).agg(_night_rate(p)), typical)
+def _device_summary() -> list[Column]:
+    return [
+        F.count(_of("device", F.lit(1))).alias("device_count_90d"),
+        _most_frequent("device").alias("primary_device"),
+    ]
 
 
-def _spread_velocity(slice_seconds: int):
-    def build(rows: DataFrame, p: RiskParams) -> DataFrame:
+def _spread_velocity(slice_seconds: int) -> Callable[[DataFrame], DataFrame]:
+    def build(rows: DataFrame) -> DataFrame:
         # simultaneous transactions have equal counts: keep one row per instant
         instants = rows.groupBy(KEY, "transaction_timestamp").agg(F.count("*").alias("_weight"))
         counted = spread_history(instants, PROFILE_BURSTS, False, slice_seconds, weight="_weight")
-        return counted.groupBy(KEY).agg(*_plain_velocity(p))
+        return counted.groupBy(KEY).agg(*_plain_velocity(RiskParams()))
 
     return build
 
 
-def _spread_devices(rows: DataFrame, p: RiskParams) -> DataFrame:
-    return _value_counts(rows, {"device": F.col("device_id")}).groupBy(KEY).agg(
-        F.count(_of("device", F.lit(1))).alias("device_count_90d"),
-        _most_frequent("device").alias("primary_device"),
-    )
+def _spread_parts(slice_seconds: int) -> dict[Callable, _Spread]:
+    # two digits, so that text order is hour order
+    hour = F.lpad(F.hour("transaction_timestamp").cast("string"), 2, "0")
+    return {
+        _plain_spending: _Spread(moments=_moments, tables=(spread_quantiles,)),
+        _plain_geography: _Spread(
+            values={"country": F.col("country"), "city": F.col("city")}, summary=_geography_summary
+        ),
+        _plain_timing: _Spread(
+            moments=lambda p: [_night_rate(p)],
+            values={"hour": hour},
+            summary=lambda: [_most_frequent("hour").cast("int").alias("typical_hour")],
+        ),
+        _plain_velocity: _Spread(tables=(_spread_velocity(slice_seconds),)),
+        _plain_devices: _Spread(values={"device": F.col("device_id")}, summary=_device_summary),
+    }
+
+
+def _spread(rows: DataFrame, p: RiskParams, parts, slice_seconds: int) -> DataFrame:
+    """One pass for all moments, one for all value counts, one per other table."""
+    chosen = [_spread_parts(slice_seconds)[part] for part in parts]
+    pieces = []
+    if moments := [column for c in chosen for column in c.moments(p)]:
+        pieces.append(rows.groupBy(KEY).agg(*moments))
+    if values := {name: value for c in chosen for name, value in c.values.items()}:
+        summary = [column for c in chosen for column in c.summary()]
+        pieces.append(_value_counts(rows, values).groupBy(KEY).agg(*summary))
+    pieces += [build(rows) for c in chosen for build in c.tables]
+    return reduce(_same_customer, pieces)
 
 
 # -- public operators --------------------------------------------------------
 
 
-def _profile(txns: DataFrame, p: RiskParams, heat: Heat | None, columns, plain, *spread) -> DataFrame:
-    heat = heat or measure_heat(txns)
-    return _profile_of(split_by_heat(txns, heat), p, columns, plain, *spread)
-
-
-def _profile_of(split: Split, p: RiskParams, columns, plain, *spread) -> DataFrame:
+def _profile(split: Split, p: RiskParams, columns, *parts) -> DataFrame:
+    step = split.heat.policy.slice_seconds
     return split.map(
-        lambda rows: plain(rows, p).select(*columns),
-        lambda rows: reduce(_same_customer, [part(rows, p) for part in spread]).select(*columns),
+        lambda rows: _plain(rows, p, parts).select(*columns),
+        lambda rows: _spread(rows, p, parts, step).select(*columns),
     ).merged()
 
 
+def _split(txns: DataFrame, heat: Heat | None) -> Split:
+    return split_by_heat(txns, heat or measure_heat(txns))
+
+
 def spending_profile(txns: DataFrame, p: RiskParams = RiskParams(), heat: Heat | None = None) -> DataFrame:
-    return _profile(txns, p, heat, SPENDING, _plain(_plain_spending), _spread_spending)
+    return _profile(_split(txns, heat), p, SPENDING, _plain_spending)
 
 
 def geography_profile(txns: DataFrame, p: RiskParams = RiskParams(), heat: Heat | None = None) -> DataFrame:
-    return _profile(txns, p, heat, GEOGRAPHY, _plain(_plain_geography), _spread_geography)
+    return _profile(_split(txns, heat), p, GEOGRAPHY, _plain_geography)
 
 
 def cross_border_rate(txns: DataFrame, p: RiskParams = RiskParams(), heat: Heat | None = None) -> DataFrame:
     """Share of a customer's transactions made outside the usual country."""
-    columns = (KEY, "home_country", "cross_border_rate")
-    return _profile(txns, p, heat, columns, _plain(_plain_geography), _spread_geography)
+    return _profile(_split(txns, heat), p, (KEY, "home_country", "cross_border_rate"), _plain_geography)
 
 
 def timing_profile(txns: DataFrame, p: RiskParams = RiskParams(), heat: Heat | None = None) -> DataFrame:
-    return _profile(txns, p, heat, TIMING, _plain(_plain_timing), _spread_timing)
+    return _profile(_split(txns, heat), p, TIMING, _plain_timing)
 
 
 def velocity_profile(txns: DataFrame, p: RiskParams = RiskParams(), heat: Heat | None = None) -> DataFrame:
-    heat = heat or measure_heat(txns)
-    step = heat.policy.slice_seconds
-    return _profile(txns, p, heat, VELOCITY, _plain(_plain_velocity), _spread_velocity(step))
+    return _profile(_split(txns, heat), p, VELOCITY, _plain_velocity)
 
 
 def device_profile(txns: DataFrame, p: RiskParams = RiskParams(), heat: Heat | None = None) -> DataFrame:
-    return _profile(txns, p, heat, DEVICES, _plain(_plain_devices), _spread_devices)
+    return _profile(_split(txns, heat), p, DEVICES, _plain_devices)
 
 
 def customer_baseline(
@@ -307,21 +329,11 @@ def customer_baseline(
     ``only`` restricts the work to the customers it lists (one row each).
     """
     window = lookback(txns, as_of, p.baseline_lookback_days)
-    heat = heat or measure_heat(window)
-    split = split_by_heat(window, heat)
+    split = _split(window, heat)
     if only is not None:
         split = split.lookup(only, "left_semi")
-    profile = _profile_of(
-        split,
-        p,
-        BASELINE_COLUMNS[:-2],
-        _plain(_plain_spending, _plain_geography, _plain_timing, _plain_velocity, _plain_devices),
-        _spread_spending,
-        _spread_geography,
-        _spread_timing,
-        _spread_velocity(heat.policy.slice_seconds),
-        _spread_devices,
-    )
+    parts = (_plain_spending, _plain_geography, _plain_timing, _plain_velocity, _plain_devices)
+    profile = _profile(split, p, BASELINE_COLUMNS[:-2], *parts)
     # a profile is spending joined with the rest on customer_id, and a missing
     # customer never equals itself: such a row keeps its spending part only
     spending = set(SPENDING)

@@ -12,7 +12,7 @@ from riskloom.operators.profile import customer_baseline
 from riskloom.operators.scoring import score_transactions
 from riskloom.operators.staging import active_customers, newer_than
 from riskloom.params import HotKeyPolicy, RiskParams
-from riskloom.session import written
+from riskloom.session import scratch
 from riskloom.sources.tables import DailyTable, VersionedTable, without_copies
 
 # What bursts and trips need to know about rows that are not scored themselves.
@@ -91,34 +91,54 @@ def refresh_scores(
     """
     if context not in ("full", "slice"):
         raise ValueError(f"unknown context {context!r}")
-    scored = table.read()
-    if scored is None:
-        rows = score_transactions(txns, baseline, run_ts, p, measure_heat(txns, policy), extra=("_ingested_at",))
-        table.append(without_copies(rows, txns, "transaction_id", "_ingested_at").drop("_ingested_at"))
-        return
-
-    days = p.baseline_lookback_days if late_days is None else late_days
-    new = written(unscored(txns, scored, mode, as_of - dt.timedelta(days=days)), "new")
-    ids = new.select("transaction_id").distinct().withColumn("_new", F.lit(True))
+    with scratch(table.spark) as keep:
+        scored = table.read()
+        if scored is None or scored.isEmpty():
+            heat = measure_heat(txns, policy)
+            rows, ids = score_transactions(txns, baseline, run_ts, p, heat, extra=("_ingested_at",)), txns
+        else:
+            days = p.baseline_lookback_days if late_days is None else late_days
+            new = keep(unscored(txns, scored, mode, as_of - dt.timedelta(days=days)), "new")
+            if new.isEmpty():
+                return
+            context_rows, heat = _with_context(txns, new, as_of, p, policy, context, rescore_later)
+            rows = score_transactions(
+                context_rows, baseline, run_ts, p, heat, only=F.col("_wanted"), extra=("_ingested_at",)
+            )
+            ids = context_rows.where("_wanted")
+        rows = without_copies(rows, ids, "transaction_id", "_ingested_at", keep).drop("_ingested_at")
+        if mode == "missing" and not rescore_later:
+            table.append(rows)
+        else:
+            table.upsert(rows)
+
+
+def _with_context(
+    txns: DataFrame,
+    new: DataFrame,
+    as_of: dt.date,
+    p: RiskParams,
+    policy: HotKeyPolicy,
+    context: str,
+    rescore_later: bool,
+) -> tuple[DataFrame, Heat]:
+    """New rows (``_wanted``) and the earlier rows of their customers."""
     # predecessors are looked for in the look-back window, or as far before the
     # oldest new row if that lies outside of it
     first_day = as_of - dt.timedelta(days=p.baseline_lookback_days)
     oldest = new.agg(F.min("transaction_date")).first()[0]
-    if oldest is None and new.isEmpty():
-        return
     if context == "slice":
         first_day = oldest
     elif oldest is not None and oldest < first_day:
         first_day = oldest - dt.timedelta(days=p.baseline_lookback_days)
+    scope = txns if first_day is None else txns.where(_dated_from(first_day))
 
-    scope = txns
-    if first_day is not None:
-        scope = txns.where(_dated_from(first_day))
+    heat = measure_heat(scope, policy)
     # one row per customer with something new
     arrivals = new.groupBy("customer_id").agg(F.min("transaction_timestamp").alias("_first_new"))
-    heat = measure_heat(scope, policy)
-    split = split_by_heat(scope, heat).lookup(arrivals, "inner", null_safe=True)
-    rows = split.merged().join(ids, "transaction_id", "left")
+    rows = split_by_heat(scope, heat).lookup(arrivals, "inner", null_safe=True).merged()
+    ids = new.select("transaction_id").distinct().withColumn("_new", F.lit(True))
+    rows = rows.join(ids, "transaction_id", "left")
     wanted = F.col("_new").isNotNull()
     if context == "slice":
         rows = rows.where(wanted)
@@ -128,14 +148,5 @@ def refresh_scores(
         wanted = wanted | at.isNull() | F.coalesce(at >= F.col("_first_new"), F.lit(False))
     rows = rows.withColumn("_wanted", wanted).drop("_new", "_first_new")
     # context rows travel without what only scored rows need
-    rows = rows.select(
-        *[c if c in (*_CONTEXT, "_wanted") else F.when(F.col("_wanted"), F.col(c)).alias(c) for c in rows.columns]
-    )
-    result = score_transactions(
-        rows, baseline, run_ts, p, heat, only=F.col("_wanted"), extra=("_ingested_at",)
-    )
-    result = without_copies(result, rows.where("_wanted"), "transaction_id", "_ingested_at").drop("_ingested_at")
-    if mode == "missing" and not rescore_later:
-        table.append(result)
-    else:
-        table.upsert(result)
+    light = [c if c in (*_CONTEXT, "_wanted") else F.when(F.col("_wanted"), F.col(c)).alias(c) for c in rows.columns]
+    return rows.select(*light), heat

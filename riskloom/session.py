@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators are tuned for. They are advice: operators give the same
 # results without them (dates and hours come from zone-free timestamps).
@@ -32,10 +34,32 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/riskloom/{name}-{uuid.uuid4().hex}"
 
 
-def written(rows, name: str):
-    """Write rows to the work folder and read them back: cuts the lineage, and
-    lost executors re-read files instead of recomputing."""
-    spark = rows.sparkSession
-    path = work_folder(spark, name)
+def files(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path in its terms."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
+
+
+def _stored(rows: DataFrame, path: str) -> DataFrame:
     rows.write.parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def written(rows: DataFrame, name: str) -> DataFrame:
+    """Write rows to the work folder and read them back.
+
+    This cuts the lineage: after the loss of an executor files are read again
+    and nothing is recomputed. The files stay; see ``scratch``.
+    """
+    return _stored(rows, work_folder(rows.sparkSession, name))
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Like ``written`` for tables that are no longer needed at the end."""
+    folder = work_folder(spark, "scratch")
+    try:
+        yield lambda rows, name: _stored(rows, f"{folder}/{name}")
+    finally:
+        fs, p = files(spark, folder)
+        fs.delete(p, True)

@@ -6,6 +6,7 @@ classes without touching the operators.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,7 @@ from pyspark.sql import types as T
 
 from riskloom.operators.quality import duplicated_keys
 from riskloom.schemas import RAW_SCHEMA
-from riskloom.session import written
+from riskloom.session import files, scratch
 
 LANDED_SCHEMA = T.StructType(
     RAW_SCHEMA.fields + [T.StructField("event_date", T.DateType()), T.StructField("ingest_batch", T.LongType())]
@@ -99,16 +100,17 @@ def latest_per_key(rows: DataFrame, key: str, newest_by: str | None = None) -> D
     return picked.unionByName(rows.where(F.col(key).isNull()))
 
 
-def without_copies(rows: DataFrame, keys: DataFrame, key: str, newest_by: str) -> DataFrame:
+def without_copies(rows: DataFrame, keys: DataFrame, key: str, newest_by: str, keep: Callable) -> DataFrame:
     """``rows`` with one row per key; ``keys`` holds their keys, with repetition.
 
     Usually nothing is repeated: then finding that out costs one shuffle of the
-    key column, and the rows themselves are not moved.
+    key column, and the rows themselves are not moved. ``keep`` stores
+    intermediate tables (``written`` or what ``scratch`` gives).
     """
-    repeated = written(duplicated_keys(keys.select(key), key).select(key), "repeated")
+    repeated = keep(duplicated_keys(keys.select(key), key).select(key), "repeated")
     if repeated.isEmpty():
         return rows
-    rows = written(rows, "with_copies")
+    rows = keep(rows, "with_copies")
     return rows.join(repeated, key, "left_anti").unionByName(
         latest_per_key(rows.join(repeated, key, "left_semi"), key, newest_by)
     )
@@ -122,13 +124,8 @@ def merged(existing: DataFrame, updates: DataFrame, key: str) -> DataFrame:
 # -- tables ------------------------------------------------------------------
 
 
-def _files(spark: SparkSession, path: str):
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
-
-
 def _exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _files(spark, path)
+    fs, p = files(spark, path)
     return fs.exists(p)
 
 
@@ -145,7 +142,7 @@ class VersionedTable:
     layout_by: str | None = None
 
     def _versions(self) -> list[int]:
-        fs, p = _files(self.spark, self.path)
+        fs, p = files(self.spark, self.path)
         if not fs.exists(p):
             return []
         names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
@@ -179,7 +176,7 @@ class VersionedTable:
 
     def forget_old_versions(self, keep: int = 2) -> None:
         for n in self._versions()[:-keep]:
-            fs, p = _files(self.spark, f"{self.path}/v={n}")
+            fs, p = files(self.spark, f"{self.path}/v={n}")
             fs.delete(p, True)
 
 
@@ -230,13 +227,14 @@ class DailyTable:
         if existing is None:
             self._write(updates, "append")
             return
-        updates = written(updates, "updates")
-        days = self._days_of(existing, updates).union(updates.select(self.day)).distinct()
-        touched = [row[0] for row in days.collect()]  # one entry per day
-        in_days = F.coalesce(F.col(self.day).isin([d for d in touched if d is not None]), F.lit(False))
-        if None in touched:
-            in_days = in_days | F.col(self.day).isNull()
-        self._swaps().replace(merged(existing.where(in_days), updates, self.key))
+        with scratch(self.spark) as keep:
+            updates = keep(updates, "updates")
+            days = self._days_of(existing, updates).union(updates.select(self.day)).distinct()
+            touched = [row[0] for row in days.collect()]  # one entry per day
+            in_days = F.coalesce(F.col(self.day).isin([d for d in touched if d is not None]), F.lit(False))
+            if None in touched:
+                in_days = in_days | F.col(self.day).isNull()
+            self._swaps().replace(merged(existing.where(in_days), updates, self.key))
         self.recover()
 
     def recover(self) -> None:
@@ -250,10 +248,10 @@ class DailyTable:
         stale = {r[0] for r in self._days_of(existing, content).distinct().collect()}
         for d in stale - {r[0] for r in content.select(self.day).distinct().collect()}:
             # every row of this day has moved to another one
-            fs, p = _files(self.spark, f"{self.path}/{self.day}={d or '__HIVE_DEFAULT_PARTITION__'}")
+            fs, p = files(self.spark, f"{self.path}/{self.day}={d or '__HIVE_DEFAULT_PARTITION__'}")
             fs.delete(p, True)
         self._write(content, "overwrite")
-        fs, p = _files(self.spark, f"{done}/{version}")
+        fs, p = files(self.spark, f"{done}/{version}")
         fs.mkdirs(p)
         swaps.forget_old_versions(1)
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from riskloom.operators.staging import quarantine, stage_transactions
 from riskloom.schemas import MESSAGE_SCHEMA, RAW_SCHEMA
 from riskloom.session import work_folder
-from riskloom.sources.messages import ENVELOPE, decode_messages, encode_messages, message_files, undecodable
+from riskloom.sources.messages import ENVELOPE, broker_messages, decode_messages, encode_messages, message_files, undecodable
 from riskloom.streaming.ingest import DRAIN, ingest_stream
 
 FULL = {
@@ -94,3 +94,8 @@ def test_stream_lands_each_message_once_across_restarts(spark):
     assert landed.count() == landed.select("transaction_id").distinct().count() == 20
     assert [r[0] for r in landed.select("event_date").distinct().collect()] == [dt.date(2024, 1, 2)]
     assert landed.where(F.col("ingested_at").isNull()).count() == 0
+
+
+def test_broker_source_asks_for_the_connector(spark):
+    with pytest.raises(Exception, match="(?i)kafka"):
+        broker_messages(spark, "localhost:9", options={"kafka.security.protocol": "SASL_SSL"})

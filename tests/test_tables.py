@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.session import work_folder
+from riskloom.session import scratch, work_folder, written
 from riskloom.sources.tables import (
     DailyTable,
     SchemaChanged,
@@ -115,9 +115,9 @@ def test_copies(spark):
     df = spark.createDataFrame(given, schema)
     want = sorted([("a", 2, "c"), ("b", 1, "x"), (None, 1, "p"), (None, 1, "q")], key=str)
     assert rows(latest_per_key(df, "id", "at")) == want
-    assert rows(without_copies(df, df, "id", "at")) == want
+    assert rows(without_copies(df, df, "id", "at", written)) == want
     single = df.where("id = 'b'")
-    assert without_copies(single, single, "id", "at") is single
+    assert without_copies(single, single, "id", "at", written) is single
 
 
 def test_landing_a_batch_twice_changes_nothing(spark, folder):
@@ -139,3 +139,12 @@ def test_landing_a_batch_twice_changes_nothing(spark, folder):
 def test_work_folder_is_new_each_time(spark):
     a, b = work_folder(spark, "x"), work_folder(spark, "x")
     assert a != b and a.startswith(spark.conf.get("spark.checkpoint.dir")) and uuid.UUID(a[-32:])
+
+
+def test_scratch_is_cleared(spark):
+    df = spark.range(3)
+    with scratch(spark) as keep:
+        stored = keep(df, "numbers")
+        assert stored.count() == 3
+    with pytest.raises(Exception):
+        stored.count()
