@@ -73,7 +73,7 @@ def run_cycle(
     txns = stage_transactions(raw)
     heat = measure_heat(txns, policy)
     baseline = refresh_baseline(txns, store.baseline, as_of, now, p, heat)
-    refresh_scores(txns, baseline, store.mart, as_of, now, p, policy, **scoring)
+    refresh_scores(txns, baseline, store.mart, as_of, now, p, heat, **scoring)
     scored = store.mart.read()
     quality = quality_report(
         {

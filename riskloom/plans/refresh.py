@@ -11,7 +11,7 @@ from riskloom.operators.heat import Heat, measure_heat, split_by_heat
 from riskloom.operators.profile import customer_baseline
 from riskloom.operators.scoring import score_transactions
 from riskloom.operators.staging import active_customers, newer_than
-from riskloom.params import HotKeyPolicy, RiskParams
+from riskloom.params import RiskParams
 from riskloom.session import scratch
 from riskloom.sources.tables import DailyTable, VersionedTable, without_copies
 
@@ -75,7 +75,7 @@ def refresh_scores(
     as_of: dt.date,
     run_ts: dt.datetime,
     p: RiskParams = RiskParams(),
-    policy: HotKeyPolicy = HotKeyPolicy(),
+    heat: Heat | None = None,
     mode: str = "missing",
     context: str = "full",
     rescore_later: bool = False,
@@ -86,7 +86,8 @@ def refresh_scores(
     ``context="full"`` lets new rows see the customer's earlier rows of the
     look-back window, so the result equals scoring everything at once;
     ``"slice"`` shows them each other only. ``late_days`` (default: the look-back)
-    bounds how old a row may be to be picked up. With ``rescore_later`` rows that
+    bounds how old a row may be to be picked up. ``heat`` may be that of any larger
+    set of rows: who is not hot there has few enough rows here. With ``rescore_later`` rows that
     follow a late one, and may have lost their predecessor to it, are scored again.
     """
     if context not in ("full", "slice"):
@@ -94,14 +95,13 @@ def refresh_scores(
     with scratch(table.spark) as keep:
         scored = table.read()
         if scored is None or scored.isEmpty():
-            heat = measure_heat(txns, policy)
             rows, ids = score_transactions(txns, baseline, run_ts, p, heat, extra=("_ingested_at",)), txns
         else:
             days = p.baseline_lookback_days if late_days is None else late_days
             new = keep(unscored(txns, scored, mode, as_of - dt.timedelta(days=days)), "new")
             if new.isEmpty():
                 return
-            context_rows, heat = _with_context(txns, new, as_of, p, policy, context, rescore_later)
+            context_rows, heat = _with_context(txns, new, as_of, p, heat, context, rescore_later)
             rows = score_transactions(
                 context_rows, baseline, run_ts, p, heat, only=F.col("_wanted"), extra=("_ingested_at",)
             )
@@ -118,7 +118,7 @@ def _with_context(
     new: DataFrame,
     as_of: dt.date,
     p: RiskParams,
-    policy: HotKeyPolicy,
+    heat: Heat | None,
     context: str,
     rescore_later: bool,
 ) -> tuple[DataFrame, Heat]:
@@ -133,7 +133,7 @@ def _with_context(
         first_day = oldest - dt.timedelta(days=p.baseline_lookback_days)
     scope = txns if first_day is None else txns.where(_dated_from(first_day))
 
-    heat = measure_heat(scope, policy)
+    heat = heat or measure_heat(scope)
     # one row per customer with something new
     arrivals = new.groupBy("customer_id").agg(F.min("transaction_timestamp").alias("_first_new"))
     rows = split_by_heat(scope, heat).lookup(arrivals, "inner", null_safe=True).merged()

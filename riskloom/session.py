@@ -26,7 +26,7 @@ def work_folder(spark: SparkSession, name: str) -> str:
     Without that setting a temporary folder is used, in local mode only: on a
     cluster the executors would not share it.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")

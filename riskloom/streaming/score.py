@@ -18,11 +18,15 @@ from riskloom.sources.tables import land_batch
 from riskloom.streaming.ingest import TRIGGER
 
 
+def _utc_now() -> dt.datetime:
+    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+
+
 def score_stream(
     messages: DataFrame,
     store: Store,
     checkpoint: str,
-    clock: Callable[[], dt.datetime] = dt.datetime.now,
+    clock: Callable[[], dt.datetime] = _utc_now,
     p: RiskParams = RiskParams(),
     policy: HotKeyPolicy = HotKeyPolicy(),
     trigger: dict = TRIGGER,
@@ -43,8 +47,9 @@ def score_stream(
         now = clock()
         land_batch(decode_messages(batch), store.raw_path, first_batch + batch_id)
         txns = stage_transactions(store.raw())
-        baseline = refresh_baseline(txns, store.baseline, now.date(), now, p, measure_heat(txns, policy))
-        refresh_scores(txns, baseline, store.mart, now.date(), now, p, policy, rescore_later=True)
+        heat = measure_heat(txns, policy)
+        baseline = refresh_baseline(txns, store.baseline, now.date(), now, p, heat)
+        refresh_scores(txns, baseline, store.mart, now.date(), now, p, heat, rescore_later=True)
 
     return (
         messages.writeStream.foreachBatch(step)

@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from riskloom.operators.heat import measure_heat
 from riskloom.operators.profile import customer_baseline
 from riskloom.operators.scoring import score_transactions
 from riskloom.params import HotKeyPolicy
@@ -35,9 +36,10 @@ def two_runs(spark, store, rows, late, policy=HotKeyPolicy(), **kw):
     """Score ``rows`` first, then ``rows + late``; the profile stays the same."""
     everything = table(spark, rows + late)
     base = customer_baseline(everything, AS_OF, RUN)
-    refresh_scores(table(spark, rows), base, store.mart, AS_OF, RUN, policy=policy)
+    heat = measure_heat(everything, policy)
+    refresh_scores(table(spark, rows), base, store.mart, AS_OF, RUN, heat=heat)
     first = by_id(store.mart.read())
-    refresh_scores(everything, base, store.mart, AS_OF, RUN2, policy=policy, **kw)
+    refresh_scores(everything, base, store.mart, AS_OF, RUN2, heat=heat, **kw)
     return first, by_id(store.mart.read()), by_id(score_transactions(everything, base, RUN))
 
 
