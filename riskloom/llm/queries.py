@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from riskloom.llm.common import ensure_work_folder
 from riskloom.session import work_folder
@@ -21,6 +20,12 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op3_setsketch_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskloom.llm.neardup import near_duplicates
+
+    return near_duplicates(read(spark, sf_dir, "documents"), size=3, part=85, whole=100)
+
+
 def op6_wavelet_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     from riskloom.llm.wavelet import documents_of, read_shards, write_shards
 
@@ -38,6 +43,7 @@ def op7_bin_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op3_setsketch_near_duplicates": op3_setsketch_near_duplicates,
     "op6_wavelet_ids": op6_wavelet_ids,
     "op7_bin_slack_packing": op7_bin_slack_packing,
 }
