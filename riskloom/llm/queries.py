@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskloom.llm.common import ensure_work_folder
 from riskloom.session import work_folder
@@ -41,10 +42,19 @@ def op7_bin_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op10_suffix_sort_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskloom.llm.suffix import remove_repeats
+
+    docs = read(spark, sf_dir, "documents").withColumn("n_bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"))
+    out = remove_repeats(docs.select("doc_id", "n_bytes", "text"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op3_setsketch_near_duplicates": op3_setsketch_near_duplicates,
     "op6_wavelet_ids": op6_wavelet_ids,
     "op7_bin_slack_packing": op7_bin_slack_packing,
+    "op10_suffix_sort_dedup": op10_suffix_sort_dedup,
 }
 ORACLES: dict[str, str] = {}
