@@ -27,6 +27,13 @@ def op3_setsketch_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame
     return near_duplicates(read(spark, sf_dir, "documents"), size=3, part=85, whole=100)
 
 
+def op5_risk_controlled_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskloom.llm.quality import quality_rules
+
+    out = quality_rules(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return out.drop("text_hash")
+
+
 def op6_wavelet_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     from riskloom.llm.wavelet import documents_of, read_shards, write_shards
 
@@ -53,6 +60,7 @@ def op10_suffix_sort_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op3_setsketch_near_duplicates": op3_setsketch_near_duplicates,
+    "op5_risk_controlled_quality": op5_risk_controlled_quality,
     "op6_wavelet_ids": op6_wavelet_ids,
     "op7_bin_slack_packing": op7_bin_slack_packing,
     "op10_suffix_sort_dedup": op10_suffix_sort_dedup,
