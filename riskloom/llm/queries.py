@@ -49,6 +49,12 @@ def op7_bin_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_string_tiling_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskloom.llm.tiling import contamination_report
+
+    return contamination_report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op10_suffix_sort_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from riskloom.llm.suffix import remove_repeats
 
@@ -63,6 +69,7 @@ QUERIES = {
     "op5_risk_controlled_quality": op5_risk_controlled_quality,
     "op6_wavelet_ids": op6_wavelet_ids,
     "op7_bin_slack_packing": op7_bin_slack_packing,
+    "op9_string_tiling_leaks": op9_string_tiling_leaks,
     "op10_suffix_sort_dedup": op10_suffix_sort_dedup,
 }
 ORACLES: dict[str, str] = {}
