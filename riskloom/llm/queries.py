@@ -27,6 +27,12 @@ def op3_setsketch_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame
     return near_duplicates(read(spark, sf_dir, "documents"), size=3, part=85, whole=100)
 
 
+def op4_template_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskloom.llm.template import main_text
+
+    return main_text(read(spark, sf_dir, "pages"))
+
+
 def op5_risk_controlled_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from riskloom.llm.quality import quality_rules
 
@@ -66,6 +72,7 @@ def op10_suffix_sort_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op3_setsketch_near_duplicates": op3_setsketch_near_duplicates,
+    "op4_template_main_text": op4_template_main_text,
     "op5_risk_controlled_quality": op5_risk_controlled_quality,
     "op6_wavelet_ids": op6_wavelet_ids,
     "op7_bin_slack_packing": op7_bin_slack_packing,
