@@ -55,6 +55,12 @@ def op7_bin_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op8_pitman_yor_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskloom.llm.language_model import held_out_by_checksum, score
+
+    return score(read(spark, sf_dir, "documents"), held_out_by_checksum())
+
+
 def op9_string_tiling_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     from riskloom.llm.tiling import contamination_report
 
@@ -76,6 +82,7 @@ QUERIES = {
     "op5_risk_controlled_quality": op5_risk_controlled_quality,
     "op6_wavelet_ids": op6_wavelet_ids,
     "op7_bin_slack_packing": op7_bin_slack_packing,
+    "op8_pitman_yor_score": op8_pitman_yor_score,
     "op9_string_tiling_leaks": op9_string_tiling_leaks,
     "op10_suffix_sort_dedup": op10_suffix_sort_dedup,
 }
