@@ -376,11 +376,12 @@ def repeated_spans(docs: DataFrame, length: int = 100, *, key: str = "doc_id", t
 
 
 def remove_repeats(
-    docs: DataFrame, length: int = 100, *, key: str = "doc_id", text: str = "text"
+    docs: DataFrame, length: int = 100, *, key: str = "doc_id", text: str = "text", whole_characters: bool = False
 ) -> DataFrame:
     """Rows of docs with kept (remaining bytes), n_removed and n_spans added, and without ``text``.
 
-    See ``repeated_spans`` for what goes. Null text counts as empty; an empty table
+    See ``repeated_spans`` for what goes; with ``whole_characters`` a character goes
+    only if all its bytes do, so that what is left is text. Null text counts as empty; an empty table
     gives an empty table; other columns stay.
     """
     spans = repeated_spans(docs, length, key=key, text=text)
@@ -395,6 +396,13 @@ def remove_repeats(
                     continue
                 start, end = (np.array([s[x] for s in found], dtype=np.int64) for x in ("start", "end"))
                 _, start, end = merged(start, end, np.zeros(len(start), np.int64))
+                if whole_characters:  # continuation bytes are 10xxxxxx
+                    inner = np.concatenate([np.frombuffer(data, np.uint8) & 0xC0 == 0x80, [False]])
+                    while inner[start].any():
+                        start = start + inner[start]
+                    while inner[end].any():
+                        end = end - inner[end]
+                    end = np.maximum(start, end)
                 view, at, out = memoryview(data), 0, []
                 for s, e in zip(start.tolist(), end.tolist(), strict=True):
                     out.append(view[at:s])
@@ -415,3 +423,8 @@ def remove_repeats(
     out_schema = StructType([*joined.schema.fields[:-2], StructField("kept", BinaryType()), StructField("n_removed", LongType()), StructField("n_spans", LongType())])
     return joined.mapInArrow(run, out_schema).toDF(*others, "kept", "n_removed", "n_spans")
 
+
+def drop_repeats(docs: DataFrame, length: int = 100, *, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Docs with all texts freed of repeated whole characters; all rows and columns stay."""
+    left = remove_repeats(docs, length, key=key, text=text, whole_characters=True)
+    return left.withColumn(text, F.col("kept").cast("string")).select(*docs.columns)
