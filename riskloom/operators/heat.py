@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.params import HotKeyPolicy
+from riskloom.session import written
 
 _HOT_ID = "hot_customer_id"
 _HOT_SCHEMA = T.StructType([T.StructField(_HOT_ID, T.StringType())])
@@ -27,22 +28,28 @@ class Heat:
 
     policy: HotKeyPolicy
     keys: DataFrame | None = None
+    short: bool = True  # the list has at most max_keys entries
+
+    def small(self, rows: DataFrame) -> DataFrame:
+        """Mark rows, one per hot customer, for broadcast if the list is short."""
+        return F.broadcast(rows) if self.short else rows
 
 
 def measure_heat(rows: DataFrame, policy: HotKeyPolicy | None = None) -> Heat:
     """Find the hot customers of ``rows`` (customer_id only is read).
 
-    The list brought to the driver holds fewer than ``policy.max_keys`` ids:
-    each of them owns more than ``1 / max_keys`` of the rows.
+    At most ``policy.max_keys + 1`` ids are brought to the driver; a longer list is
+    written to the work folder instead.
     """
     policy = policy or HotKeyPolicy()
     counts = rows.groupBy("customer_id").agg(F.count("*").alias("n"))
-    total, largest = counts.agg(F.sum("n"), F.max("n")).first()
-    limit = max(policy.min_rows, (total or 0) // policy.max_keys)
-    if (largest or 0) <= limit:
+    hot = counts.where(F.col("n") > policy.min_rows).select(F.col("customer_id").alias(_HOT_ID))
+    found = hot.limit(policy.max_keys + 1).collect()
+    if not found:
         return Heat(policy)
-    hot = counts.where(F.col("n") > limit).select(F.col("customer_id").alias(_HOT_ID)).collect()
-    return Heat(policy, rows.sparkSession.createDataFrame(hot, _HOT_SCHEMA))
+    if len(found) > policy.max_keys:
+        return Heat(policy, written(hot, "hot"), short=False)
+    return Heat(policy, rows.sparkSession.createDataFrame(found, _HOT_SCHEMA))
 
 
 @dataclass(frozen=True)
@@ -56,8 +63,8 @@ class Split:
     def lookup(self, other: DataFrame, how: str, null_safe: bool = False) -> Split:
         """Join on customer_id with a table of at most one row per customer.
 
-        The hot side meets fewer than ``max_keys`` such rows, so broadcasting
-        them is bounded and keeps the hot rows where they are. ``null_safe``
+        The hot side meets one such row per hot customer, so broadcasting them is
+        bounded while the list is short and keeps the hot rows where they are. ``null_safe``
         lets rows without a customer find each other.
         """
 
@@ -69,7 +76,7 @@ class Split:
 
         return self.map(
             lambda rows: joined(rows, other),
-            lambda rows: joined(rows, F.broadcast(_only_hot(other, self.heat, "left_semi"))),
+            lambda rows: joined(rows, self.heat.small(_only_hot(other, self.heat, "left_semi"))),
         )
 
     def where(self, condition) -> Split:
@@ -92,4 +99,4 @@ def split_by_heat(rows: DataFrame, heat: Heat) -> Split:
 def _only_hot(rows: DataFrame, heat: Heat, how: str) -> DataFrame:
     # null-safe: rows without a customer form a group too, and it can be hot
     same = F.col("customer_id").eqNullSafe(F.col(_HOT_ID))
-    return rows.join(F.broadcast(heat.keys), same, how)
+    return rows.join(heat.small(heat.keys), same, how)

@@ -52,12 +52,19 @@ def previous_transaction(txns: DataFrame, heat: Heat | None = None) -> DataFrame
 
 def attach_history(split: Split, bursts: Mapping[str, int], previous: bool) -> Split:
     step = split.heat.policy.slice_seconds
+    _check_widths(bursts, step)  # on both routes, so that data cannot decide about an error
     return split.map(
         lambda rows: plain_history(rows, bursts, previous),
         lambda rows: spread_history(rows, bursts, previous, step),
     )
 
 
+def _check_widths(bursts: Mapping[str, int], slice_seconds: int) -> None:
+    for name, seconds in bursts.items():
+        if seconds % slice_seconds:
+            raise ValueError(f"{name}: {seconds}s is not a multiple of slice_seconds={slice_seconds}")
+
+
 def plain_history(rows: DataFrame, bursts: Mapping[str, int], previous: bool) -> DataFrame:
     out = rows.withColumn("_at", event_position(F.col("transaction_timestamp")))
     by_time = Window.partitionBy("customer_id").orderBy("_at")
@@ -93,9 +100,7 @@ def spread_history(
 
     ``weight`` names a multiplicity column for rows that were pre-counted.
     """
-    for name, seconds in bursts.items():
-        if seconds % slice_seconds:
-            raise ValueError(f"{name}: {seconds}s is not a multiple of slice_seconds={slice_seconds}")
+    _check_widths(bursts, slice_seconds)
     span = slice_seconds * MICROS
     place = F.struct(*[F.col(old).alias(new) for new, old in _PREVIOUS.items()]) if previous else F.lit(None)
     tie = F.col("transaction_id") if previous else F.lit(None).cast("string")

@@ -52,13 +52,24 @@ DEVICES = (KEY, *BASELINE_COLUMNS[21:23])
 # -- statistics that merge from small partial states, whatever the group size --
 
 
+def _deviation(amount: Column) -> Column:
+    """Sample standard deviation from exact decimal sums, so that the order of the
+    rows does not show; sums beyond 38 digits fall back to doubles."""
+    n = F.count(amount)
+    total = F.sum(amount)
+    squares = F.try_sum(F.try_multiply(amount, amount))
+    spread = F.try_subtract(F.try_multiply(n.cast("decimal(18,0)"), squares), F.try_multiply(total, total))
+    exact = F.sqrt(spread.cast("double") / n / (n - 1))
+    return F.when(n > 1, F.coalesce(exact, F.stddev_samp(amount.cast("double"))))
+
+
 def _moments(p: RiskParams) -> list[Column]:
     amount = F.col("amount")
     known = F.nullif(F.count(amount), F.lit(0))
     return [
         # from the exact decimal sum: does not depend on the order of the rows
         (F.sum(amount).cast("double") / known).alias("avg_amount"),
-        F.stddev_samp(amount.cast("double")).alias("stddev_amount"),
+        _deviation(amount).alias("stddev_amount"),
         F.count("*").alias("txn_count_90d"),
         F.sum(amount).alias("total_spend_90d"),
         (F.count("*") / F.lit(float(p.baseline_lookback_days))).alias("avg_daily_txns"),

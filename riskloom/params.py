@@ -46,10 +46,10 @@ class RiskParams:
 class HotKeyPolicy:
     """When a customer counts as hot, and how its rows are spread.
 
-    A customer is hot when it owns more than ``min_rows`` rows *and* more than
-    ``1 / max_keys`` of all rows. The second condition proves that fewer than
-    ``max_keys`` customers can be hot, whatever the size of the data, which is
-    what makes the hot-customer list safe to broadcast.
+    A customer is hot when it owns more than ``min_rows`` rows, whatever the size
+    of the table: so much fits into one task. The list of hot customers is broadcast
+    while it has at most ``max_keys`` entries; a longer one is stored and joined by
+    a shuffle.
 
     Rows of hot customers are processed per time slice of ``slice_seconds``;
     burst widths must be multiples of it.
