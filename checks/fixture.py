@@ -39,8 +39,13 @@ _DIALECT = {
 }
 
 
-def raw_sql(dialect: str, events: str = "events") -> str:
-    """SELECT that turns events into raw transactions (16 columns, event_id, event time)."""
+def raw_sql(dialect: str, events: str = "events", silent_days: int = 0, gap_days: int = 0) -> str:
+    """SELECT that turns events into raw transactions (16 columns, event_id, event time).
+
+    ``silent_days`` moves some customers' last rows so far back: they arrive late,
+    and these customers are not active in a second run. ``gap_days`` moves other
+    customers' first rows back and leaves a gap before the last ones.
+    """
     d = _DIALECT[dialect]
     text = d["text"]
 
@@ -85,7 +90,10 @@ select
 from (
   select event_id, ts, user_id, event_type, value,
     case when event_id % 41 = 0 then (user_id + 1) % 5 else user_id % 5 end as cc,
-    case when user_id % 10 in (3, 4) and ts >= {as_of}
+    case when user_id % 50 in (12, 13) and ts < {as_of} then {d["hours"].format(n=25 * 24)}
+         when {silent_days} > 0 and user_id % 50 = 14 and ts >= {as_of} then {d["hours"].format(n=-24 * silent_days)}
+         when {gap_days} > 0 and user_id % 50 = 16 and ts < {as_of} then {d["hours"].format(n=-24 * gap_days)}
+         when user_id % 10 in (3, 4) and ts >= {as_of}
            then {squeezed("2024-01-25 00:00:00", "2024-01-27 12:00:00")}
          when user_id % 10 = 4 and ts >= {d["ts"]}'2024-01-08 00:00:00' and ts < {d["ts"]}'2024-01-14 00:00:00'
            then {squeezed("2024-01-08 00:00:00", "2024-01-10 12:00:00")}
@@ -93,13 +101,12 @@ from (
            then {d["hours"].format(n=8)}
          else ts end as shifted_ts
   from {events}
-  where not (user_id % 50 in (12, 13) and ts < {as_of})
 ) e"""
 
 
-def raw_with_origin(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_with_origin(spark: SparkSession, sf_dir: str, **moved: int) -> DataFrame:
     """Raw transactions plus the event columns they came from."""
-    return spark.sql(raw_sql("spark", "{events}"), events=spark.read.parquet(f"{sf_dir}/events.parquet"))
+    return spark.sql(raw_sql("spark", "{events}", **moved), events=spark.read.parquet(f"{sf_dir}/events.parquet"))
 
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:

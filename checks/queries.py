@@ -7,17 +7,19 @@ that engines which add in another order compare equal.
 from __future__ import annotations
 
 import datetime as dt
+import tempfile
 from collections.abc import Callable
 from dataclasses import replace
+from functools import wraps
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from checks.fixture import AS_OF, RUN_TS, SECOND_AS_OF, SECOND_RUN_TS, raw_transactions, raw_with_origin
 from riskloom.operators import evaluation, history, monitoring, profile, quality, scoring, staging
 from riskloom.operators.heat import Heat, measure_heat
-from riskloom.params import RiskParams
+from riskloom.params import HotKeyPolicy, RiskParams
 from riskloom.plans.cycle import Store, run_cycle
 from riskloom.plans.refresh import refresh_baseline, refresh_scores, unscored
 from riskloom.session import work_folder, written
@@ -124,8 +126,7 @@ def stream_ingest(spark, sf_dir):
     _sent(spark, sf_dir).repartition(4).write.parquet(f"{folder}/messages")
     source = messages.message_files(spark, f"{folder}/messages", files_per_batch=2)
     ingest_stream(source, f"{folder}/raw", f"{folder}/checkpoint", DRAIN).awaitTermination()
-    schema = T.StructType([f for f in tables.LANDED_SCHEMA if f.name != "ingest_batch"])
-    return spark.read.schema(schema).parquet(f"{folder}/raw").drop("ingested_at")
+    return tables.read_raw(spark, f"{folder}/raw").drop("ingested_at", "ingest_batch")
 
 
 # -- profile -----------------------------------------------------------------
@@ -243,18 +244,12 @@ def risk_level_summary(spark, sf_dir):
 # -- stored tables, two runs -------------------------------------------------
 
 
-def _arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw rows in which some customers fall silent after the first run."""
-    rows = raw_with_origin(spark, sf_dir)
-    silent = (F.col("user_id") % 50 == 14) & (F.col("event_ts") >= F.lit("2024-01-25").cast("timestamp_ntz"))
-    return rows.where(~silent).drop("event_id", "user_id", "event_ts")
+SILENT = {"silent_days": 25}  # some customers fall silent after the first run
 
 
-def _land_in_two(
-    spark: SparkSession, sf_dir: str, name: str, keep: Column | str = "true"
-) -> tuple[Store, DataFrame]:
+def _land_in_two(spark: SparkSession, sf_dir: str, name: str, moved: dict[str, int] = SILENT) -> tuple[Store, DataFrame]:
     store = Store(spark, work_folder(spark, name))
-    raw = _arrivals(spark, sf_dir).where(keep)
+    raw = raw_with_origin(spark, sf_dir, **moved).drop("event_id", "user_id", "event_ts")
     tables.land_batch(_first_run(raw), store.raw_path, 0)
     rest = raw.where(F.col("ingested_at") >= F.lit("2024-01-25").cast("timestamp_ntz"))
     return store, rest
@@ -274,8 +269,8 @@ def baseline_incremental(spark, sf_dir):
     return _rounded(_two_baselines(store, rest)[1])
 
 
-def mart_incremental(spark, sf_dir):
-    store, rest = _land_in_two(spark, sf_dir, "mart")
+def _two_marts(spark: SparkSession, sf_dir: str, moved: dict[str, int]) -> DataFrame:
+    store, rest = _land_in_two(spark, sf_dir, "mart", moved)
 
     def score_first(txns, baseline):
         refresh_scores(txns, baseline, store.mart, AS_OF, RUN_TS)
@@ -285,6 +280,53 @@ def mart_incremental(spark, sf_dir):
     return _rounded(store.mart.read())
 
 
+def mart_incremental(spark, sf_dir):
+    return _two_marts(spark, sf_dir, SILENT)
+
+
+def late_beyond_lookback(spark, sf_dir):
+    """Rows that are older than the look-back when they arrive are scored too."""
+    return _two_marts(spark, sf_dir, {"silent_days": 150})
+
+
+def mart_incremental_gap(spark, sf_dir):
+    """The row before a new one may be older than the look-back."""
+    return _two_marts(spark, sf_dir, {"gap_days": 150})
+
+
+def quarantine_report(spark, sf_dir):
+    """What a run with unreadable times sets aside, by reason."""
+    rows = raw_with_origin(spark, sf_dir)
+    time = F.when(F.col("event_id") % 71 == 0, "soon").otherwise(F.col("transaction_timestamp"))
+    store = Store(spark, work_folder(spark, "quarantine"))
+    tables.land_batch(rows.withColumn("transaction_timestamp", time), store.raw_path, 0)
+    run_cycle(store, AS_OF, RUN_TS)
+    return spark.read.parquet(store.quarantine_path).groupBy("reason").agg(F.count("*").alias("rows"))
+
+
+# -- hot customers: a low limit sends most rows over the second route ----------
+
+FEW = HotKeyPolicy(min_rows=60)
+
+
+def customer_baseline_hot(spark, sf_dir):
+    txns = _staged(spark, sf_dir)
+    return _rounded(profile.customer_baseline(txns, AS_OF, RUN_TS, heat=measure_heat(txns, FEW)))
+
+
+def burst_counts_hot(spark, sf_dir):
+    txns = _staged(spark, sf_dir)
+    rows = history.burst_counts(txns, heat=measure_heat(txns, FEW))
+    return rows.select("transaction_id", "customer_id", "transaction_timestamp", *history.PROFILE_BURSTS)
+
+
+def mart_hot(spark, sf_dir):
+    txns = _staged(spark, sf_dir)
+    heat = measure_heat(txns, FEW)
+    baseline = written(profile.customer_baseline(txns, AS_OF, RUN_TS, heat=heat), "baseline")
+    return _rounded(scoring.score_transactions(txns, baseline, RUN_TS, heat=heat))
+
+
 def schema_append(spark, sf_dir):
     """Profiles of a second run bring a new column; old rows get NULL in it."""
     txns = _staged(spark, sf_dir)
@@ -395,8 +437,8 @@ def _cycle_rows(store: Store, as_of: dt.date, now: dt.datetime) -> DataFrame:
 
 
 def run_two_cycles(spark, sf_dir):
-    # without rows that fail a check, which would hold the alerts back
-    store, rest = _land_in_two(spark, sf_dir, "cycle", F.col("transaction_id").isNotNull())
+    # rows without id fail a check, which holds the alerts back
+    store, rest = _land_in_two(spark, sf_dir, "cycle")
     first = written(_cycle_rows(store, AS_OF, RUN_TS), "cycle")
     tables.land_batch(rest, store.raw_path, 1)
     return first.unionByName(_cycle_rows(store, SECOND_AS_OF, SECOND_RUN_TS))
@@ -410,16 +452,15 @@ def stream_score(spark, sf_dir):
     tables.land_batch(raw.where(is_history), store.raw_path, 0)
     later = messages.encode_messages(raw.where(~is_history))
     inbox = f"{store.root}/inbox"
-    edges = ["2024-01-25", "2024-01-27 12:00:00", "2024-01-31"]
-    for start, end in zip(edges, edges[1:]):
-        slot = (F.col("timestamp") >= F.lit(start).cast("timestamp")) & (F.col("timestamp") < F.lit(end).cast("timestamp"))
+    noon = F.lit("2024-01-27 12:00:00").cast("timestamp")
+    for slot in (F.col("timestamp") < noon, F.col("timestamp") >= noon):
         later.where(slot).write.mode("append").parquet(inbox)
         source = messages.message_files(spark, inbox)
         # the checkpoint knows what the query before has read
         score_stream(
-            source, store, f"{store.root}/checkpoint", lambda: RUN_TS, trigger=DRAIN, first_batch=1
+            source, store, f"{store.root}/checkpoint", lambda: RUN_TS, trigger=DRAIN
         ).awaitTermination()
-    return _rounded(store.mart.read().where(F.col("transaction_date") >= F.lit(AS_OF)))
+    return _rounded(store.mart.read())
 
 
 def detection_metrics(spark, sf_dir):
@@ -428,6 +469,19 @@ def detection_metrics(spark, sf_dir):
     return _rounded(evaluation.detection_metrics(_scored(spark, sf_dir), rules))
 
 
+def _with_work_folder(query: Callable) -> Callable:
+    """Local sessions without a shared folder get one of this machine."""
+
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        unset = not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir())
+        if unset and spark.sparkContext.master.startswith("local["):
+            spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="checks-"))
+        return query(spark, sf_dir)
+
+    return run
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stg_transactions": stg_transactions,
     "json_decode": json_decode,
@@ -459,6 +513,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "risk_level_summary": risk_level_summary,
     "baseline_incremental": baseline_incremental,
     "mart_incremental": mart_incremental,
+    "late_beyond_lookback": late_beyond_lookback,
+    "mart_incremental_gap": mart_incremental_gap,
+    "quarantine_report": quarantine_report,
+    "customer_baseline_hot": customer_baseline_hot,
+    "burst_counts_hot": burst_counts_hot,
+    "mart_hot": mart_hot,
     "schema_append": schema_append,
     "dq_unique": dq_unique,
     "dq_not_null": dq_not_null,
@@ -471,3 +531,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_score": stream_score,
     "detection_metrics": detection_metrics,
 }
+QUERIES = {name: _with_work_folder(query) for name, query in QUERIES.items()}

@@ -43,10 +43,16 @@ def stage_transactions(raw: DataFrame, strict: bool = True) -> DataFrame:
 
 
 def quarantine(raw: DataFrame) -> DataFrame:
-    """Raw rows that staging would drop or could not read."""
+    """Raw rows that staging would drop or could not read, with the reason."""
     ts = F.col("transaction_timestamp")
     unreadable = ts.isNotNull() & ts.try_cast("timestamp_ntz").isNull()
-    return raw.where(F.col("transaction_id").isNull() | unreadable)
+    reason = F.when(F.col("transaction_id").isNull(), "no_id").when(unreadable, "unreadable_time")
+    return raw.withColumn("reason", reason).where(F.col("reason").isNotNull())
+
+
+def quarantine_report(raw: DataFrame) -> DataFrame:
+    """Rows held back, by reason."""
+    return quarantine(raw).groupBy("reason").agg(F.count("*").alias("rows"))
 
 
 def lookback(txns: DataFrame, as_of: dt.date, days: int) -> DataFrame:

@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskloom.operators.heat import measure_heat
 from riskloom.operators.monitoring import alert_route, freshness_check
 from riskloom.operators.quality import quality_report
-from riskloom.operators.staging import stage_transactions
+from riskloom.operators.staging import quarantine, stage_transactions
 from riskloom.params import HotKeyPolicy, RiskParams
 from riskloom.plans.refresh import refresh_baseline, refresh_scores
 from riskloom.schemas import MART_SCHEMA
-from riskloom.sources.tables import DailyTable, VersionedTable, read_raw
+from riskloom.sources.tables import DailyTable, Ledger, VersionedTable, landed_batches, read_raw
 
 
 @dataclass(frozen=True)
@@ -28,8 +30,21 @@ class Store:
     def raw_path(self) -> str:
         return f"{self.root}/raw_transactions"
 
-    def raw(self) -> DataFrame:
-        return read_raw(self.spark, self.raw_path)
+    def raw(self, batches: list[str] | None = None) -> DataFrame:
+        return read_raw(self.spark, self.raw_path, batches)
+
+    @property
+    def scored_batches(self) -> Ledger:
+        return Ledger(self.spark, f"{self.root}/scored_batches")
+
+    @property
+    def quarantine_path(self) -> str:
+        return f"{self.root}/quarantine"
+
+    def pending(self) -> list[str]:
+        """Landed batches that were not scored yet."""
+        done = self.scored_batches.names()
+        return [n for n in landed_batches(self.spark, self.raw_path) if n not in done]
 
     @property
     def baseline(self) -> VersionedTable:
@@ -52,6 +67,45 @@ class CycleReport:
     freshness: DataFrame
     quality: DataFrame
     alert: DataFrame | None
+    quarantined: int = 0
+
+
+def set_aside(store: Store, raw: DataFrame, batches: list[str]) -> int:
+    """Write rows of the batches that staging cannot use beside the tables; their number."""
+    held = quarantine(raw)
+    n = held.count()
+    if n:
+        # again after a run that broke off: the same folder
+        folder = hashlib.sha256("|".join(sorted(batches)).encode()).hexdigest()[:16]
+        held.write.mode("overwrite").parquet(f"{store.quarantine_path}/part={folder}")
+    return n
+
+
+def refresh(
+    store: Store,
+    as_of: dt.date,
+    now: dt.datetime,
+    p: RiskParams,
+    policy: HotKeyPolicy,
+    strict: bool = False,
+    **scoring,
+) -> int:
+    """Bring profile and scores up to the landed batches; number of rows set aside.
+
+    The batches that are not in the ledger of scored ones drive the work. They enter
+    it last, so a run that broke off is repeated.
+    """
+    batches = store.pending()
+    arrived = store.raw(batches)
+    held = 0 if strict else set_aside(store, arrived, batches)
+    txns = stage_transactions(store.raw(), strict)
+    day = F.col("transaction_date")
+    heat = measure_heat(txns.where(day.isNull() | (day >= F.lit(as_of - dt.timedelta(days=p.baseline_lookback_days)))), policy)
+    new = stage_transactions(arrived, strict)
+    baseline = refresh_baseline(txns, store.baseline, as_of, now, p, heat, arrived=new)
+    refresh_scores(txns, baseline, store.mart, as_of, now, p, heat, arrived=new, **scoring)
+    store.scored_batches.add(batches)
+    return held
 
 
 def run_cycle(
@@ -60,21 +114,21 @@ def run_cycle(
     now: dt.datetime,
     p: RiskParams = RiskParams(),
     policy: HotKeyPolicy = HotKeyPolicy(),
+    strict: bool = False,
     **scoring,
 ) -> CycleReport:
     """Freshness, profile, scores, quality checks, alert route.
 
-    A stale raw table is reported and stops nothing. Failed quality checks hold
-    the alert back: ``alert`` is None then. ``scoring`` goes to
+    A stale raw table is reported and stops nothing. Rows that cannot be read are
+    set aside and counted; with ``strict`` they end the run. Failed quality checks
+    hold the alert back: ``alert`` is None then. ``scoring`` goes to
     ``refresh_scores``.
     """
     raw = store.raw()
     freshness = freshness_check(raw, now, p)
-    txns = stage_transactions(raw)
-    heat = measure_heat(txns, policy)
-    baseline = refresh_baseline(txns, store.baseline, as_of, now, p, heat)
-    refresh_scores(txns, baseline, store.mart, as_of, now, p, heat, **scoring)
-    scored = store.mart.read()
+    held = refresh(store, as_of, now, p, policy, strict, **scoring)
+    txns = stage_transactions(raw, strict)
+    baseline, scored = store.baseline.read(), store.mart.read()
     quality = quality_report(
         {
             "raw_transactions": raw,
@@ -87,4 +141,4 @@ def run_cycle(
     lines = quality.collect()
     quality = store.spark.createDataFrame(lines, quality.schema)
     failed = any(line["failures"] for line in lines)
-    return CycleReport(freshness, quality, None if failed else alert_route(scored, now, p))
+    return CycleReport(freshness, quality, None if failed else alert_route(scored, now, p), held)

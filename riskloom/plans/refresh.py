@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from riskloom.operators.heat import Heat, measure_heat, split_by_heat
 from riskloom.operators.profile import customer_baseline
 from riskloom.operators.scoring import score_transactions
-from riskloom.operators.staging import active_customers, newer_than
+from riskloom.operators.staging import active_customers, lookback, newer_than
 from riskloom.params import RiskParams
 from riskloom.session import scratch
 from riskloom.sources.tables import DailyTable, VersionedTable, without_copies
@@ -27,18 +28,32 @@ def refresh_baseline(
     p: RiskParams = RiskParams(),
     heat: Heat | None = None,
     full: bool = False,
+    arrived: DataFrame | None = None,
 ) -> DataFrame:
     """Recompute the profiles of customers active since the last run.
 
     Others keep the profile they have. An empty or missing table, or ``full``,
-    makes it a full refresh.
+    makes it a full refresh. ``arrived`` are the rows landed since the last run: a
+    customer among them with a row in the look-back gets a new profile, however late
+    that row is. A second run on the same day recomputes these customers only, since
+    a profile leaves the running day out.
     """
     existing = None if full else table.read()
     since = existing.agg(F.max("baseline_date")).first()[0] if existing is not None else None
     if since is None:
         return table.replace(customer_baseline(txns, as_of, run_ts, p, heat))
-    updates = customer_baseline(txns, as_of, run_ts, p, heat, only=active_customers(txns, since))
-    return table.upsert(updates, "customer_id", on_change="append_new_columns")
+    late = None if arrived is None else lookback(arrived, as_of, p.baseline_lookback_days).select("customer_id").distinct()
+    if since >= as_of:
+        if late is None or late.isEmpty():
+            return existing
+        only = late
+    else:
+        only = active_customers(txns, since)
+        only = only if late is None else only.union(late).distinct()
+    updates = customer_baseline(txns, as_of, run_ts, p, heat, only=only)
+    rows = table.upsert(updates, "customer_id", on_change="append_new_columns")
+    table.forget_old_versions()
+    return rows
 
 
 def _dated_from(day: dt.date) -> Column:
@@ -49,8 +64,8 @@ def _dated_from(day: dt.date) -> Column:
 def unscored(txns: DataFrame, scored: DataFrame | None, mode: str = "missing", first_day: dt.date | None = None) -> DataFrame:
     """Ids and times of the rows to score.
 
-    ``missing``: every row dated ``first_day`` or later whose id is not in the
-    scored table, however late it came. ``high_water``: rows after the latest
+    ``missing``: every row (dated ``first_day`` or later, if that is given) whose id
+    is not in the scored table, however late it came. ``high_water``: rows after the latest
     scored timestamp; cheap, but late rows are never scored.
     """
     keys = txns.select("transaction_id", "customer_id", "transaction_timestamp", "transaction_date")
@@ -80,13 +95,17 @@ def refresh_scores(
     context: str = "full",
     rescore_later: bool = False,
     late_days: int | None = None,
+    arrived: DataFrame | None = None,
 ) -> None:
     """Score what is new and put it into the scored table.
 
-    ``context="full"`` lets new rows see the customer's earlier rows of the
-    look-back window, so the result equals scoring everything at once;
-    ``"slice"`` shows them each other only. ``late_days`` (default: the look-back)
-    bounds how old a row may be to be picked up. ``heat`` may be that of any larger
+    New is what is not in the scored table, whatever its date. ``arrived`` names the
+    candidates, the rows of batches that were not scored yet, so that neither table
+    is read as a whole: the scored table is searched on the candidates' days only.
+    Without it all rows are candidates, and ``late_days`` may bound how old they are.
+
+    ``context="full"`` lets new rows see the customer's earlier rows, so the result
+    equals scoring everything at once; ``"slice"`` shows them each other only. ``heat`` may be that of any larger
     set of rows: who is not hot there has few enough rows here. With ``rescore_later`` rows that
     follow a late one, and may have lost their predecessor to it, are scored again.
     """
@@ -97,11 +116,15 @@ def refresh_scores(
         if scored is None or scored.isEmpty():
             rows, ids = score_transactions(txns, baseline, run_ts, p, heat, extra=("_ingested_at",)), txns
         else:
-            days = p.baseline_lookback_days if late_days is None else late_days
-            new = keep(unscored(txns, scored, mode, as_of - dt.timedelta(days=days)), "new")
+            if arrived is None:
+                first_day = None if late_days is None else as_of - dt.timedelta(days=late_days)
+                new = keep(unscored(txns, scored, mode, first_day), "new")
+            else:
+                arrived = keep(arrived.select("transaction_id", "customer_id", "transaction_timestamp", "transaction_date"), "arrived")
+                new = keep(unscored(arrived, scored.where(_on_days_of(arrived)), mode), "new")
             if new.isEmpty():
                 return
-            context_rows, heat = _with_context(txns, new, as_of, p, heat, context, rescore_later)
+            context_rows, heat = _with_context(txns, new, as_of, p, heat, context, rescore_later, keep)
             rows = score_transactions(
                 context_rows, baseline, run_ts, p, heat, only=F.col("_wanted"), extra=("_ingested_at",)
             )
@@ -113,6 +136,12 @@ def refresh_scores(
             table.upsert(rows)
 
 
+def _on_days_of(rows: DataFrame) -> Column:
+    """Dated on a day of the rows, or undated (one literal per day reaches the files)."""
+    days = [r[0] for r in rows.select("transaction_date").distinct().collect()]
+    return F.col("transaction_date").isin([d for d in days if d is not None]) | F.col("transaction_date").isNull()
+
+
 def _with_context(
     txns: DataFrame,
     new: DataFrame,
@@ -121,8 +150,14 @@ def _with_context(
     heat: Heat | None,
     context: str,
     rescore_later: bool,
+    keep: Callable,
 ) -> tuple[DataFrame, Heat]:
-    """New rows (``_wanted``) and the earlier rows of their customers."""
+    """New rows (``_wanted``) and the earlier rows of their customers.
+
+    Counts look an hour back and need the look-back window at most. The previous
+    transaction may be any time ago: customers whose first row in scope is wanted
+    bring their last row before the scope along, found on the older days.
+    """
     # predecessors are looked for in the look-back window, or as far before the
     # oldest new row if that lies outside of it
     first_day = as_of - dt.timedelta(days=p.baseline_lookback_days)
@@ -133,9 +168,12 @@ def _with_context(
         first_day = oldest - dt.timedelta(days=p.baseline_lookback_days)
     scope = txns if first_day is None else txns.where(_dated_from(first_day))
 
-    heat = heat or measure_heat(scope)
     # one row per customer with something new
     arrivals = new.groupBy("customer_id").agg(F.min("transaction_timestamp").alias("_first_new"))
+    if context == "full" and first_day is not None:
+        older = _last_before(txns, scope, keep(arrivals, "arrivals"), first_day)
+        scope = scope.unionByName(older, allowMissingColumns=True)
+    heat = heat or measure_heat(scope)
     rows = split_by_heat(scope, heat).lookup(arrivals, "inner", null_safe=True).merged()
     ids = new.select("transaction_id").distinct().withColumn("_new", F.lit(True))
     rows = rows.join(ids, "transaction_id", "left")
@@ -150,3 +188,17 @@ def _with_context(
     # context rows travel without what only scored rows need
     light = [c if c in (*_CONTEXT, "_wanted") else F.when(F.col("_wanted"), F.col(c)).alias(c) for c in rows.columns]
     return rows.select(*light), heat
+
+
+def _last_before(txns: DataFrame, scope: DataFrame, arrivals: DataFrame, first_day: dt.date) -> DataFrame:
+    """The last row dated before ``first_day`` of customers who have no earlier row
+    in scope than their first new one. Only their ids and places are read, from the
+    days before, and pre-aggregated per customer."""
+    first = scope.groupBy("customer_id").agg(F.min("transaction_timestamp").alias("_first"))
+    same = first["customer_id"].eqNullSafe(arrivals["customer_id"])
+    alone = arrivals.join(first, same, "left").where(F.col("_first").isNull() | (F.col("_first") >= F.col("_first_new")))
+    alone = alone.select(arrivals["customer_id"].alias("_who")).distinct()
+    before = txns.where(F.col("transaction_date") < F.lit(first_day)).select(*_CONTEXT)
+    before = before.join(alone, before["customer_id"].eqNullSafe(alone["_who"]), "left_semi")
+    last = F.max_by(F.struct(*_CONTEXT), F.struct("transaction_timestamp", "transaction_id"))
+    return before.groupBy("customer_id").agg(last.alias("_last")).select("_last.*")

@@ -33,9 +33,6 @@ RAW_SCHEMA = T.StructType(
     ]
 )
 
-# Columns a raw row must carry; checked by the quality suite, not at write time.
-RAW_REQUIRED = ("transaction_id", "customer_id", "amount", "transaction_timestamp")
-
 # Output columns of the profile and of the scored table, in order.
 BASELINE_COLUMNS = (
     "customer_id",

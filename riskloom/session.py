@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -21,16 +20,10 @@ RECOMMENDED = {
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
-    """A new folder for intermediate tables under ``spark.checkpoint.dir``.
-
-    Without that setting a temporary folder is used, in local mode only: on a
-    cluster the executors would not share it.
-    """
+    """A new folder for intermediate tables under ``spark.checkpoint.dir``."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="riskloom-")
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     return f"{base.rstrip('/')}/riskloom/{name}-{uuid.uuid4().hex}"
 
 

@@ -18,7 +18,7 @@ from riskloom.schemas import RAW_SCHEMA
 from riskloom.session import files, scratch
 
 LANDED_SCHEMA = T.StructType(
-    RAW_SCHEMA.fields + [T.StructField("event_date", T.DateType()), T.StructField("ingest_batch", T.LongType())]
+    RAW_SCHEMA.fields + [T.StructField("event_date", T.DateType()), T.StructField("ingest_batch", T.StringType())]
 )
 
 
@@ -33,23 +33,120 @@ def with_event_date(raw: DataFrame) -> DataFrame:
     return raw.withColumn("event_date", F.col("transaction_timestamp").try_cast("date"))
 
 
-def land_batch(raw: DataFrame, path: str, batch_id: int) -> None:
-    """Add one batch to the raw table; landing it again replaces it."""
-    rows = with_event_date(raw.select(*RAW_SCHEMA.fieldNames())).withColumn(
-        "ingest_batch", F.lit(batch_id).cast("long")
-    )
-    (
-        # one or a few files per day instead of one per task and day
-        rows.hint("rebalance", "event_date")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("event_date", "ingest_batch")
-        .parquet(path)
-    )
+class BatchExists(ValueError):
+    """Another batch has been landed under this name."""
+
+
+_BATCH = "ingest_batch"
+
+
+def batch_name(batch_id: int, owner: str) -> str:
+    """Batches are numbered per owner: a new or lost checkpoint starts again at 0."""
+    return f"{owner}-{batch_id}"
+
+
+def land_batch(raw: DataFrame, path: str, batch_id: int, owner: str = "batch", replay: bool = False) -> str:
+    """Add one batch to the raw table, which never changes landed rows; returns its name.
+
+    ``owner`` tells who numbers the batches (a streaming query's id). A name that was
+    landed before is refused, or skipped with ``replay``: a restarted stream sends
+    its last batch again. A landing that broke off is repeated as a whole.
+    """
+    spark, name = raw.sparkSession, batch_name(batch_id, owner)
+    folder = f"{path}/{_BATCH}={name}"
+    if _exists(spark, f"{folder}/_SUCCESS") or name in _compacted(spark, path):
+        if replay:
+            return name
+        raise BatchExists(name)
+    rows = with_event_date(raw.select(*RAW_SCHEMA.fieldNames()))
+    # one or a few files per day instead of one per task and day
+    rows.hint("rebalance", "event_date").write.mode("overwrite").partitionBy("event_date").parquet(folder)
+    return name
+
+
+def landed_batches(spark: SparkSession, path: str) -> list[str]:
+    """Names of all landed batches, merged ones included."""
+    merged_into = _compacted(spark, path)
+    return sorted({n for n in _folders(spark, path) if n not in merged_into.values()} | merged_into.keys())
+
+
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    fs, p = files(spark, path)
+    if not fs.exists(p):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
+    names = [n.removeprefix(f"{_BATCH}=") for n in names if n.startswith(f"{_BATCH}=")]
+    return [n for n in names if _exists(spark, f"{path}/{_BATCH}={n}/_SUCCESS")]
 
 
-def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(LANDED_SCHEMA).parquet(path)
+def _merges(spark: SparkSession, path: str) -> VersionedTable:
+    return VersionedTable(spark, f"{path}_merges")
+
+
+def _compacted(spark: SparkSession, path: str) -> dict[str, str]:
+    """Merged batches and the folder that holds their rows."""
+    found = _merges(spark, path).read()
+    return {} if found is None else {r["batch"]: r["folder"] for r in found.collect()}
+
+
+def compact_raw(spark: SparkSession, path: str, least: int = 32) -> None:
+    """Merge the batches landed since the last call into one folder, if there are ``least``.
+
+    Rows keep the name of their batch. The list of merges, written last, switches
+    readers from the old folders to the new one; only then the old ones go.
+    """
+    merged_into = _compacted(spark, path)
+    small = [n for n in _folders(spark, path) if n not in merged_into and not n.startswith("merged-")]
+    if len(small) >= least:
+        folder = f"merged-{len(set(merged_into.values()))}"
+        rows = _read_folders(spark, path, small)
+        rows = rows.withColumnRenamed(_BATCH, "batch").hint("rebalance", "event_date")
+        rows.write.mode("overwrite").partitionBy("event_date").parquet(f"{path}/{_BATCH}={folder}")
+        merged_into |= dict.fromkeys(small, folder)
+        table = _merges(spark, path)
+        table.replace(spark.createDataFrame(sorted(merged_into.items()), "batch string, folder string"))
+        table.forget_old_versions()
+    for name in set(_folders(spark, path)) & merged_into.keys():
+        fs, p = files(spark, f"{path}/{_BATCH}={name}")
+        fs.delete(p, True)
+
+
+def _read_folders(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
+    folders = [f"{path}/{_BATCH}={n}" for n in names]
+    stored = T.StructType([*LANDED_SCHEMA.fields, T.StructField("batch", T.StringType())])
+    if not folders:
+        return spark.createDataFrame([], LANDED_SCHEMA)
+    rows = spark.read.schema(stored).option("basePath", path).parquet(*folders)
+    # rows of merged folders carry the name of their batch
+    return rows.withColumn(_BATCH, F.coalesce("batch", _BATCH)).drop("batch")
+
+
+def read_raw(spark: SparkSession, path: str, batches: list[str] | None = None) -> DataFrame:
+    """The raw table, or the rows of some batches (whose folders alone are read)."""
+    merged_into = _compacted(spark, path)
+    live = {n for n in _folders(spark, path) if n not in merged_into and not n.startswith("merged-")}
+    if batches is None:
+        return _read_folders(spark, path, sorted(live | set(merged_into.values())))
+    wanted = {merged_into.get(n, n) for n in batches}
+    rows = _read_folders(spark, path, sorted(wanted & (live | set(merged_into.values()))))
+    return rows if wanted <= live else rows.where(F.col(_BATCH).isin(batches))
+
+
+@dataclass(frozen=True)
+class Ledger:
+    """Names of batches that are done, one empty folder each."""
+
+    spark: SparkSession
+    path: str
+
+    def names(self) -> set[str]:
+        fs, p = files(self.spark, self.path)
+        return {s.getPath().getName() for s in fs.listStatus(p)} if fs.exists(p) else set()
+
+    def add(self, names: list[str]) -> None:
+        for name in names:
+            fs, p = files(self.spark, f"{self.path}/{name}")
+            fs.mkdirs(p)
 
 
 # -- upsert building blocks --------------------------------------------------

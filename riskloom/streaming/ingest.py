@@ -2,28 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from riskloom.sources.messages import decode_messages
-from riskloom.sources.tables import with_event_date
+from riskloom.sources.tables import compact_raw, land_batch
 
 TRIGGER = {"processingTime": "30 seconds"}  # fixed value
 DRAIN = {"availableNow": True}  # for scheduled runs and tests
 
 
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id under which a checkpoint's query numbers its batches."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
 def ingest_stream(messages: DataFrame, path: str, checkpoint: str, trigger: dict = TRIGGER) -> StreamingQuery:
-    """Append decoded messages to a Parquet table laid out by event date.
+    """Append decoded messages to the raw table.
 
-    The file sink's log and the checkpoint make each message appear once.
+    Batches land as in ``score_stream``, so readers see the rows of both; each batch
+    appears once, and small batches are merged from time to time.
     """
-    return (
-        with_event_date(decode_messages(messages))
-        .writeStream.format("parquet")
-        .outputMode("append")
-        .partitionBy("event_date")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
-        .start()
-    )
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        land_batch(decode_messages(batch), path, batch_id, query_id(spark, checkpoint), replay=True)
+        compact_raw(spark, path)
+
+    return messages.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(**trigger).start()

@@ -8,14 +8,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from riskloom.operators.heat import measure_heat
-from riskloom.operators.staging import stage_transactions
 from riskloom.params import HotKeyPolicy, RiskParams
-from riskloom.plans.cycle import Store
-from riskloom.plans.refresh import refresh_baseline, refresh_scores
+from riskloom.plans.cycle import Store, refresh
 from riskloom.sources.messages import decode_messages
-from riskloom.sources.tables import land_batch
-from riskloom.streaming.ingest import TRIGGER
+from riskloom.sources.tables import compact_raw, land_batch
+from riskloom.streaming.ingest import TRIGGER, query_id
 
 
 def _utc_now() -> dt.datetime:
@@ -30,26 +27,25 @@ def score_stream(
     p: RiskParams = RiskParams(),
     policy: HotKeyPolicy = HotKeyPolicy(),
     trigger: dict = TRIGGER,
-    first_batch: int = 0,
+    strict: bool = False,
 ) -> StreamingQuery:
     """Land each micro-batch, refresh touched profiles, score what is new.
 
     Previous rows and trailing counts are ordered windows, which a streaming
     plan does not have; inside ``foreachBatch`` they run on the stored tables.
     Rows that follow a late arrival are scored again, so the table ends up as if
-    everything had been scored at once. Every step may be repeated: landing
-    replaces the batch's own folders and scored rows are not scored twice.
-
-    ``first_batch`` numbers the batches when the raw table has earlier ones.
+    everything had been scored at once. Every step may be repeated: batches are
+    known by the query's id and their number, a landed one is not landed again, and
+    scored rows are not scored twice. Rows that cannot be read are set aside; with
+    ``strict`` they end the query.
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
         now = clock()
-        land_batch(decode_messages(batch), store.raw_path, first_batch + batch_id)
-        txns = stage_transactions(store.raw())
-        heat = measure_heat(txns, policy)
-        baseline = refresh_baseline(txns, store.baseline, now.date(), now, p, heat)
-        refresh_scores(txns, baseline, store.mart, now.date(), now, p, heat, rescore_later=True)
+        spark = store.spark
+        land_batch(decode_messages(batch), store.raw_path, batch_id, query_id(spark, checkpoint), replay=True)
+        refresh(store, now.date(), now, p, policy, strict, rescore_later=True)
+        compact_raw(spark, store.raw_path)
 
     return (
         messages.writeStream.foreachBatch(step)

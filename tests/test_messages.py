@@ -10,6 +10,7 @@ from riskloom.operators.staging import quarantine, stage_transactions
 from riskloom.schemas import MESSAGE_SCHEMA, RAW_SCHEMA
 from riskloom.session import work_folder
 from riskloom.sources.messages import ENVELOPE, broker_messages, decode_messages, encode_messages, message_files, undecodable
+from riskloom.sources.tables import read_raw
 from riskloom.streaming.ingest import DRAIN, ingest_stream
 
 FULL = {
@@ -90,7 +91,7 @@ def test_stream_lands_each_message_once_across_restarts(spark):
         for _ in range(2):  # the second time there is nothing to do
             source = message_files(spark, f"{folder}/in", files_per_batch=1)
             ingest_stream(source, f"{folder}/raw", f"{folder}/cp", DRAIN).awaitTermination()
-    landed = spark.read.parquet(f"{folder}/raw")
+    landed = read_raw(spark, f"{folder}/raw")
     assert landed.count() == landed.select("transaction_id").distinct().count() == 20
     assert [r[0] for r in landed.select("event_date").distinct().collect()] == [dt.date(2024, 1, 2)]
     assert landed.where(F.col("ingested_at").isNull()).count() == 0

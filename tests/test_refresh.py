@@ -72,6 +72,28 @@ def test_high_water_skips_late_rows_and_slice_forgets_the_past(spark, store):
     assert want["T4"] != got["T4"] and want["T5"] != got["T5"]
 
 
+def test_rows_older_than_the_look_back_are_scored_and_found_as_predecessors(spark, store):
+    day = dt.timedelta(days=1)
+    rows = [txn("T1", at=START - 200 * day), txn("T2", "C2", at=START - 300 * day), txn("T3", "C3")]
+    late = [txn("T4", country="GB"), txn("T5", "C2", at=START - 150 * day, country="GB"), txn("T6", "C4")]
+    _, got, want = two_runs(spark, store, rows, late)
+    assert got == want
+    prev = {r[0]: r[1] for r in store.mart.read().select("transaction_id", "prev_country").collect()}
+    assert (prev["T4"], prev["T5"], prev["T6"]) == ("US", "US", None)
+
+
+def test_a_second_run_of_a_day_recomputes_what_came_late(spark, store):
+    rows = [txn("T1", "A"), txn("T2", "B"), txn("T3", "A", at=dt.datetime.combine(AS_OF, dt.time(1)))]
+    refresh_baseline(table(spark, rows), store.baseline, AS_OF, RUN)
+    versions = store.baseline.newest()
+    refresh_baseline(table(spark, rows), store.baseline, AS_OF, RUN2, arrived=table(spark, rows[2:]))
+    assert store.baseline.newest() == versions  # the running day is not in a profile
+    late = [txn("T4", "B", amount="30.00")]
+    refresh_baseline(table(spark, rows + late), store.baseline, AS_OF, RUN2, arrived=table(spark, late))
+    got = {r["customer_id"]: (r["txn_count_90d"], r["computed_at"]) for r in store.baseline.read().collect()}
+    assert got == {"A": (1, RUN), "B": (2, RUN2)}
+
+
 def test_duplicates_give_one_scored_row(spark, store):
     copy = txn("T1", amount="99.00", _ingested_at=START + dt.timedelta(hours=1))
     twice = [txn("T1"), copy, txn("T2", "C2")]

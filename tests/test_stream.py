@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from riskloom.operators.profile import customer_baseline
@@ -62,6 +63,26 @@ def test_stream_in_any_order_equals_batch_and_survives_a_replay(spark):
     assert result(store.mart.read()) == result(score_transactions(txns, base, NOW))
 
 
+def test_bad_messages_are_set_aside_and_stop_nothing(spark):
+    rows = [r for r in random_rows(23, 40) if r["customer_id"] and r["amount"] is not None]
+    store = Store(spark, work_folder(spark, "bad"))
+    good = raw_table(spark, rows)
+    bad = good.limit(1).withColumns({"transaction_id": F.lit("BAD"), "transaction_timestamp": F.lit("soon")})
+    nameless = good.limit(1).withColumn("transaction_id", F.lit(None).cast("string"))
+    encode_messages(good.unionByName(bad).unionByName(nameless)).write.parquet(f"{store.root}/in")
+    source = message_files(spark, f"{store.root}/in")
+    score_stream(source, store, f"{store.root}/checkpoint", lambda: NOW, trigger=DRAIN).awaitTermination()
+    ids = {r[0] for r in store.mart.read().select("transaction_id").collect()}
+    assert ids == {r["transaction_id"] for r in rows if r["transaction_timestamp"] is not None} | {"BAD"}
+    held = spark.read.parquet(store.quarantine_path)
+    assert {r["reason"]: r["count"] for r in held.groupBy("reason").count().collect()} == {"unreadable_time": 1, "no_id": 1}
+    assert store.pending() == [] and run_cycle(store, NOW.date(), NOW).quarantined == 0
+    land_batch(bad, store.raw_path, 0)
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        run_cycle(store, NOW.date(), NOW, strict=True)
+    assert run_cycle(store, NOW.date(), NOW).quarantined == 1
+
+
 def test_cycle_gates_alerts_on_quality(spark):
     rows = [r for r in random_rows(22, 80) if r["customer_id"] and r["amount"] is not None]
     store = Store(spark, work_folder(spark, "cycle"))

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 import uuid
 
 import pytest
@@ -9,11 +10,14 @@ from pyspark.sql import types as T
 
 from riskloom.session import scratch, work_folder, written
 from riskloom.sources.tables import (
+    BatchExists,
     DailyTable,
     SchemaChanged,
     VersionedTable,
     align_schema,
+    compact_raw,
     land_batch,
+    landed_batches,
     latest_per_key,
     read_raw,
     without_copies,
@@ -128,7 +132,9 @@ def test_landing_a_batch_twice_changes_nothing(spark, folder):
     first = spark.createDataFrame([raw(1, "2024-01-01 00:00:00"), raw(2, "2024-01-02"), raw(3, "soon")], RAW_SCHEMA)
     second = spark.createDataFrame([raw(4, "2024-01-02 10:00:00")], RAW_SCHEMA)
     for df, batch in ((first, 0), (second, 1), (second, 1), (first, 0)):
-        land_batch(df, path, batch)
+        land_batch(df, path, batch, owner="q", replay=True)
+    with pytest.raises(BatchExists):
+        land_batch(second, path, 0, owner="q")
     got = read_raw(spark, path)
     assert sorted(r["transaction_id"] for r in got.collect()) == ["T1", "T2", "T3", "T4"]
     assert got.where(F.col("event_date").isNull()).first()["transaction_id"] == "T3"
@@ -136,6 +142,35 @@ def test_landing_a_batch_twice_changes_nothing(spark, folder):
     assert day.count() == 2 and "PartitionFilters: [isnotnull(event_date" in day._jdf.queryExecution().toString()
 
 
+def test_owners_number_their_batches_apart_and_merging_keeps_all_rows(spark, folder):
+    def raw(i, at="2024-01-01 00:00:00"):
+        return spark.createDataFrame([(f"T{i}", "C", 1.0, *[None] * 3, at, *[None] * 7, dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1))], RAW_SCHEMA)
+
+    path = f"{folder}/raw"
+    for i in range(6):
+        land_batch(raw(i), path, i % 3, owner=f"q{i // 3}")
+    names = landed_batches(spark, path)
+    assert names == ["q0-0", "q0-1", "q0-2", "q1-0", "q1-1", "q1-2"]
+    before = rows(read_raw(spark, path))
+    compact_raw(spark, path, least=7)
+    assert len(os.listdir(path)) == 6
+    compact_raw(spark, path, least=5)
+    assert [n for n in os.listdir(path) if n[0] != "."] == ["ingest_batch=merged-0"]
+    assert rows(read_raw(spark, path)) == before and landed_batches(spark, path) == names
+    assert len([f for _, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")]) <= 2
+    land_batch(raw(99), path, 1, owner="q1", replay=True)  # known although merged
+    land_batch(raw(7, "2024-01-02"), path, 3, owner="q1")
+    assert rows(read_raw(spark, path).select("transaction_id")) == [(f"T{i}",) for i in (0, 1, 2, 3, 4, 5, 7)]
+    assert rows(read_raw(spark, path, ["q1-0", "q1-3"]).select("transaction_id", "ingest_batch")) == [("T3", "q1-0"), ("T7", "q1-3")]
+    assert read_raw(spark, path, []).count() == 0
+    # a merge that broke off before its list was written does not show
+    land_batch(raw(8), path, 4, owner="q1")
+    read_raw(spark, path, ["q1-4"]).drop("ingest_batch", "event_date").withColumn("batch", F.lit("q1-4")).write.parquet(f"{path}/ingest_batch=merged-1")
+    assert read_raw(spark, path).count() == 8
+    compact_raw(spark, path, least=2)
+    assert read_raw(spark, path).count() == 8 and read_raw(spark, path, ["q1-4"]).count() == 1
+
+
 def test_work_folder_is_new_each_time(spark):
     a, b = work_folder(spark, "x"), work_folder(spark, "x")
     assert a != b and a.startswith(spark.conf.get("spark.checkpoint.dir")) and uuid.UUID(a[-32:])
