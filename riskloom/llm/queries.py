@@ -21,6 +21,14 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op2_markov_chat_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskloom.llm.chat import format_chats
+
+    held_out = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 7 == 2
+    out = format_chats(read(spark, sf_dir, "conversations"), ~held_out)
+    return out.drop("content").withColumn("held_out", held_out)
+
+
 def op3_setsketch_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from riskloom.llm.neardup import near_duplicates
 
@@ -77,6 +85,7 @@ def op10_suffix_sort_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op2_markov_chat_roles": op2_markov_chat_roles,
     "op3_setsketch_near_duplicates": op3_setsketch_near_duplicates,
     "op4_template_main_text": op4_template_main_text,
     "op5_risk_controlled_quality": op5_risk_controlled_quality,
