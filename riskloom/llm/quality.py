@@ -6,6 +6,7 @@ narrow one tests cutoffs on labelled rows.
 
 from __future__ import annotations
 
+import functools
 import math
 
 from pyspark.sql import Column, DataFrame
@@ -104,23 +105,39 @@ def tail(n: int, k: int, rate: float) -> float:
     return min(1.0, math.exp(top) * total)
 
 
-def choose(counts: dict[str, list[tuple[int, int]]], risk: float, level: float) -> dict[str, float | None]:
-    """For each signal the strictest cutoff that is certified, or None.
+STEPS = 3  # cutoffs of a signal on the way to its strictest one
 
-    ``counts`` has (good rows, good rows rejected) per cutoff, lenient first. Cutoffs
-    are tested in this fixed order and testing stops at the first failure, so each
-    signal costs one share of the level; risk and level are split over the signals.
+
+def rules(counts: dict[str, list[tuple[int, int]]], risk: float) -> list[dict[str, float]]:
+    """Rules from none to strict: each adds or tightens the cutoff of one signal.
+
+    ``counts`` has (good rows, good rows rejected) per signal and cutoff on the fit
+    rows, lenient first. A signal goes as far as its share of half the risk allows
+    there. Signals come in a fixed order, the learned words last.
     """
-    out: dict[str, float | None] = {}
+    out: list[dict[str, float]] = [{}]
     for name, tested in counts.items():
-        out[name] = None
-        for cutoff, (n, k) in zip(CUTOFFS[name], tested, strict=True):
-            if n == 0 or tail(n, k, risk / len(counts)) > level / len(counts):
-                break
-            out[name] = cutoff
+        fits = [i for i, (n, k) in enumerate(tested) if n and k * 2 * len(counts) <= n * risk]
+        last = next((i for i in range(len(tested)) if i not in fits), len(tested)) - 1
+        steps = range(last + 1) if name == "marked_words" else sorted({last * (i + 1) // STEPS for i in range(STEPS)} if last >= 0 else ())
+        for i in steps:
+            out.append(out[-1] | {name: CUTOFFS[name][i]})
     return out
 
 
+def certified(tested: list[tuple[int, int]], risk: float, level: float) -> int:
+    """How far down a sequence of rules the exact binomial test holds.
+
+    ``tested`` has (good rows, good rows rejected) of each rule on the holdout. The
+    sequence was fixed before; testing stops at the first failure, so that the whole
+    sequence costs one test's level.
+    """
+    for i, (n, k) in enumerate(tested):
+        if n == 0 or tail(n, k, risk) > level:
+            return max(i - 1, 0)
+    return len(tested) - 1
+
+
 def marked_vocabulary(docs: DataFrame, labels: DataFrame, key: str, text: str, fit_rows: int, least: int, terms: int) -> list[str]:
     """Words that occur in at least ``least`` toxic rows of the fit part and in no
     other row of it, most frequent first, at most ``terms``. The fit part has at most
@@ -150,12 +167,12 @@ def quality_rules(
 
     ``labels`` has key, quality and toxic (0/1); a row is good with quality 1 and
     toxic 0. Three tenths of the labelled rows (by hash of the key) find words that
-    only toxic rows use; the others are the holdout. Per stratum and signal the
-    strictest cutoff is taken for which the exact binomial test shows, at the level
-    divided by the numbers of signals and strata, that at most ``risk`` (divided by
-    the number of signals) of good rows are above it. So with probability 1 - level
-    no stratum loses more than ``risk`` of its good rows to the cutoffs. A stratum
-    without enough good rows gets no cutoff and keeps what passes the base rules.
+    only toxic rows use, and per stratum a sequence of ever stricter rules; the others
+    are the holdout. Each stratum takes the last rule of its sequence down to which
+    the exact binomial test shows, at the level divided by the number of strata
+    (Bonferroni), that the whole rule rejects at most ``risk`` of good rows. So with
+    probability 1 - level no stratum loses more than ``risk`` of its good rows to the
+    cutoffs. A stratum without enough good rows keeps what passes the base rules.
 
     Null text has no words (base_failed). Null strata are a stratum. Null and
     repeated keys are judged by their own text; labels of repeated keys count as bad
@@ -174,15 +191,30 @@ def quality_rules(
     rows = rows.withColumns({k: v for k, v in signals().items() if k not in rows.columns}).withColumn("_failed", failed)
     rows = store(rows, "measures")
 
-    holdout = rows.join(known.where(~F.col("_fit") & F.col("_good") & ~F.col("_toxic")).select("_id"), "_id")
-    tested = [F.sum((F.col(name) > cutoff).cast("int")).alias(f"{name}:{cutoff}") for name, cutoffs in CUTOFFS.items() for cutoff in cutoffs]
-    counted = holdout.groupBy("_stratum").agg(F.count("*").alias("n"), *tested).collect()
-    rejected = F.lit(False)
+    good = rows.join(known.where(F.col("_good") & ~F.col("_toxic")).select("_id", "_fit"), "_id")
+    number = lambda condition: F.sum(condition.cast("int"))
+    tested = [number(F.col(name) > c).alias(f"{name}:{c}") for name, cutoffs in CUTOFFS.items() for c in cutoffs]
+    sequences = {
+        r["_stratum"]: rules({name: [(r["n"], r[f"{name}:{c}"]) for c in cutoffs] for name, cutoffs in CUTOFFS.items()}, risk)
+        for r in good.where("_fit").groupBy("_stratum").agg(F.count("*").alias("n"), *tested).collect()
+    }
+
+    def above(rule: dict[str, float]) -> Column:
+        return functools.reduce(lambda x, y: x | y, (F.col(name) > c for name, c in rule.items()), F.lit(False))
+
+    def rejecting(chosen: dict[str, dict[str, float]]) -> Column:
+        one = ((F.col("_stratum") == s) & above(rule) for s, rule in chosen.items())
+        return functools.reduce(lambda x, y: x | y, one, F.lit(False))
+
+    steps = max(map(len, sequences.values()), default=0)
+    by_step = [rejecting({s: q[min(i, len(q) - 1)] for s, q in sequences.items()}) for i in range(steps)]
+    counted = good.where(~F.col("_fit")).groupBy("_stratum").agg(F.count("*").alias("n"), *(number(c).alias(f"k{i}") for i, c in enumerate(by_step))).collect()
+    chosen = {}
     for r in counted:
-        counts = {name: [(r["n"], r[f"{name}:{c}"]) for c in cutoffs] for name, cutoffs in CUTOFFS.items()}
-        for name, cutoff in choose(counts, risk, level / len(counted)).items():
-            if cutoff is not None:
-                rejected |= (F.col("_stratum") == r["_stratum"]) & (F.col(name) > cutoff)
+        if q := sequences.get(r["_stratum"]):
+            held = [(r["n"], r[f"k{i}"]) for i in range(len(q))]
+            chosen[r["_stratum"]] = q[certified(held, risk, level / len(counted))]
+    rejected = rejecting(chosen)
     base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return rows.select(
         F.col("_id").alias(key),

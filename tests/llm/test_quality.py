@@ -7,7 +7,7 @@ import re
 
 import pytest
 
-from riskloom.llm.quality import CUTOFFS, choose, keep_good, quality_rules, tail
+from riskloom.llm.quality import CUTOFFS, certified, keep_good, quality_rules, rules, tail
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -93,6 +93,17 @@ def test_false_rejection_is_rarely_above_the_risk():
     for _ in range(200):
         values = [rng.random() ** 3 for _ in range(400)]  # P(value > c) = 1 - c ** (1/3)
         tested = [(400, sum(v > c for v in values)) for c in CUTOFFS[name]]
-        cutoff = choose({name: tested}, 0.2, 0.1)[name]
-        broken += cutoff is not None and 1 - cutoff ** (1 / 3) > 0.2
+        cutoff = CUTOFFS[name][certified(tested, 0.2, 0.1)]
+        broken += 1 - cutoff ** (1 / 3) > 0.2
     assert broken <= 30
+    assert certified([(0, 0)], 0.2, 0.1) == 0 and certified([(400, 0), (400, 1), (400, 399)], 0.2, 0.1) == 1
+
+
+def test_rules_grow_stricter_and_stop_where_good_rows_are_lost():
+    none = {name: [(100, 0)] * len(c) for name, c in CUTOFFS.items()}
+    found = rules(none, 0.1)
+    assert found[0] == {} and found[-1] == {name: c[-1] for name, c in CUTOFFS.items()}
+    assert all(a.items() <= b.items() or all(b[n] <= v for n, v in a.items()) for a, b in zip(found, found[1:], strict=False))
+    lost = none | {"upper_share": [(100, 0)] * 3 + [(100, 9)] * (len(CUTOFFS["upper_share"]) - 3)}
+    assert rules(lost, 0.1)[-1]["upper_share"] == CUTOFFS["upper_share"][2]
+    assert rules({name: [(0, 0)] * len(c) for name, c in CUTOFFS.items()}, 0.1) == [{}]
