@@ -32,4 +32,4 @@ def test_same_rows(spark, con, name):
 
 def test_entry(spark):
     out = contract.entry(spark)
-    assert tuple(out.columns) == MART_COLUMNS and out.count() == 900
+    assert tuple(out.columns) == MART_COLUMNS and out.count() == 998
