@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import os
+from collections.abc import Iterator
 
 import numpy as np
 import regex
@@ -18,7 +19,8 @@ import regex
 PLAIN = regex.compile(r"[\t\n\r\x20-\x7e¡-įı-ɏ]*")
 # The tokenizer's own split (fixed values).
 SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
-KEPT = 300_000
+KEPT = 400_000
+TOGETHER = 1 << 20
 _encoders: dict[int, Encoder] = {}
 
 
@@ -53,30 +55,72 @@ class Encoder:
         if self.by_piece:
             self.ends[[i for name, i in names.items() if name.endswith(suffix)]] = True
         self.bits = max(1, int(self.tokenizer.get_vocab_size()).bit_length())
-        self.kept: dict[str, bytes] = {}
+        self.words, self.pieces = Kept(self._cut), Kept(self._encode)
 
     def ids(self, text: str) -> np.ndarray:
         """Ids of a whole text without added special tokens."""
-        if not self.by_piece or not PLAIN.fullmatch(text) or any(s in text for s in self.special):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
-        pieces = SPLIT.findall(text.lower())
-        try:
-            found = b"".join(map(self.kept.__getitem__, pieces))
-        except KeyError:
-            self._learn(pieces)
-            found = b"".join(map(self.kept.__getitem__, pieces))
-        return np.frombuffer(found, dtype="<u4")
-
-    def _learn(self, pieces: list[str]) -> None:
-        new = [p for p in dict.fromkeys(pieces) if p not in self.kept]
-        if len(self.kept) + len(new) > KEPT:
-            self.kept.clear()
-            new = list(dict.fromkeys(pieces))
-        ids = np.array(self.tokenizer.encode(" ".join(new), add_special_tokens=False).ids, dtype="<u4")
-        cuts = np.flatnonzero(self.ends[ids]) + 1
-        if len(cuts) != len(new) or (len(cuts) and cuts[-1] != len(ids)):
+        return next(self.many([text]))
+
+    def many(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """Ids of each text; unknown words of neighbouring texts are encoded together."""
+        group, unknown, size = [], [], 0
+        for i, text in enumerate(texts):
+            size += len(text)
+            if self.by_piece and PLAIN.fullmatch(text) and not any(s in text for s in self.special):
+                words = text.lower().split()
+                found = list(map(self.words.new.get, words))
+                gaps = [(at, words[at]) for at, x in enumerate(found) if x is None] if None in found else []
+                unknown += [w for _, w in gaps]
+                group.append((found, gaps))
+            else:
+                group.append((text, None))
+            if size >= TOGETHER or i == len(texts) - 1:
+                learned = self.words.learn(unknown)
+                for found, gaps in group:
+                    if gaps is None:
+                        yield np.array(self.tokenizer.encode(found, add_special_tokens=False).ids, dtype="<u4")
+                        continue
+                    for at, word in gaps:
+                        found[at] = learned[word]
+                    yield np.frombuffer(b"".join(found), dtype="<u4")
+                group, unknown, size = [], [], 0
+
+    def _cut(self, words: list[str]) -> list[bytes]:
+        """Ids of runs of non-space characters, from the ids of their pieces."""
+        pieces = [SPLIT.findall(w) for w in words]
+        found = self.pieces.learn([p for w in pieces for p in w]).__getitem__
+        return [b"".join(map(found, w)) for w in pieces]
+
+    def _encode(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces: encoded as one text and cut at the ends of words."""
+        ids = np.array(self.tokenizer.encode(" ".join(pieces), add_special_tokens=False).ids, dtype="<u4")
+        cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+        if len(cuts) != len(pieces) or (cuts and cuts[-1] != len(ids)):
             raise ValueError("the tokenizer splits its input in an unknown way")
-        data, at = ids.tobytes(), 0
-        for piece, cut in zip(new, cuts.tolist(), strict=True):
-            self.kept[piece] = data[4 * at : 4 * cut]
-            at = cut
+        data = ids.tobytes()
+        return [data[4 * a : 4 * b] for a, b in zip([0, *cuts], cuts, strict=False)]
+
+
+class Kept:
+    """What ``make`` gives for strings, kept in two generations of bounded size."""
+
+    def __init__(self, make):
+        self.make = make
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def learn(self, names: list[str]) -> dict[str, bytes]:
+        """A dictionary that has all the names."""
+        missing = [n for n in dict.fromkeys(names) if n not in self.new]
+        if len(self.new) + len(missing) > KEPT:
+            self.old, self.new = self.new, {}
+            missing = list(dict.fromkeys(names))
+        unknown = []
+        for n in missing:
+            if (found := self.old.get(n)) is None:
+                unknown.append(n)
+            else:
+                self.new[n] = found
+        if unknown:
+            self.new.update(zip(unknown, self.make(unknown), strict=True))
+        return self.new
