@@ -32,14 +32,14 @@ class WaveletMatrix:
 
     @classmethod
     def build(cls, ids: np.ndarray, bits: int) -> WaveletMatrix:
-        x = np.asarray(ids, dtype=np.uint32)
+        kind = np.uint16 if bits <= 16 else np.uint32
+        x = np.asarray(ids).astype(kind)
         planes, zeros = np.zeros((bits, (len(x) + 7) // 8), np.uint8), []
         for level in range(bits):
-            ones = (x >> np.uint32(bits - 1 - level)) & np.uint32(1) != 0
+            ones = (x & kind(1 << (bits - 1 - level))).astype(bool)
             planes[level] = np.packbits(ones)
-            low = x[~ones]
-            zeros.append(len(low))
-            x = np.concatenate([low, x[ones]])
+            zeros.append(len(x) - int(np.count_nonzero(ones)))
+            x = np.concatenate([x[~ones], x[ones]])
         return cls(len(x), bits, planes, zeros)
 
     def to_bytes(self) -> bytes:
@@ -112,17 +112,18 @@ class WaveletMatrix:
 
     def decode(self) -> np.ndarray:
         """The whole sequence: planes are undone from the last to the first."""
-        values = np.zeros(self.n, np.uint32)
+        kind = np.uint16 if self.bits <= 16 else np.uint32
+        values = np.zeros(self.n, kind)
         for level in reversed(range(self.bits)):
             ones = np.unpackbits(self.planes[level], count=self.n).astype(bool)
             up = np.empty_like(values)
             up[~ones] = values[: self.zeros[level]]
-            up[ones] = values[self.zeros[level] :] | np.uint32(1 << (self.bits - 1 - level))
+            up[ones] = values[self.zeros[level] :] | kind(1 << (self.bits - 1 - level))
             values = up
         return values
 
 
-SHARDS = "part int, shard int, doc_ids array<{kind}>, lengths array<long>, matrix binary"
+SHARDS = "part int, shard int, before long, doc_ids array<{kind}>, lengths array<long>, matrix binary"
 
 
 def write_shards(
@@ -145,26 +146,25 @@ def write_shards(
 
         encode, part = encoder(source), TaskContext.get().partitionId()
         bits = max(encode.bits, int(end_id).bit_length())
-        shard, held, ids, keys, lengths, schema = 0, 0, [], [], [], None
+        shard, before, held, ids, keys, lengths, schema = 0, 0, 0, [], [], [], None
 
         def close() -> pa.RecordBatch:
             matrix = WaveletMatrix.build(np.concatenate(ids), bits).to_bytes()
             return pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.array([shard], pa.int32()), pa.array([keys], pa.list_(schema)), pa.array([lengths], pa.list_(pa.int64())), pa.array([matrix], pa.binary())],
-                names=["part", "shard", "doc_ids", "lengths", "matrix"],
+                [pa.array([part], pa.int32()), pa.array([shard], pa.int32()), pa.array([before], pa.int64()), pa.array([keys], pa.list_(schema)), pa.array([lengths], pa.list_(pa.int64())), pa.array([matrix], pa.binary())],
+                names=["part", "shard", "before", "doc_ids", "lengths", "matrix"],
             )
 
         for b in batches:
             schema = b.schema.field(0).type
-            for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                found = encode.ids(t)
+            for k, found in zip(b.column(0).to_pylist(), encode.many(b.column(1).to_pylist()), strict=True):
                 ids += [found, np.array([end_id], "<u4")]
                 keys.append(k)
                 lengths.append(len(found) + 1)
                 held += lengths[-1]
                 if held >= shard_tokens:
                     yield close()
-                    shard, held, ids, keys, lengths = shard + 1, 0, [], [], []
+                    shard, before, held, ids, keys, lengths = shard + 1, before + held, 0, [], [], []
         if keys:
             yield close()
 
@@ -175,22 +175,19 @@ def write_shards(
 
 
 def read_shards(spark, path: str) -> DataFrame:
-    """The shard rows: part, shard, doc_ids, lengths, matrix (see ``WaveletMatrix``)."""
+    """The shard rows: part, shard, before (ids earlier in the part), doc_ids, lengths, matrix (see ``WaveletMatrix``)."""
     return spark.read.parquet(path)
 
 
 def documents_of(shards: DataFrame, key: str = "doc_id") -> DataFrame:
     """Read shards back: key, start (ids of all documents before it), n_tokens, ids_crc32.
 
-    Starts add the totals of earlier shards, in two small steps: within each range
-    partition, then over the partitions' totals (one row per file).
+    A shard knows the ids before it in its range partition; the partitions' totals
+    (one row per partition of the writing job, so few) are added up and broadcast.
     """
-    sizes = shards.select("part", "shard", F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x).alias("n"))
-    in_part = sizes.withColumn("before", F.sum("n").over(Window.partitionBy("part").orderBy("shard")) - F.col("n"))
-    parts = sizes.groupBy("part").agg(F.sum("n").alias("total"))
-    # one row per written file: a small table whatever the number of documents
-    parts = parts.withColumn("base", F.sum("total").over(Window.orderBy("part")) - F.col("total")).select("part", "base")
-    starts = in_part.join(parts, "part").select("part", "shard", (F.col("before") + F.col("base")).alias("first"))
+    n = F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x)
+    parts = shards.groupBy("part").agg(F.sum(n).alias("total"))
+    parts = parts.select("part", (F.sum("total").over(Window.orderBy("part")) - F.col("total")).alias("base"))
     kind = shards.schema["doc_ids"].dataType.elementType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,6 +204,6 @@ def documents_of(shards: DataFrame, key: str = "doc_id") -> DataFrame:
                     [keys, pa.array(begins + first), pa.array(lengths), pa.array(sums, pa.int64())], names=["k", "start", "n_tokens", "ids_crc32"]
                 )
 
-    rows = shards.join(starts, ["part", "shard"]).select("first", "doc_ids", "lengths", "matrix")
+    rows = shards.join(F.broadcast(parts), "part").select((F.col("base") + F.col("before")).alias("first"), "doc_ids", "lengths", "matrix")
     return rows.mapInArrow(run, f"k {kind}, start long, n_tokens long, ids_crc32 long").withColumnRenamed("k", key)
 
