@@ -107,6 +107,7 @@ class Plan:
 
 
 PIECES = "k {kind}, start long, length long, ids_crc32 long, doc_tokens long, rest boolean, part int, rank long, ids binary"
+BROADCAST = 100_000  # rows of some ten numbers each
 PLACED = ("cut", "n", "sequence_id", "offset")
 
 
@@ -134,8 +135,8 @@ def pack(
         seen: dict[int, int] = defaultdict(int)  # rows of this task by remainder length; 0: whole windows
         for b in batches:
             rows = []
-            for i, t in enumerate(b.column(1).to_pylist()):
-                ids = np.append(encode.ids(t), np.uint32(end_id)).astype("<u4")
+            for i, found in enumerate(encode.many(b.column(1).to_pylist())):
+                ids = np.append(found, np.uint32(end_id)).astype("<u4")
                 for start in range(0, len(ids), window):
                     piece = ids[start : start + window]
                     n = len(piece) % window
@@ -187,7 +188,8 @@ def pack(
         placed = store(placed, "placed")
         cut = placed.where(F.col("n") < F.col("length"))
         placed = placed.where(F.col("n") == F.col("length")).withColumn("ids", F.lit(None).cast("binary"))
-        placed = placed.unionByName(cut.join(ids, identity))
+        few = cut.count() <= BROADCAST  # else both sides are shuffled
+        placed = placed.unionByName((F.broadcast(cut) if few else cut).join(ids, identity))
     else:
         placed = placed.join(ids, identity)
     part_of = F.substring("ids", (4 * F.col("cut") + 1).cast("int"), (4 * F.col("n")).cast("int"))
