@@ -139,6 +139,30 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, part: int, whole: int) -> Data
     return pairs.join(a, "a").join(b, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a binary, b binary")
 
 
+def _shareable(wanted: DataFrame, classes: DataFrame, sets: DataFrame, part: int, whole: int) -> DataFrame:
+    """(class, n, m): sizes, and how many shingles some other wanted class has too.
+
+    No wanted partner has more than m in common, so classes that cannot reach the
+    similarity even so are left out: most members of a group whose copies differ too
+    much from each other.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole_batch in batches:
+            for at in range(0, whole_batch.num_rows, SLICE):
+                b = whole_batch.slice(at, SLICE)
+                found = [np.frombuffer(s.as_buffer(), np.int64) for s in b.column(1)]
+                c = np.repeat(b.column(0).to_numpy(), [len(s) for s in found])
+                yield pa.RecordBatch.from_arrays([pa.array(c), pa.array(np.concatenate(found))], names=["c", "s"])
+
+    number = F.xxhash64("class")
+    rows = wanted.join(sets, "class").select(number.alias("c"), "shingles").mapInArrow(run, "c long, s long")
+    own = rows.groupBy("s").agg(F.count("*").alias("times"), F.min("c").alias("c")).where("times = 1").groupBy("c").agg(F.count("*").alias("own"))
+    out = wanted.join(classes.select("class", "n"), "class").withColumn("c", number).join(own, "c", "left")
+    out = out.select("class", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("m"))
+    return store(out.where(whole * F.col("m") >= part * F.col("n")), "shareable")
+
+
 def _linked(docs: DataFrame, size: int, part: int, whole: int, key: str, text: str) -> DataFrame:
     """Per row: k, h, n, class, label (of its component; null without shingles) and low, the component's smallest key.
 
@@ -168,9 +192,12 @@ def _linked(docs: DataFrame, size: int, part: int, whole: int, key: str, text: s
             named = members.join(labels, members["class"] == labels["node"], "left").select("band", "class", "pivot", F.coalesce("label", "class").alias("label"))
             if step == "all":
                 open_bands = named.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("band")
-                left = named.join(open_bands, "band")
-                right = left.select("band", F.col("class").alias("y"), F.col("label").alias("other"))
-                pairs = left.join(right, "band").where("label < other").select(F.col("class").alias("x"), "y")
+                left = store(named.join(open_bands, "band").select("band", "class", "label"), "open")
+                left = left.join(_shareable(left.select("class").distinct(), classes, sets, part, whole), "class")
+                right = left.select("band", *(F.col(c).alias(f"{c}_y") for c in ("class", "label", "n", "m")))
+                common = F.least("m", "m_y")
+                able = whole * common >= part * (F.col("n") + F.col("n_y") - common)
+                pairs = left.join(right, "band").where((F.col("label") < F.col("label_y")) & able).select(F.col("class").alias("x"), F.col("class_y").alias("y"))
             else:
                 at = labels.select(F.col("node").alias("pivot"), F.col("label").alias("other"))
                 pairs = named.join(at, "pivot", "left").where(F.col("label") != F.coalesce("other", "pivot")).select(F.col("class").alias("x"), F.col("pivot").alias("y"))
