@@ -7,8 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import ensure_work_folder
+from riskloom.llm.oracles import ORACLES
 from riskloom.session import work_folder
 
+__all__ = ["ORACLES", "QUERIES"]
+
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     ensure_work_folder(spark)
@@ -95,4 +98,3 @@ QUERIES = {
     "op9_string_tiling_leaks": op9_string_tiling_leaks,
     "op10_suffix_sort_dedup": op10_suffix_sort_dedup,
 }
-ORACLES: dict[str, str] = {}
