@@ -35,6 +35,14 @@ def ensure_work_folder(spark: SparkSession) -> None:
         spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="llm-"))
 
 
+BROADCAST_ROWS = 500_000  # of a key and a hash
+
+
+def small_side(stored: DataFrame) -> DataFrame:
+    """Marked for broadcast if it has few rows by count; else both sides are shuffled."""
+    return F.broadcast(stored) if stored.count() <= BROADCAST_ROWS else stored
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import ascii_lower, mix, store, text_or_empty
+from riskloom.llm.common import ascii_lower, mix, small_side, store, text_or_empty
 from riskloom.llm.components import components
 from riskloom.llm.sketch import SetSketch
 
@@ -251,5 +251,5 @@ def drop_near_duplicates(docs: DataFrame, size: int = 5, part: int = 80, whole:
         return docs[key].eqNullSafe(rows["_k"]) & (here == rows["_h"])
 
     gone, again = decided.where("_stay is null or _times > 1"), decided.where("_stay = 1 and _times > 1")
-    once = docs.join(again, at(again), "left_semi").dropDuplicates([key, text])
-    return docs.join(gone, at(gone), "left_anti").unionByName(once)
+    once = docs.join(small_side(again), at(again), "left_semi").dropDuplicates([key, text])
+    return docs.join(small_side(gone), at(gone), "left_anti").unionByName(once)

@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import store, text_or_empty
+from riskloom.llm.common import small_side, store, text_or_empty
 
 SPACES = " \t\n\x0b\f\r"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
@@ -230,4 +230,5 @@ def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """Rows of docs that pass ``quality_rules``."""
     key, text = options.get("key", "doc_id"), options.get("text", "text")
     bad = quality_rules(docs, labels, **options).where(~F.col("kept")).select(F.col(key).alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    bad = small_side(store(bad, "rejected"))
     return docs.join(bad, docs[key].eqNullSafe(bad["_id"]) & (F.xxhash64(text_or_empty(text)) == bad["_hash"]), "left_anti")
