@@ -14,7 +14,7 @@ from riskloom.operators.scoring import score_transactions
 from riskloom.operators.staging import active_customers, lookback, newer_than
 from riskloom.params import RiskParams
 from riskloom.session import scratch
-from riskloom.sources.tables import DailyTable, VersionedTable, without_copies
+from riskloom.sources.tables import DailyTable, VersionedTable, latest_per_key, without_copies
 
 # What bursts and trips need to know about rows that are not scored themselves.
 _CONTEXT = ("transaction_id", "customer_id", "transaction_timestamp", "transaction_date", "country", "latitude", "longitude")
@@ -100,8 +100,9 @@ def refresh_scores(
     """Score what is new and put it into the scored table.
 
     New is what is not in the scored table, whatever its date. ``arrived`` names the
-    candidates, the rows of batches that were not scored yet, so that neither table
-    is read as a whole: the scored table is searched on the candidates' days only.
+    candidates, the rows of batches that were not scored yet: of the scored table ids
+    and dates alone are read, on all days. A candidate whose id is scored under another
+    date replaces that row if it is the newest copy (by ``_ingested_at``) of its id.
     Without it all rows are candidates, and ``late_days`` may bound how old they are.
 
     ``context="full"`` lets new rows see the customer's earlier rows, so the result
@@ -112,7 +113,7 @@ def refresh_scores(
     if context not in ("full", "slice"):
         raise ValueError(f"unknown context {context!r}")
     with scratch(table.spark) as keep:
-        scored = table.read()
+        scored, moved = table.read(), None
         if scored is None or scored.isEmpty():
             rows, ids = score_transactions(txns, baseline, run_ts, p, heat, extra=("_ingested_at",)), txns
         else:
@@ -121,7 +122,12 @@ def refresh_scores(
                 new = keep(unscored(txns, scored, mode, first_day), "new")
             else:
                 arrived = keep(arrived.select("transaction_id", "customer_id", "transaction_timestamp", "transaction_date"), "arrived")
-                new = keep(unscored(arrived, scored.where(_on_days_of(arrived)), mode), "new")
+                if mode == "missing":
+                    ids = arrived.select("transaction_id").distinct()
+                    scored = keep(scored.select("transaction_id", "transaction_date").join(ids, "transaction_id", "left_semi"), "known")
+                    moved = _moved(txns, arrived, scored, keep)
+                new = unscored(arrived, scored, mode)
+                new = keep(new if moved is None else new.unionByName(moved), "new")
             if new.isEmpty():
                 return
             context_rows, heat = _with_context(txns, new, as_of, p, heat, context, rescore_later, keep)
@@ -130,16 +136,26 @@ def refresh_scores(
             )
             ids = context_rows.where("_wanted")
         rows = without_copies(rows, ids, "transaction_id", "_ingested_at", keep).drop("_ingested_at")
-        if mode == "missing" and not rescore_later:
+        if mode == "missing" and not rescore_later and moved is None:
             table.append(rows)
         else:
             table.upsert(rows)
 
 
-def _on_days_of(rows: DataFrame) -> Column:
-    """Dated on a day of the rows, or undated (one literal per day reaches the files)."""
-    days = [r[0] for r in rows.select("transaction_date").distinct().collect()]
-    return F.col("transaction_date").isin([d for d in days if d is not None]) | F.col("transaction_date").isNull()
+def _moved(txns: DataFrame, arrived: DataFrame, known: DataFrame, keep: Callable) -> DataFrame | None:
+    """The newest copies of arriving ids that are scored under another date than
+    theirs, or None. Usually there are none, and then the transactions are not read."""
+    was = known.select("transaction_id", F.col("transaction_date").alias("_was"))
+    elsewhere = ~F.col("transaction_date").eqNullSafe(F.col("_was"))
+    days = arrived.select("transaction_id", "transaction_date").distinct()
+    again = keep(days.join(was, "transaction_id").where(elsewhere).select("transaction_id").distinct(), "again")
+    if again.isEmpty():
+        return None
+    copies = txns.select(*arrived.columns, "_ingested_at").join(again, "transaction_id", "left_semi")
+    newest = latest_per_key(copies, "transaction_id", "_ingested_at").select(*arrived.columns)
+    newest = newest.join(was, "transaction_id").where(elsewhere).select(*arrived.columns).distinct()
+    newest = keep(newest, "moved")
+    return None if newest.isEmpty() else newest
 
 
 def _with_context(

@@ -107,6 +107,26 @@ def test_duplicates_give_one_scored_row(spark, store):
     assert {r[0]: r[1] for r in store.mart.read().select("transaction_id", "scored_at").collect()} == before
 
 
+@pytest.mark.parametrize("rescore_later", [False, True])
+def test_an_id_that_arrives_again_with_another_date_replaces_its_row(spark, store, rescore_later):
+    day, hour = dt.timedelta(days=1), dt.timedelta(hours=1)
+    first = [txn("T1"), txn("T2", "C2"), txn("T3", "C3", _ingested_at=START + 9 * hour)]
+    base = customer_baseline(table(spark, first), AS_OF, RUN)
+    refresh_scores(table(spark, first), base, store.mart, AS_OF, RUN)
+    # T1 and T2 are sent again later; of T3 an older copy comes late; T4 is new
+    again = [
+        txn("T1", at=START + day, amount="99.00", _ingested_at=START + hour),
+        txn("T2", "C9", at=None, _ingested_at=START + hour),
+        txn("T3", "C3", at=START + 2 * day, _ingested_at=START - hour),
+        txn("T4", at=START + day),
+    ]
+    everything = table(spark, first + again)
+    refresh_scores(everything, base, store.mart, AS_OF, RUN2, arrived=table(spark, again), rescore_later=rescore_later)
+    got = {r["transaction_id"]: (r["customer_id"], r["transaction_date"]) for r in store.mart.read().collect()}
+    assert store.mart.read().count() == 4
+    assert got == {"T1": ("C1", (START + day).date()), "T2": ("C9", None), "T3": ("C3", START.date()), "T4": ("C1", (START + day).date())}
+
+
 def test_selection(spark):
     rows = [txn(f"T{d}", at=START + dt.timedelta(days=d)) for d in range(4)] + [txn("TN", at=None)]
     txns = table(spark, rows)
