@@ -7,6 +7,7 @@ narrow one tests cutoffs on labelled rows.
 from __future__ import annotations
 
 import functools
+import itertools
 import math
 
 from pyspark.sql import Column, DataFrame
@@ -105,9 +106,24 @@ def tail(n: int, k: int, rate: float) -> float:
     return min(1.0, math.exp(top) * total)
 
 
+ORDERS = 3  # sequences of rules per stratum
 STEPS = 3  # cutoffs of a signal on the way to its strictest one
 
 
+def _steps(counts: dict[str, list[tuple[int, int]]], risk: float) -> list[tuple[str, float]]:
+    out = []
+    for name, tested in counts.items():
+        fits = [i for i, (n, k) in enumerate(tested) if n and k * 2 * len(counts) <= n * risk]
+        last = next((i for i in range(len(tested)) if i not in fits), len(tested)) - 1
+        steps = range(last + 1) if name == "marked_words" else sorted({last * (i + 1) // STEPS for i in range(STEPS)} if last >= 0 else ())
+        out += [(name, CUTOFFS[name][i]) for i in steps]
+    return out
+
+
+def _sequence(steps: list[tuple[str, float]]) -> list[dict[str, float]]:
+    return list(itertools.accumulate(({name: c} for name, c in steps), lambda rule, step: rule | step, initial={}))
+
+
 def rules(counts: dict[str, list[tuple[int, int]]], risk: float) -> list[dict[str, float]]:
     """Rules from none to strict: each adds or tightens the cutoff of one signal.
 
@@ -115,14 +131,17 @@ def rules(counts: dict[str, list[tuple[int, int]]], risk: float) -> list[dict[st
     rows, lenient first. A signal goes as far as its share of half the risk allows
     there. Signals come in a fixed order, the learned words last.
     """
-    out: list[dict[str, float]] = [{}]
-    for name, tested in counts.items():
-        fits = [i for i, (n, k) in enumerate(tested) if n and k * 2 * len(counts) <= n * risk]
-        last = next((i for i in range(len(tested)) if i not in fits), len(tested)) - 1
-        steps = range(last + 1) if name == "marked_words" else sorted({last * (i + 1) // STEPS for i in range(STEPS)} if last >= 0 else ())
-        for i in steps:
-            out.append(out[-1] | {name: CUTOFFS[name][i]})
-    return out
+    return _sequence(_steps(counts, risk))
+
+
+def orders(counts: dict[str, list[tuple[int, int]]], risk: float) -> list[list[dict[str, float]]]:
+    """Sequences like ``rules`` in which the learned words come last, first, or first
+    but for their strictest cutoff, so that neither they nor the other signals end
+    the only sequence before the others are tried."""
+    steps = _steps(counts, risk)
+    words, shapes = ([x for x in steps if (x[0] == "marked_words") == w] for w in (True, False))
+    first = sorted({0, max(len(words) - 1, 0), len(words)}) if shapes else [0]
+    return [_sequence(words[:n] + shapes + words[n:]) for n in first]
 
 
 def certified(tested: list[tuple[int, int]], risk: float, level: float) -> int:
@@ -167,12 +186,16 @@ def quality_rules(
 
     ``labels`` has key, quality and toxic (0/1); a row is good with quality 1 and
     toxic 0. Three tenths of the labelled rows (by hash of the key) find words that
-    only toxic rows use, and per stratum a sequence of ever stricter rules; the others
-    are the holdout. Each stratum takes the last rule of its sequence down to which
-    the exact binomial test shows, at the level divided by the number of strata
-    (Bonferroni), that the whole rule rejects at most ``risk`` of good rows. So with
-    probability 1 - level no stratum loses more than ``risk`` of its good rows to the
-    cutoffs. A stratum without enough good rows keeps what passes the base rules.
+    only toxic rows use, and per stratum up to three sequences of ever stricter rules
+    (``orders``); the others are the holdout. Each sequence ends at the last rule down
+    to which the exact binomial test shows, at the level divided by the numbers of
+    strata and of the stratum's sequences (Bonferroni), that the whole rule rejects at
+    most ``risk`` of good rows. All these rules hold together; a stratum takes the one
+    that rejects most bad or toxic holdout rows. Strata whose good holdout rows are too
+    few for any rule are one stratum, the pool. So with probability 1 - level no stratum,
+    and not the pool as a whole, loses more than ``risk`` of its good rows to the cutoffs.
+    A stratum without good holdout rows, and a pool without enough, keep what passes the
+    base rules.
 
     Null text has no words (base_failed). Null strata are a stratum. Null and
     repeated keys are judged by their own text; labels of repeated keys count as bad
@@ -191,29 +214,44 @@ def quality_rules(
     rows = rows.withColumns({k: v for k, v in signals().items() if k not in rows.columns}).withColumn("_failed", failed)
     rows = store(rows, "measures")
 
-    good = rows.join(known.where(F.col("_good") & ~F.col("_toxic")).select("_id", "_fit"), "_id")
-    number = lambda condition: F.sum(condition.cast("int"))
-    tested = [number(F.col(name) > c).alias(f"{name}:{c}") for name, cutoffs in CUTOFFS.items() for c in cutoffs]
-    sequences = {
-        r["_stratum"]: rules({name: [(r["n"], r[f"{name}:{c}"]) for c in cutoffs] for name, cutoffs in CUTOFFS.items()}, risk)
-        for r in good.where("_fit").groupBy("_stratum").agg(F.count("*").alias("n"), *tested).collect()
-    }
+    labelled = rows.join(known.select("_id", "_fit", (F.col("_good") & ~F.col("_toxic")).alias("_fine")), "_id")
+    number = lambda condition: F.coalesce(F.sum(condition.cast("int")), F.lit(0))
+    fine, fitted = F.col("_fine"), F.col("_fit")
+    tested = [number(fitted & (F.col(name) > c)).alias(f"{name}:{c}") for name, cutoffs in CUTOFFS.items() for c in cutoffs]
+    found = labelled.where(fine).groupBy("_stratum").agg(number(fitted).alias("n"), number(~fitted).alias("held"), *tested).collect()
+    found = [r for r in found if r["held"]]
+    few = {r["_stratum"] for r in found if tail(r["held"], 0, risk) * len(found) * ORDERS > level}
+    pool_of = {r["_stratum"]: None if r["_stratum"] in few else r["_stratum"] for r in found}
+    pools = set(pool_of.values())
+    sequences = {}
+    for g in pools:
+        mine = [r for r in found if pool_of[r["_stratum"]] == g]
+        sequences[g] = orders({name: [(sum(r["n"] for r in mine), sum(r[f"{name}:{c}"] for r in mine)) for c in cutoffs] for name, cutoffs in CUTOFFS.items()}, risk)
 
     def above(rule: dict[str, float]) -> Column:
         return functools.reduce(lambda x, y: x | y, (F.col(name) > c for name, c in rule.items()), F.lit(False))
 
-    def rejecting(chosen: dict[str, dict[str, float]]) -> Column:
-        one = ((F.col("_stratum") == s) & above(rule) for s, rule in chosen.items())
+    def rejecting(chosen: dict[str | None, dict[str, float]]) -> Column:
+        one = ((F.col("_stratum") == s) & above(chosen[g]) for s, g in pool_of.items() if chosen.get(g))
         return functools.reduce(lambda x, y: x | y, one, F.lit(False))
 
-    steps = max(map(len, sequences.values()), default=0)
-    by_step = [rejecting({s: q[min(i, len(q) - 1)] for s, q in sequences.items()}) for i in range(steps)]
-    counted = good.where(~F.col("_fit")).groupBy("_stratum").agg(F.count("*").alias("n"), *(number(c).alias(f"k{i}") for i, c in enumerate(by_step))).collect()
+    # all rules of a pool's sequences, one after the other
+    listed = {g: [rule for q in qs for rule in q] for g, qs in sequences.items()}
+    steps = max(map(len, listed.values()), default=0)
+    by_step = [rejecting({g: q[i] for g, q in listed.items() if i < len(q)}) for i in range(steps)]
+    lost = [number(c & fine).alias(f"k{i}") for i, c in enumerate(by_step)]
+    caught = [number(c & ~fine & ~F.col("_failed")).alias(f"b{i}") for i, c in enumerate(by_step)]
+    counted = labelled.where(~fitted).groupBy("_stratum").agg(number(fine).alias("n"), *lost, *caught).collect() if steps else []
     chosen = {}
-    for r in counted:
-        if q := sequences.get(r["_stratum"]):
-            held = [(r["n"], r[f"k{i}"]) for i in range(len(q))]
-            chosen[r["_stratum"]] = q[certified(held, risk, level / len(counted))]
+    for g, qs in sequences.items():
+        mine = [r for r in counted if r["_stratum"] in pool_of and pool_of[r["_stratum"]] == g]
+        total = lambda c, mine=mine: sum(r[c] for r in mine)
+        begin, ends = 0, []
+        for q in qs:
+            held = [(total("n"), total(f"k{begin + i}")) for i in range(len(q))]
+            ends.append(begin + certified(held, risk, level / (len(pools) * len(qs))))
+            begin += len(q)
+        chosen[g] = listed[g][max(ends, key=lambda i: total(f"b{i}"))]
     rejected = rejecting(chosen)
     base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return rows.select(

@@ -107,3 +107,21 @@ def test_rules_grow_stricter_and_stop_where_good_rows_are_lost():
     lost = none | {"upper_share": [(100, 0)] * 3 + [(100, 9)] * (len(CUTOFFS["upper_share"]) - 3)}
     assert rules(lost, 0.1)[-1]["upper_share"] == CUTOFFS["upper_share"][2]
     assert rules({name: [(0, 0)] * len(c) for name, c in CUTOFFS.items()}, 0.1) == [{}]
+
+
+def test_words_are_certified_where_shapes_are_not_and_in_pooled_strata(spark):
+    """Good holdout rows of en have symbols that fit rows do not show; a, b and c are too small alone."""
+    rng = random.Random(5)
+    fit = {r.id for r in spark.range(1200).where("pmod(xxhash64(id, 'part'), 10) < 3").collect()}
+    docs, labels = [], []
+    for i in range(1200):
+        lang, toxic = ("en" if i < 900 else "abc"[i % 3]), int(i % 4 == 0)
+        text = " ".join("".join(rng.choice("aeioulnrst") for _ in range(6)) for _ in range(40))
+        text += " you vile knave" if toxic else ""
+        if lang == "en" and not toxic and i not in fit and i % 5 == 1:
+            text = text.replace(" ", " %%% ")
+        docs.append((i, text, lang))
+        labels.append((i, 1, toxic))
+    tables = spark.createDataFrame(docs, "doc_id long, text string, lang string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    kept = {r.doc_id for r in quality_rules(*tables).where("kept").collect()}
+    assert kept == {i for i in range(1200) if i % 4}
