@@ -3,9 +3,10 @@
 A block is a piece of a row's text that begins with the row or with a speaker marker
 at the start of a line. Hidden states are the roles; a block shows its marker and
 features of its lines. The model is counted on rows with known roles, and Viterbi
-recovers the roles of all blocks. A conversation may be of any length: it is cut into
-segments of turns, each gives a matrix of its best paths, the matrices are chained,
-and each segment is decoded between the states that the chain fixes.
+recovers the roles of all blocks. A conversation may be of any length: its rows, dealt
+by ranges of their order, are cut into segments of bounded rows and bytes whatever their
+turn numbers are, each segment gives a matrix of its best paths, the matrices are
+chained, and each segment is decoded between the states that the chain fixes.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +34,8 @@ MARKER = re.compile(
     r"^[ \t]*(?:[#*\[<|(]{1,4}[ \t]*)?(" + "|".join(sorted(map(re.escape, ROLE_OF), key=len, reverse=True)) + r")[ \t]*(?:[\])>|*#]{1,4}[ \t]*:?|:)[ \t]*\**[ \t]*",
     re.IGNORECASE | re.MULTILINE,
 )
-SEGMENT = 16_384  # turns
+SEGMENT = 16_384  # rows
+SEGMENT_BYTES = 1 << 25  # of text, a row more at most
 START, END = "<|im_start|>", "<|im_end|>"
 FEATURES = (4, 8, 6, 2, 2)  # marker, length, lines, question, list or code
 
@@ -134,6 +137,40 @@ def _segments(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[list[tup
         yield held
 
 
+def _cut(segment: int):
+    """Rows in order of their conversation (hash and null mark of the key first, number
+    of the range last) to the same rows with segment and place instead of these.
+
+    Places count the rows of a conversation within a range; a segment has at most
+    ``segment`` rows, and SEGMENT_BYTES of text besides its last row. Segments of a
+    conversation grow from range to range.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows, size = None, 0, 0  # of the conversation that the last batch ended in
+        for b in batches:
+            n = b.num_rows
+            if not n:
+                continue
+            k, null = b.column(0).to_numpy(), b.column(1).to_numpy(zero_copy_only=False)
+            new = np.concatenate([[held != (k[0], null[0])], (k[1:] != k[:-1]) | (null[1:] != null[:-1])])
+            heads = np.flatnonzero(np.concatenate([[True], new[1:]]))
+            begin = np.repeat(heads, np.diff(np.append(heads, n)))
+            total = np.concatenate([[0], np.cumsum(pc.binary_length(b.column("t")).to_numpy().astype(np.int64))])
+            place, before = np.arange(n) - begin, total[:-1] - total[begin]
+            if not new[0]:
+                place[begin == 0] += rows
+                before[begin == 0] += size
+            held, rows, size = (k[-1], null[-1]), int(place[-1]) + 1, int(before[-1] + total[-1] - total[-2])
+            cut = place // segment + before // SEGMENT_BYTES
+            part = b.column(b.num_columns - 1).to_numpy().astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns[2:-1], pa.array(part << 40 | cut), pa.array(place)], names=[*b.schema.names[2:-1], "segment", "place"]
+            )
+
+    return run
+
+
 def format_chats(turns: DataFrame, labelled=None, *, key: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", segment: int = SEGMENT) -> DataFrame:
     """One row per block: key, turn, block (from 0 in its row), role (recovered),
     given (the row's role), marked (role of the speaker marker), content, rendered.
@@ -143,41 +180,56 @@ def format_chats(turns: DataFrame, labelled=None, *, key: str = "conv_id", turn:
     rows with the same key and number follow their text. Rows without key are one
     conversation. Roles other than the three teach nothing; moves between segments are
     not counted. Null text is an empty block; an empty table gives an empty table;
-    other columns are ignored.
+    other columns are ignored. Conversations that go on in
+    another range lose one move each to the counts.
     """
     kinds = [f"{n} {turns.schema[c].dataType.simpleString()}" for n, c in (("k", key), ("turn", turn))]
     known = F.when(F.lit(True) if labelled is None else labelled, F.lower(F.trim(F.col(role))))
     state = F.coalesce(*(F.when(known == r, F.lit(i)) for i, r in enumerate(ROLES)), F.lit(-1))
-    number = F.floor(F.coalesce(F.col(turn).cast("double"), F.lit(0.0)) / segment).cast("long")
-    rows = turns.select(F.col(key).alias("k"), number.alias("segment"), F.col(turn).alias("turn"), text_or_empty(text).alias("t"), state.alias("state"), F.col(role).cast("string").alias("given"))
+    rows = turns.select(F.col(key).alias("k"), F.col(turn).alias("turn"), text_or_empty(text).alias("t"), state.alias("state"), F.col(role).cast("string").alias("given"))
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
     n = shuffle_partitions(turns.sparkSession)
-    rows = store(rows.repartition(n, "k", "segment").sortWithinPartitions("k", "segment", "turn", F.xxhash64("t")), "turns")
-    ordered = rows.repartition(n, "k", "segment").sortWithinPartitions("k", "segment", "turn", F.xxhash64("t"))
+    # the last column parts equal rows too
+    order = ("k", "turn", "text_hash", "row")
+    rows = rows.withColumns({"text_hash": F.xxhash64("t"), "row": F.monotonically_increasing_id()})
+    rows = rows.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    rows = rows.select(F.xxhash64("k"), F.col("k").isNull(), "k", "turn", "t", "state", "given", F.spark_partition_id())
+    rows = store(rows.mapInArrow(_cut(segment), f"{columns}, segment long, place long"), "turns")
+    ordered = rows.repartition(n, "k", "segment").sortWithinPartitions("k", "segment", "place")
     roles, combinations = len(ROLES), int(np.prod(FEATURES))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, moves, shown = np.zeros(roles), np.zeros((roles, roles)), np.zeros((roles, combinations))
+        moves, shown = np.zeros((roles, roles)), np.zeros((roles, combinations))
         for run in _segments(batches, 2):
             before = None
-            for _, number, _, t, s in run:
+            for *_, t, s in run:
                 for marker, content in blocks_of(t):
                     now = marker if marker >= 0 and s >= 0 else s
                     if now >= 0:
                         shown[now, observe(marker, content)] += 1
-                        if before is None:
-                            first[now] += number == 0
-                        elif before >= 0:
+                        if before is not None and before >= 0:
                             moves[before, now] += 1
                     before = now
-        x = np.concatenate([first, moves.ravel(), shown.ravel()])
+        x = np.concatenate([moves.ravel(), shown.ravel()])
         at = np.flatnonzero(x)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(x[at])], names=["i", "x"])
 
-    counts = np.zeros(roles + roles**2 + roles * combinations)
+    def opening(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            marked = [blocks_of(t)[0][0] for t in b.column(2).to_pylist()]
+            now = [m if m >= 0 and s >= 0 else s for m, s in zip(marked, b.column(3).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(now, pa.int32())], names=["k", "segment", "now"])
+
+    # of each conversation the role it begins with
+    begun = rows.where("place = 0").select("k", "segment", "t", "state").mapInArrow(opening, f"{kinds[0]}, segment long, now int")
+    begun = begun.groupBy("k").agg(F.min_by("now", "segment").alias("now")).where("now >= 0").groupBy("now").count()
+    first, counts = np.zeros(roles), np.zeros(roles**2 + roles * combinations)
+    for r in begun.collect():
+        first[r["now"]] = r["count"]
     # at most one number per parameter of the model
     for r in ordered.select("k", "segment", "turn", "t", "state").mapInArrow(count, "i long, x double").groupBy("i").agg(F.sum("x").alias("x")).collect():
         counts[r["i"]] = r["x"]
-    model = Model(counts[:roles], counts[roles : roles + roles**2].reshape(roles, roles), counts[roles + roles**2 :].reshape(roles, -1))
+    model = Model(first, counts[: roles**2].reshape(roles, roles), counts[roles**2 :].reshape(roles, -1))
 
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found():
@@ -214,8 +266,8 @@ def format_chats(turns: DataFrame, labelled=None, *, key: str = "conv_id", turn:
         text_fields = [pa.field(c, pa.string()) for c in ("role", "given", "marked", "content", "rendered")]
         yield from _results(found(), [field[0], turn_field, pa.field("block", pa.int32()), *text_fields])
 
-    joined = rows.join(fixed, rows["k"].eqNullSafe(fixed["k2"]) & (rows["segment"] == fixed["segment2"])).select("k", "segment", "turn", "t", "given", "before", "last")
-    joined = joined.repartition(n, "k", "segment").sortWithinPartitions("k", "segment", "turn", F.xxhash64("t"))
+    joined = rows.join(fixed, rows["k"].eqNullSafe(fixed["k2"]) & (rows["segment"] == fixed["segment2"])).select("k", "segment", "turn", "t", "given", "before", "last", "place")
+    joined = joined.repartition(n, "k", "segment").sortWithinPartitions("k", "segment", "place")
     out = joined.mapInArrow(recovered, f"{', '.join(kinds)}, block int, role string, given string, marked string, content string, rendered string")
     return out.select(F.col("k").alias(key), F.col("turn").alias(turn), "block", "role", "given", "marked", "content", "rendered")
 

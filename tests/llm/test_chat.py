@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from riskloom.llm import chat
 from riskloom.llm.chat import FEATURES, ROLES, Model, blocks_of, chain, format_chats, observe, render
 from riskloom.llm.queries import op2_markov_chat_roles
 
@@ -59,3 +60,30 @@ def test_markers_edges_and_long_conversations(spark, segment):
     assert by["m", 0, 1].rendered == render(ROLES.index(by["m", 0, 1].role), by["m", 0, 1].content)
     assert format_chats(turns.limit(0)).count() == 0
     assert observe(-1, "") == 0
+
+
+@pytest.mark.parametrize("size", [7, None])
+def test_segments_are_bounded_whatever_the_turn_numbers(spark, monkeypatch, size):
+    # no key and no turn, equal turns, equal rows: one conversation each
+    rows = [(None, None, "user", "same")] * 90 + [("e", 3, "user", f"t{i % 50:02d}") for i in range(150)] + [("n", i, "user", "x" * 30) for i in range(5)]
+    turns = spark.createDataFrame(rows, "conv_id string, turn int, role string, text string").repartition(3)
+    seen, stored = [], chat.store
+    monkeypatch.setattr(chat, "store", lambda rows, name: seen.append(stored(rows, name)) or seen[-1])
+    out = format_chats(turns, segment=size or chat.SEGMENT).collect()
+    assert sorted((r.conv_id or "", r.turn or 0, r.content) for r in out) == sorted((k or "", t or 0, x) for k, t, _, x in rows)
+    cut = seen[0].groupBy("k", "segment").agg(F.count("*").alias("n"), F.countDistinct("place").alias("places")).collect()
+    assert all(r.n == r.places <= (size or 150) for r in cut) and sum(r.n for r in cut) == len(rows)
+    # segments follow each other in the order of turns and text hashes
+    for k, number in (("e", 150), ("n", 5)):
+        got = seen[0].where(F.col("k") == k).orderBy("segment", "place").select("turn", "t", F.xxhash64("t").alias("h")).collect()
+        assert len(got) == number and [(r.turn, r.h) for r in got] == sorted((r.turn, r.h) for r in got)
+
+
+def test_segments_are_bounded_in_bytes():
+    import pyarrow as pa
+
+    texts = ["a" * (chat.SEGMENT_BYTES // 2)] * 5
+    batch = pa.RecordBatch.from_arrays([pa.array([1] * 5), pa.array([False] * 5), pa.array(["c"] * 5), pa.array(texts), pa.array([2] * 5)], names=["h", "null", "k", "t", "part"])
+    out = list(chat._cut(100)(iter([batch.slice(0, 3), batch.slice(3)])))
+    assert [s & 0xFF for b in out for s in b.column("segment").to_pylist()] == [0, 0, 1, 1, 2]
+    assert [p for b in out for p in b.column("place").to_pylist()] == [0, 1, 2, 3, 4]
