@@ -10,6 +10,7 @@ that share ``length`` bytes are repeats.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +28,7 @@ LETTER = mix(np.arange(256, dtype=np.uint64) + np.uint64(0x5EED))
 PIECE = 1 << 22  # bytes of text hashed at a time
 TOGETHER = 1 << 19  # bytes of short texts hashed together
 LAST = (1 << 63) - 1  # the order of rows without key
+HOT = 50_000  # anchors with one gram beyond which windows are dealt instead of grams
 FEW = 4096  # snippets sorted together (more if one anchor has more)
 
 
@@ -212,6 +214,7 @@ def _spans(doc, key, start, end) -> tuple[np.ndarray, ...]:
 
 SPANS = "doc long, key long, start long, end long"
 CANDIDATES = f"{SPANS}, gram long, around long, anchor long"
+WINDOWS = f"{SPANS}, a long, b long, whole long"  # whole: 1 for a window, 0 for a span
 
 
 def _batch(names: str, **columns) -> pa.RecordBatch:
@@ -222,10 +225,12 @@ def _batch(names: str, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names=fields)
 
 
-def _find_anchors(length: int):
+def _find_anchors(length: int, hot: np.ndarray, windows: bool = False):
     """Rows of texts to anchors (gram, around, anchor, and windows start..end); an
     anchor with the same surroundings as an earlier one of the batch is a repeat at
-    once and leaves as a span with anchor -1, dealt by its document."""
+    once and leaves as a span with anchor -1, dealt by its document. Anchors with a
+    hot gram are left out; with ``windows`` only they are taken, and each of their
+    windows is a row with the hash of its bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -242,6 +247,10 @@ def _find_anchors(length: int):
             if not parts:
                 continue
             row, anchor, first, last, gram, around = (np.concatenate(x) for x in zip(*parts, strict=True))
+            if len(hot):
+                mine = np.isin(gram, hot) == windows
+                row, anchor, first, last, gram, around = (x[mine] for x in (row, anchor, first, last, gram, around))
+            texts = row
             doc, key = doc[row], key[row]
             order = np.lexsort((anchor, doc, around, gram))
             same = (np.diff(gram[order]) == 0) & (np.diff(around[order]) == 0)
@@ -253,6 +262,18 @@ def _find_anchors(length: int):
             again = np.zeros(len(order), bool)
             again[order] = steps > base
             new = ~again
+            if windows:
+                for lo in range(0, int(new.sum()), FEW):
+                    at = np.flatnonzero(new)[lo : lo + FEW]
+                    many = last[at] - first[at] + 1
+                    of = np.repeat(at, many)
+                    start = first[of] + np.arange(len(of)) - np.repeat(np.cumsum(many) - many, many)
+                    data = {i: b.column(2)[i].as_buffer().to_pybytes() for i in np.unique(texts[at]).tolist()}
+                    digests = (hashlib.blake2b(data[i][x : x + length], digest_size=16).digest() for i, x in zip(texts[of].tolist(), start.tolist(), strict=True))
+                    h = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+                    yield _batch(WINDOWS, doc=doc[of], key=key[of], start=start, end=start + length, a=h[:, 0], b=h[:, 1], whole=np.ones(len(of), np.int64))
+                yield _batch(WINDOWS, **dict(zip(("doc", "key", "start", "end"), _spans(doc[again], key[again], first[again], last[again] + length), strict=True)))
+                continue
             yield _batch(CANDIDATES, doc=doc[new], key=key[new], start=first[new], end=last[new] + length, gram=gram[new], around=around[new], anchor=anchor[new])
             d, k, s, e = _spans(doc[again], key[again], first[again], last[again] + length)
             yield _batch(CANDIDATES, doc=d, key=k, start=s, end=e, gram=mix(d.view(np.uint64) ^ k.view(np.uint64)), anchor=np.full(len(d), -1))
@@ -260,6 +281,23 @@ def _find_anchors(length: int):
     return run
 
 
+def _merge_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        d, k, s, e = _spans(*(c.to_numpy() for c in b.columns))
+        yield _batch(SPANS, doc=d, key=k, start=s, end=e)
+
+
+def _hot_spans(texts: DataFrame, length: int, hot: np.ndarray) -> DataFrame:
+    """Repeated spans around anchors with hot grams. Equal windows have equal anchors,
+    so all of them are here; the earliest start per window is pre-aggregated. Windows
+    are told apart by 128-bit hashes."""
+    rows = store(texts.mapInArrow(_find_anchors(length, hot, True), WINDOWS), "windows")
+    at = F.struct("doc", "start")
+    least = rows.where("whole = 1").groupBy("a", "b").agg(F.min(at).alias("first"), F.max(at).alias("last")).where("first < last")
+    late = rows.where("whole = 1").join(least.select("a", "b", "first"), ["a", "b"]).where(at > F.col("first")).select("doc", "key", "start", "end")
+    return late.unionByName(rows.where("whole = 0").select("doc", "key", "start", "end")).mapInArrow(_merge_spans, SPANS)
+
+
 def _classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """All anchors with the same gram are here: repeats with equal surroundings
     become spans (anchor -1); what has the gram in common but not the surroundings
@@ -365,13 +403,19 @@ def repeated_spans(docs: DataFrame, length: int = 100, *, key: str = "doc_id", t
     n = shuffle_partitions(docs.sparkSession)
     order = F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("doc")
     texts = docs.select(order, F.xxhash64(text_or_empty(text)).alias("key"), text_or_empty(text).cast("binary").alias("t"))
-    found = texts.where(F.length("t") >= length).mapInArrow(_find_anchors(length), CANDIDATES)
+    long_enough = texts.where(F.length("t") >= length)
+    # at most one gram per HOT anchors reaches the driver
+    seen = long_enough.mapInArrow(_find_anchors(length, np.zeros(0, np.uint64)), CANDIDATES).where("anchor >= 0").groupBy("gram").count()
+    hot = np.array([r["gram"] for r in seen.where(F.col("count") > HOT).select("gram").collect()], np.int64).view(np.uint64)
+    found = long_enough.mapInArrow(_find_anchors(length, hot), CANDIDATES)
     found = store(found.repartition(n, "gram").mapInArrow(_classify, CANDIDATES), "anchors")
     known = found.where("anchor < 0").select("doc", "key", "start", "end")
     places = found.where("anchor >= 0").groupBy("doc", "key").agg(F.collect_list(F.struct("gram", "anchor", "start", "end")).alias("at"))
     snippets = texts.join(places, ["doc", "key"]).select("doc", "key", "t", "at").dropDuplicates(["doc", "key"]).mapInArrow(_cut(length), SNIPPETS)
     snippets = snippets.repartition(n, "gram").sortWithinPartitions("gram")
     spans = known.unionByName(snippets.mapInArrow(_sort_snippets(length), SPANS))
+    if len(hot):
+        spans = spans.unionByName(_hot_spans(long_enough, length, hot))
     return store(spans.groupBy("doc", "key").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "spans")
 
 

@@ -86,3 +86,20 @@ def test_merged_intervals(found):
     covered = {(a, i) for a, b, c in found for i in range(b, b + c)}
     assert {(a, i) for a, b, c in zip(g.tolist(), s.tolist(), e.tolist(), strict=True) for i in range(b, c)} == covered
     assert len(set(zip(g.tolist(), s.tolist(), strict=True)) & set(zip(g.tolist(), e.tolist(), strict=True))) == 0
+
+
+@pytest.mark.parametrize("length", [100, 64])
+def test_hot_anchors_are_dealt_by_window(spark, monkeypatch, length):
+    """No gram with more than HOT anchors reaches the sort, and the result stays the same."""
+    rng, stored, store = random.Random(7), {}, suffix.store
+    monkeypatch.setattr(suffix, "HOT", 8, raising=False)
+    monkeypatch.setattr(suffix, "store", lambda rows, name: stored.setdefault(name, store(rows, name)))
+    phrase = "all rights reserved, printed in the usual place, see below "
+    word = lambda: "".join(rng.choice("abcdef") for _ in range(5))
+    around = [" ".join(word() for _ in range(12)) for _ in range(6)]
+    rows = corpus() + [(1000 + i, f"{word()} {rng.choice(around)} {phrase}{rng.choice(around)} {word()}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    out = remove_repeats(docs, length).collect()
+    assert sorted((str(r.doc_id), bytes(r.kept), r.n_removed, r.n_spans) for r in out) == brute(rows, length)
+    most = stored["anchors"].where("anchor >= 0").groupBy("gram").count().agg({"count": "max"}).first()[0]
+    assert most <= 8 and stored["windows"].where("whole = 1").count() > 8
