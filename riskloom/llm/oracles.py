@@ -57,7 +57,25 @@ select doc_id, cast(n as bigint) as n_bytes, cast(coalesce(n_removed, 0) as bigi
   sha256(unhex(coalesce(kept, x))) as kept_sha256
 from texts left join left_over using (doc_id)"""
 
+# each line with its key, then the first document of each shared key
+REPEATED_LINES = rf"""
+with pieces as (
+  select doc_id, string_split(coalesce(text, ''), chr(10)) as p from documents
+), lines as (
+  select doc_id, i, p[i] as line,
+    trim(translate(p[i], '{string.ascii_uppercase}', '{string.ascii_lowercase}'), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as k
+  from pieces, unnest(range(1, len(p) + 1)) r(i)
+), shared as (
+  select k, min(doc_id) as f from lines where length(k) >= 10 group by k having count(distinct doc_id) >= 2
+), judged as (
+  select doc_id, i, line, f is not null and f <> doc_id as dropped from lines left join shared using (k)
+)
+select doc_id, count(*) as n_lines, count(*) filter (where dropped) as n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by i) filter (where not dropped), '')) as kept_sha256
+from judged group by doc_id"""
+
 ORACLES: dict[str, str] = {
     "op3_setsketch_near_duplicates": NEAR_DUPLICATES,
     "op10_suffix_sort_dedup": REPEATED_BYTES,
+    "op11_line_dedup": REPEATED_LINES,
 }

@@ -86,6 +86,13 @@ def op10_suffix_sort_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskloom.llm.lines import deduplicate_lines
+
+    out = deduplicate_lines(read(spark, sf_dir, "documents"), least_docs=2, least_chars=10)
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_markov_chat_roles": op2_markov_chat_roles,
@@ -97,4 +104,5 @@ QUERIES = {
     "op8_pitman_yor_score": op8_pitman_yor_score,
     "op9_string_tiling_leaks": op9_string_tiling_leaks,
     "op10_suffix_sort_dedup": op10_suffix_sort_dedup,
+    "op11_line_dedup": op11_line_dedup,
 }
