@@ -74,8 +74,33 @@ select doc_id, count(*) as n_lines, count(*) filter (where dropped) as n_dropped
   sha256(coalesce(string_agg(line, chr(10) order by i) filter (where not dropped), '')) as kept_sha256
 from judged group by doc_id"""
 
+# every term of every document, then every document that shares a term with an item
+RANKED_SEARCH = rf"""
+with words as (
+  select doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}'), '[0-9a-z\x{{80}}-\x{{10FFFF}}]+')) as t from documents
+), counted as (
+  select doc_id, t, count(*) as tf from words group by doc_id, t
+), lengths as (
+  select doc_id, cast(sum(tf) as bigint) as n from counted group by doc_id
+), totals as (
+  select count(*) as all_docs, cast(sum(n) as bigint) as all_terms from lengths
+), weights as (
+  select t, cast(floor(1000 * ln(cast(2 * any_value(all_docs) + 2 as double) / (2 * count(*) + 1))) as bigint) as w from counted, totals group by t
+), asked as (
+  select item_id, t, count(*) as c from (
+    select item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}'), '[0-9a-z\x{{80}}-\x{{10FFFF}}]+')) as t from benchmark
+  ) group by item_id, t
+), scored as (
+  select item_id, doc_id, cast(sum(c * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * all_docs) // all_terms)))) as bigint) as score
+  from asked join counted using (t) join weights using (t) join lengths using (doc_id), totals group by item_id, doc_id
+), ranked as (
+  select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id) as integer) as rank, doc_id, score from scored where score > 0
+)
+select * from ranked where rank <= 10"""
+
 ORACLES: dict[str, str] = {
     "op3_setsketch_near_duplicates": NEAR_DUPLICATES,
     "op10_suffix_sort_dedup": REPEATED_BYTES,
     "op11_line_dedup": REPEATED_LINES,
+    "op12_automaton_search": RANKED_SEARCH,
 }

@@ -93,6 +93,12 @@ def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op12_automaton_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskloom.llm.search import search
+
+    return search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), top=10)
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_markov_chat_roles": op2_markov_chat_roles,
@@ -105,4 +111,5 @@ QUERIES = {
     "op9_string_tiling_leaks": op9_string_tiling_leaks,
     "op10_suffix_sort_dedup": op10_suffix_sort_dedup,
     "op11_line_dedup": op11_line_dedup,
+    "op12_automaton_search": op12_automaton_search,
 }
