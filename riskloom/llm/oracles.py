@@ -98,9 +98,28 @@ with words as (
 )
 select * from ranked where rank <= 10"""
 
+# every anchor against every row
+HARD_NEGATIVES = """
+with vectors as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as q
+  from embeddings where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), pairs as (
+  select a.vec_id as anchor_id, r.vec_id, r.label = a.label as same, list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * r.q[i])) as s
+  from vectors a join vectors r on a.vec_id <> r.vec_id where a.vec_id % 100 = 0
+), positives as (
+  select anchor_id, vec_id as positive_id, cast(s as bigint) as positive_score from pairs where same
+  qualify row_number() over (partition by anchor_id order by s desc, vec_id) <= 5
+), ranked as (
+  select p.anchor_id, positive_id, vec_id as negative_id, positive_score, cast(s as bigint) as negative_score,
+    cast(row_number() over (partition by p.anchor_id, positive_id order by s desc, vec_id) as integer) as rank
+  from positives p join pairs n on n.anchor_id = p.anchor_id and not same and 80 * positive_score <= 100 * s and 100 * s <= 100 * positive_score
+)
+select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from ranked where rank <= 5"""
+
 ORACLES: dict[str, str] = {
     "op3_setsketch_near_duplicates": NEAR_DUPLICATES,
     "op10_suffix_sort_dedup": REPEATED_BYTES,
     "op11_line_dedup": REPEATED_LINES,
     "op12_automaton_search": RANKED_SEARCH,
+    "op13_hard_negatives": HARD_NEGATIVES,
 }

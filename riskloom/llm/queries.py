@@ -99,6 +99,12 @@ def op12_automaton_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), top=10)
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskloom.llm.negatives import hard_negatives
+
+    return hard_negatives(read(spark, sf_dir, "embeddings"), every=100, positives=5, negatives=5, share=80)
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_markov_chat_roles": op2_markov_chat_roles,
@@ -112,4 +118,5 @@ QUERIES = {
     "op10_suffix_sort_dedup": op10_suffix_sort_dedup,
     "op11_line_dedup": op11_line_dedup,
     "op12_automaton_search": op12_automaton_search,
+    "op13_hard_negatives": op13_hard_negatives,
 }
