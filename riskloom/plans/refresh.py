@@ -123,8 +123,7 @@ def refresh_scores(
             else:
                 arrived = keep(arrived.select("transaction_id", "customer_id", "transaction_timestamp", "transaction_date"), "arrived")
                 if mode == "missing":
-                    ids = arrived.select("transaction_id").distinct()
-                    scored = keep(scored.select("transaction_id", "transaction_date").join(ids, "transaction_id", "left_semi"), "known")
+                    scored = table.find(arrived, keep)
                     moved = _moved(txns, arrived, scored, keep)
                 new = unscored(arrived, scored, mode)
                 new = keep(new if moved is None else new.unionByName(moved), "new")

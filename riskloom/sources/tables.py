@@ -6,10 +6,13 @@ classes without touching the operators.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -218,6 +221,56 @@ def merged(existing: DataFrame, updates: DataFrame, key: str) -> DataFrame:
     return existing.join(updates.select(key), key, "left_anti").select(*updates.columns).unionByName(updates)
 
 
+# -- look-ups by key ---------------------------------------------------------
+
+FEW_KEYS = 20_000  # so many are looked up by value, more of them by a join
+_SLICE = 500  # values of one list, well below the depth that nested conditions may have
+_IN_LISTS = "spark.sql.parquet.pushdown.inFilterThreshold"
+
+
+def bloom_options(key: str) -> dict[str, str]:
+    """Writer options: a Bloom filter on ``key`` in each row group, as large as its keys
+    need. One in 100,000 row groups is read in vain per key looked up."""
+    return {
+        f"parquet.bloom.filter.enabled#{key}": "true",
+        f"parquet.bloom.filter.fpp#{key}": "0.00001",
+        "parquet.bloom.filter.adaptive.enabled": "true",
+        "parquet.bloom.filter.candidates.number": "11",
+        "parquet.bloom.filter.max.bytes": str(4 << 20),
+    }
+
+
+@contextmanager
+def _long_in_lists(spark: SparkSession) -> Iterator[None]:
+    """Lists of values reach the files as such; beyond a limit they would be a range."""
+    before = spark.conf.get(_IN_LISTS)
+    spark.conf.set(_IN_LISTS, str(_SLICE))
+    try:
+        yield
+    finally:
+        spark.conf.set(_IN_LISTS, before)
+
+
+def one_of(key: str, values: list) -> Column:
+    """``key`` is one of the values, in lists that stay lists on their way to the files."""
+    lists = [F.col(key).isin(values[i : i + _SLICE]) for i in range(0, len(values), _SLICE)]
+    return reduce(or_, lists, F.lit(False))
+
+
+def rows_with_keys(rows: DataFrame, key: str, keys: DataFrame, keep: Callable, most: int = FEW_KEYS) -> DataFrame:
+    """The stored ``rows`` whose key is in ``keys``, kept as a table of its own.
+
+    At most ``most`` keys are brought to the driver and pushed down to the files, where
+    Bloom filters skip the row groups that have none of them; more keys are joined.
+    """
+    keys = keys.select(key).where(F.col(key).isNotNull()).distinct()
+    few = [r[0] for r in keys.limit(most + 1).collect()]
+    if len(few) > most:
+        return keep(rows.join(keys, key, "left_semi"), "looked_up")
+    with _long_in_lists(rows.sparkSession):
+        return keep(rows.where(one_of(key, sorted(few))), "looked_up")
+
+
 # -- tables ------------------------------------------------------------------
 
 
@@ -254,13 +307,15 @@ class VersionedTable:
         newest = self.newest()
         return None if newest is None else self.spark.read.parquet(f"{self.path}/v={newest}")
 
-    def replace(self, rows: DataFrame) -> DataFrame:
+    def replace(self, rows: DataFrame, version: int | None = None) -> DataFrame:
+        """Write ``rows`` as the next version, or under a higher number of one's own."""
         newest = self.newest()
+        version = version if version is not None else 0 if newest is None else newest + 1
         if self.layout_by:
             # the last join or aggregate has hashed rows by key already; a range
             # partitioning would compute them a second time to sample its bounds
             rows = rows.sortWithinPartitions(self.layout_by)
-        rows.write.mode("overwrite").parquet(f"{self.path}/v={0 if newest is None else newest + 1}")
+        rows.write.mode("overwrite").parquet(f"{self.path}/v={version}")
         return self.read()
 
     def upsert(self, updates: DataFrame, key: str, on_change: str = "append_new_columns") -> DataFrame:
@@ -301,6 +356,7 @@ class DailyTable:
         (
             rows.write.mode(mode)
             .option("partitionOverwriteMode", "dynamic")
+            .options(**bloom_options(self.key))
             .partitionBy(self.day)
             .parquet(self.path)
         )
@@ -311,6 +367,13 @@ class DailyTable:
         self.recover()
         self._write(rows, "append")
 
+    def find(self, keys: DataFrame, keep: Callable) -> DataFrame:
+        """(key, day) of the stored rows with one of the keys."""
+        stored = self.read()
+        if stored is None:
+            stored = self.spark.createDataFrame([], self.schema)
+        return rows_with_keys(stored.select(self.key, self.day), self.key, keys, keep)
+
     def upsert(self, updates: DataFrame) -> None:
         """Replace rows by key; only days that lose or gain rows are rewritten.
 
@@ -326,12 +389,16 @@ class DailyTable:
             return
         with scratch(self.spark) as keep:
             updates = keep(updates, "updates")
-            days = self._days_of(existing, updates).union(updates.select(self.day)).distinct()
+            days = self.find(updates, keep).select(self.day).union(updates.select(self.day)).distinct()
+            days = keep(days.withColumnRenamed(self.day, "touched"), "days")
             touched = [row[0] for row in days.collect()]  # one entry per day
             in_days = F.coalesce(F.col(self.day).isin([d for d in touched if d is not None]), F.lit(False))
             if None in touched:
                 in_days = in_days | F.col(self.day).isNull()
-            self._swaps().replace(merged(existing.where(in_days), updates, self.key))
+            swaps = self._swaps()
+            version = (swaps.newest() or 0) + 1
+            days.write.mode("overwrite").parquet(f"{swaps.path}_days/{version}")
+            swaps.replace(merged(existing.where(in_days), updates, self.key), version)
         self.recover()
 
     def recover(self) -> None:
@@ -341,9 +408,9 @@ class DailyTable:
         version = swaps.newest()
         if version is None or _exists(self.spark, f"{done}/{version}"):
             return
-        content, existing = swaps.read(), self.read()
-        stale = {r[0] for r in self._days_of(existing, content).distinct().collect()}
-        for d in stale - {r[0] for r in content.select(self.day).distinct().collect()}:
+        content = swaps.read()
+        touched = {r[0] for r in self.spark.read.parquet(f"{swaps.path}_days/{version}").collect()}
+        for d in touched - {r[0] for r in content.select(self.day).distinct().collect()}:
             # every row of this day has moved to another one
             fs, p = files(self.spark, f"{self.path}/{self.day}={d or '__HIVE_DEFAULT_PARTITION__'}")
             fs.delete(p, True)
@@ -355,9 +422,6 @@ class DailyTable:
     def _swaps(self) -> VersionedTable:
         return VersionedTable(self.spark, f"{self.path}_swaps")
 
-    def _days_of(self, rows: DataFrame, changed: DataFrame) -> DataFrame:
-        return rows.select(self.key, self.day).join(changed.select(self.key), self.key, "left_semi").select(self.day)
-
     def _check(self, rows: DataFrame) -> None:
         want = {f.name: f.dataType for f in self.schema}
         have = {f.name: f.dataType for f in rows.schema}
