@@ -3,7 +3,21 @@
 from __future__ import annotations
 
 from checks.fixture import raw_sql
-from riskloom.schemas import BASELINE_COLUMNS, MART_COLUMNS, MESSAGE_SCHEMA
+from riskloom.schemas import MESSAGE_SCHEMA
+
+# spelled out here too, so that a column in the wrong place shows
+BASELINE_COLUMNS = (
+    "customer_id avg_amount stddev_amount median_amount p25_amount p75_amount p95_amount p99_amount txn_count_90d "
+    "total_spend_90d avg_daily_txns last_txn_date home_country home_city countries_visited cross_border_rate typical_hour "
+    "late_night_rate historical_max_5min historical_max_15min historical_max_1hr device_count_90d primary_device "
+    "baseline_date computed_at"
+).split()
+MART_COLUMNS = (
+    "transaction_id customer_id transaction_date transaction_timestamp amount currency merchant_name merchant_category "
+    "country city device_id amount_score velocity_score geo_score device_score temporal_score total_score risk_level "
+    "recommended_action amount_zscore baseline_avg baseline_std distance_km travel_speed_kmh prev_country "
+    "current_burst_5min historical_max_5min actual_fraud_flag actual_fraud_type scored_at"
+).split()
 
 D1, D2 = "date '2024-01-25'", "date '2024-01-28'"
 T1, T2 = "timestamp '2024-01-25 00:00:00'", "timestamp '2024-01-28 00:00:00'"
@@ -381,6 +395,8 @@ from mart group by risk_level, recommended_action""",
 from raw where transaction_id is null or event_id % 71 = 0 group by 1""",
     ),
     "customer_baseline_hot": _with(*PROFILED, select=f"select {_cols(BASELINE_COLUMNS)} from base"),
+    "baseline_from_states": _with(*PROFILED, select=f"select {_cols(BASELINE_COLUMNS)} from base"),
+    "baseline_from_states_hot": _with(*PROFILED, select=f"select {_cols(BASELINE_COLUMNS)} from base"),
     "burst_counts_hot": _BURSTS,
     "mart_hot": _with(*SCORED, select=f"select {_cols(MART_COLUMNS)} from mart"),
     "schema_append": _with(

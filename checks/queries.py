@@ -19,11 +19,13 @@ from pyspark.sql import types as T
 from checks.fixture import AS_OF, RUN_TS, SECOND_AS_OF, SECOND_RUN_TS, raw_transactions, raw_with_origin
 from riskloom.operators import evaluation, history, monitoring, profile, quality, scoring, staging
 from riskloom.operators.heat import Heat, measure_heat
+from riskloom.operators.states import daily_states
 from riskloom.params import HotKeyPolicy, RiskParams
 from riskloom.plans.cycle import Store, run_cycle
-from riskloom.plans.refresh import refresh_baseline, refresh_scores, unscored
-from riskloom.session import work_folder, written
+from riskloom.plans.refresh import new_states, refresh_baseline, refresh_scores, unscored
+from riskloom.session import scratch, work_folder, written
 from riskloom.sources import messages, tables
+from riskloom.sources.batches import Span
 from riskloom.streaming.ingest import DRAIN, ingest_stream
 from riskloom.streaming.score import score_stream
 
@@ -255,28 +257,38 @@ def _land_in_two(spark: SparkSession, sf_dir: str, name: str, moved: dict[str, i
     return store, rest
 
 
-def _two_baselines(store: Store, rest: DataFrame, between: Callable = lambda txns, baseline: None) -> tuple:
+def _states(store: Store, batch: str) -> tuple[DataFrame, DataFrame]:
+    """All rows and all daily states, after those of a landed batch are written."""
     txns = staging.stage_transactions(store.raw())
-    first = refresh_baseline(txns, store.baseline, AS_OF, RUN_TS)
-    between(txns, first)
+    with scratch(store.spark) as keep:
+        arrived = staging.stage_transactions(store.raw([batch]))
+        store.states.write(new_states(arrived, txns, P, HotKeyPolicy(), keep), Span.of_batch(batch))
+    return txns, store.states.read()
+
+
+def _two_baselines(store: Store, rest: DataFrame, between: Callable = lambda txns, states, baseline: None) -> tuple:
+    """Profiles merge from the daily states that each batch adds."""
+    txns, states = _states(store, "batch-0")
+    between(txns, states, refresh_baseline(states, store.baseline, AS_OF, RUN_TS))
     tables.land_batch(rest, store.raw_path, 1)
-    txns = staging.stage_transactions(store.raw())
-    return txns, refresh_baseline(txns, store.baseline, SECOND_AS_OF, SECOND_RUN_TS)
+    txns, states = _states(store, "batch-1")
+    return txns, states, refresh_baseline(states, store.baseline, SECOND_AS_OF, SECOND_RUN_TS)
 
 
 def baseline_incremental(spark, sf_dir):
     store, rest = _land_in_two(spark, sf_dir, "baseline")
-    return _rounded(_two_baselines(store, rest)[1])
+    return _rounded(_two_baselines(store, rest)[2])
 
 
 def _two_marts(spark: SparkSession, sf_dir: str, moved: dict[str, int]) -> DataFrame:
     store, rest = _land_in_two(spark, sf_dir, "mart", moved)
 
-    def score_first(txns, baseline):
-        refresh_scores(txns, baseline, store.mart, AS_OF, RUN_TS)
+    def score_first(txns, states, baseline):
+        refresh_scores(txns, states, baseline, store.mart, AS_OF, RUN_TS)
 
-    txns, baseline = _two_baselines(store, rest, score_first)
-    refresh_scores(txns, baseline, store.mart, SECOND_AS_OF, SECOND_RUN_TS)
+    txns, states, baseline = _two_baselines(store, rest, score_first)
+    arrived = staging.stage_transactions(store.raw(["batch-1"]))
+    refresh_scores(txns, states, baseline, store.mart, SECOND_AS_OF, SECOND_RUN_TS, arrived=arrived)
     return _rounded(store.mart.read())
 
 
@@ -314,6 +326,19 @@ def customer_baseline_hot(spark, sf_dir):
     return _rounded(profile.customer_baseline(txns, AS_OF, RUN_TS, heat=measure_heat(txns, FEW)))
 
 
+def baseline_from_states(spark, sf_dir):
+    """The profile of all rows, merged from their daily states."""
+    states = written(daily_states(_staged(spark, sf_dir)), "states")
+    return _rounded(profile.baseline_from_states(states, AS_OF, RUN_TS))
+
+
+def baseline_from_states_hot(spark, sf_dir):
+    txns = _staged(spark, sf_dir)
+    heat = measure_heat(txns, FEW)
+    states = written(daily_states(txns, heat=heat), "states")
+    return _rounded(profile.baseline_from_states(states, AS_OF, RUN_TS, heat=heat))
+
+
 def burst_counts_hot(spark, sf_dir):
     txns = _staged(spark, sf_dir)
     rows = history.burst_counts(txns, heat=measure_heat(txns, FEW))
@@ -517,6 +542,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mart_incremental_gap": mart_incremental_gap,
     "quarantine_report": quarantine_report,
     "customer_baseline_hot": customer_baseline_hot,
+    "baseline_from_states": baseline_from_states,
+    "baseline_from_states_hot": baseline_from_states_hot,
     "burst_counts_hot": burst_counts_hot,
     "mart_hot": mart_hot,
     "schema_append": schema_append,

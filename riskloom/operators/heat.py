@@ -4,7 +4,7 @@ Windows and exact percentiles need all rows of a group in one task. That is
 fine for ordinary customers but not for one that owns a large share of the
 table, so every per-customer operator takes two routes: the plain one, with a
 single shuffle on ``customer_id``, and a spread one in which no task sees more
-than one time slice (or value bucket) of a hot customer. Both are exact.
+than one chunk of time (or value bucket) of a hot customer. Both are exact.
 """
 
 from __future__ import annotations
@@ -29,6 +29,11 @@ class Heat:
     policy: HotKeyPolicy
     keys: DataFrame | None = None
     short: bool = True  # the list has at most max_keys entries
+    rows: int = 0  # of hot customers, at most
+
+    def chunks(self, copies: int) -> int:
+        """So many pieces keep each one near the policy's size, if rows come ``copies`` times."""
+        return max(1, -(-self.rows * copies // self.policy.chunk_rows))
 
     def small(self, rows: DataFrame) -> DataFrame:
         """Mark rows, one per hot customer, for broadcast if the list is short."""
@@ -41,15 +46,21 @@ def measure_heat(rows: DataFrame, policy: HotKeyPolicy | None = None) -> Heat:
     At most ``policy.max_keys + 1`` ids are brought to the driver; a longer list is
     written to the work folder instead.
     """
-    policy = policy or HotKeyPolicy()
     counts = rows.groupBy("customer_id").agg(F.count("*").alias("n"))
-    hot = counts.where(F.col("n") > policy.min_rows).select(F.col("customer_id").alias(_HOT_ID))
+    return heat_of(counts, policy or HotKeyPolicy())
+
+
+def heat_of(counts: DataFrame, policy: HotKeyPolicy) -> Heat:
+    """The hot ones among customers whose rows (n) were counted before."""
+    hot = counts.where(F.col("n") > policy.min_rows).select(F.col("customer_id").alias(_HOT_ID), "n")
     found = hot.limit(policy.max_keys + 1).collect()
     if not found:
         return Heat(policy)
     if len(found) > policy.max_keys:
-        return Heat(policy, written(hot, "hot"), short=False)
-    return Heat(policy, rows.sparkSession.createDataFrame(found, _HOT_SCHEMA))
+        stored = written(hot, "hot")
+        return Heat(policy, stored.select(_HOT_ID), short=False, rows=stored.agg(F.sum("n")).first()[0])
+    keys = counts.sparkSession.createDataFrame([r[:1] for r in found], _HOT_SCHEMA)
+    return Heat(policy, keys, rows=sum(r["n"] for r in found))
 
 
 @dataclass(frozen=True)

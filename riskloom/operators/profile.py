@@ -2,15 +2,14 @@
 
 Ordinary customers: one shuffle on customer_id serves the burst windows, the
 home-country window and a single aggregate. Hot customers: every statistic is
-built from pre-aggregated pieces (value counts, value buckets, time slices), so
-that no buffer or group holds all of their rows.
+built from pre-aggregated pieces (value counts, value buckets, chunks of time), so
+that no buffer or group holds all of their rows. Stored daily states give the same
+profile without the rows.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
-from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -18,22 +17,27 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.clock import as_ntz
 from riskloom.functions.rules import is_night
-from riskloom.operators.heat import Heat, Split, measure_heat, split_by_heat
+from riskloom.operators.heat import Heat, Split, heat_of, measure_heat, split_by_heat
 from riskloom.operators.history import PROFILE_BURSTS, plain_history, spread_history
 from riskloom.operators.staging import lookback
-from riskloom.params import RiskParams
+from riskloom.operators.states import (
+    KEY,
+    QUANTILES,
+    count_states,
+    deviation,
+    device_summary,
+    geography_summary,
+    merged_states,
+    opening_day_alone,
+    quantile_summary,
+    spending_summary,
+    spread_quantiles,
+    timing_summary,
+    velocity_summary,
+)
+from riskloom.params import HotKeyPolicy, RiskParams
 from riskloom.schemas import BASELINE_COLUMNS
-
-KEY = "customer_id"
-
-# The quantiles kept in the profile.
-QUANTILES = {
-    "p25_amount": 0.25,
-    "median_amount": 0.5,
-    "p75_amount": 0.75,
-    "p95_amount": 0.95,
-    "p99_amount": 0.99,
-}
+from riskloom.session import written
 
 # Profile column -> burst column it is the maximum of.
 BURST_RECORDS = {
@@ -53,14 +57,8 @@ DEVICES = (KEY, *BASELINE_COLUMNS[21:23])
 
 
 def _deviation(amount: Column) -> Column:
-    """Sample standard deviation from exact decimal sums, so that the order of the
-    rows does not show; sums beyond 38 digits fall back to doubles."""
-    n = F.count(amount)
-    total = F.sum(amount)
     squares = F.try_sum(F.try_multiply(amount, amount))
-    spread = F.try_subtract(F.try_multiply(n.cast("decimal(18,0)"), squares), F.try_multiply(total, total))
-    exact = F.sqrt(spread.cast("double") / n / (n - 1))
-    return F.when(n > 1, F.coalesce(exact, F.stddev_samp(amount.cast("double"))))
+    return deviation(F.count(amount), F.sum(amount), squares, F.stddev_samp(amount.cast("double")))
 
 
 def _moments(p: RiskParams) -> list[Column]:
@@ -147,143 +145,35 @@ def _same_customer(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.join(other, F.col(KEY).eqNullSafe(F.col("_other")), "left").drop("_other")
 
 
-def spread_quantiles(rows: DataFrame) -> DataFrame:
-    """Exact interpolated quantiles of amount from bucketed value counts.
-
-    Buckets follow the logarithm of the amount, so there are at most some ten
-    thousand per customer, and one holds the distinct values within 0.1 %.
-    """
-    amount = F.col("amount").cast("double")
-    counts = rows.where(F.col("amount").isNotNull()).groupBy(KEY, "amount").agg(F.count("*").alias("_n"))
-    counts = counts.select(
-        F.coalesce(F.concat(F.lit("="), KEY), F.lit("")).alias("_who"),
-        KEY,
-        amount.alias("_value"),
-        "_n",
-        F.floor(F.signum(amount) * F.log1p(F.abs(amount)) * 1000).alias("_bucket"),
-    )
-    by_bucket = Window.partitionBy("_who").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
-    buckets = (
-        counts.groupBy("_who", "_bucket")
-        .agg(F.sum("_n").alias("_size"))
-        .select(
-            "_who",
-            "_bucket",
-            (F.sum("_size").over(by_bucket) - F.col("_size")).alias("_below"),
-            F.sum("_size").over(Window.partitionBy("_who")).alias("_total"),
-        )
-    )
-    in_bucket = Window.partitionBy("_who", "_bucket").orderBy("_value").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (
-        counts.join(buckets, ["_who", "_bucket"])
-        .withColumn("_end", F.col("_below") + F.sum("_n").over(in_bucket))
-        .withColumn("_start", F.col("_end") - F.col("_n"))
-    )
-
-    def at_rank(rank: Column) -> Column:
-        here = (F.col("_start") <= rank) & (rank < F.col("_end"))
-        return F.max(F.when(here, F.col("_value")))
-
-    found = []
-    for name, q in QUANTILES.items():
-        position = F.lit(q) * (F.col("_total") - 1)
-        found += [at_rank(F.floor(position)).alias(f"_lo_{name}"), at_rank(F.ceil(position)).alias(f"_hi_{name}")]
-    picked = ranked.groupBy(KEY).agg(F.max("_total").alias("_total"), *found)
-
-    def interpolated(name: str, q: float) -> Column:
-        position = F.lit(q) * (F.col("_total") - 1)
-        lo, hi = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-        mixed = (F.ceil(position) - position) * lo + (position - F.floor(position)) * hi
-        return F.when(lo == hi, lo).otherwise(mixed).alias(name)
-
-    return picked.select(KEY, *[interpolated(name, q) for name, q in QUANTILES.items()])
-
+def _spread_velocity(rows: DataFrame, heat: Heat) -> DataFrame:
+    # simultaneous transactions have equal counts: keep one row per instant
+    instants = rows.groupBy(KEY, "transaction_timestamp").agg(F.count("*").alias("_weight"))
+    chunks = heat.chunks(1 + len(PROFILE_BURSTS))
+    counted = spread_history(instants, PROFILE_BURSTS, False, chunks, heat.short, weight="_weight")
+    return counted.groupBy(KEY).agg(*_plain_velocity(RiskParams()))
 
-def _value_counts(rows: DataFrame, values: dict[str, Column]) -> DataFrame:
-    """(customer, attribute, value, n) in one pass over the rows."""
-    pairs = F.array(*[F.struct(F.lit(name).alias("k"), value.alias("v")) for name, value in values.items()])
-    return (
-        rows.select(KEY, F.explode(pairs).alias("_a"))
-        .groupBy(KEY, F.col("_a.k").alias("_attribute"), F.col("_a.v").alias("_value"))
-        .agg(F.count("*").alias("_n"))
-    )
-
-
-def _of(name: str, value: Column) -> Column:
-    return F.when((F.col("_attribute") == name) & F.col("_value").isNotNull(), value)
-
-
-def _most_frequent(name: str) -> Column:
-    """Value with the highest count, the lowest one on ties."""
-    return F.min(_of(name, F.struct((-F.col("_n")).alias("n"), F.col("_value").alias("v"))))["v"]
-
-
-@dataclass(frozen=True)
-class _Spread:
-    """How one part of the profile is put together for hot customers."""
-
-    moments: Callable[[RiskParams], list[Column]] = lambda p: []
-    values: dict[str, Column] = field(default_factory=dict)  # to be counted
-    summary: Callable[[], list[Column]] = lambda: []  # over the value counts
-    tables: tuple[Callable[[DataFrame], DataFrame], ...] = ()  # of their own
-
-
-def _geography_summary() -> list[Column]:
-    n = F.col("_n")
-    elsewhere = F.coalesce(F.sum(_of("country", n)) - F.max(_of("country", n)), F.lit(0))
-    return [
-        _most_frequent("country").alias("home_country"),
-        _most_frequent("city").alias("home_city"),
-        F.count(_of("country", F.lit(1))).alias("countries_visited"),
-        (elsewhere / F.sum(F.when(F.col("_attribute") == "country", n))).alias("cross_border_rate"),
-    ]
 
-
-def _device_summary() -> list[Column]:
-    return [
-        F.count(_of("device", F.lit(1))).alias("device_count_90d"),
-        _most_frequent("device").alias("primary_device"),
-    ]
+# What each part needs of the states: counted attributes, and the summary.
+_FROM_STATES = {
+    _plain_spending: (("amount",), spending_summary),
+    _plain_geography: (("country", "city"), geography_summary),
+    _plain_timing: (("hour",), timing_summary),
+    _plain_devices: (("device",), device_summary),
+}
 
 
-def _spread_velocity(slice_seconds: int) -> Callable[[DataFrame], DataFrame]:
-    def build(rows: DataFrame) -> DataFrame:
-        # simultaneous transactions have equal counts: keep one row per instant
-        instants = rows.groupBy(KEY, "transaction_timestamp").agg(F.count("*").alias("_weight"))
-        counted = spread_history(instants, PROFILE_BURSTS, False, slice_seconds, weight="_weight")
-        return counted.groupBy(KEY).agg(*_plain_velocity(RiskParams()))
-
-    return build
-
-
-def _spread_parts(slice_seconds: int) -> dict[Callable, _Spread]:
-    # two digits, so that text order is hour order
-    hour = F.lpad(F.hour("transaction_timestamp").cast("string"), 2, "0")
-    return {
-        _plain_spending: _Spread(moments=_moments, tables=(spread_quantiles,)),
-        _plain_geography: _Spread(
-            values={"country": F.col("country"), "city": F.col("city")}, summary=_geography_summary
-        ),
-        _plain_timing: _Spread(
-            moments=lambda p: [_night_rate(p)],
-            values={"hour": hour},
-            summary=lambda: [_most_frequent("hour").cast("int").alias("typical_hour")],
-        ),
-        _plain_velocity: _Spread(tables=(_spread_velocity(slice_seconds),)),
-        _plain_devices: _Spread(values={"device": F.col("device_id")}, summary=_device_summary),
-    }
-
-
-def _spread(rows: DataFrame, p: RiskParams, parts, slice_seconds: int) -> DataFrame:
-    """One pass for all moments, one for all value counts, one per other table."""
-    chosen = [_spread_parts(slice_seconds)[part] for part in parts]
+def _spread(rows: DataFrame, p: RiskParams, parts, heat: Heat) -> DataFrame:
+    """The source is read once for all counts and once for the bursts."""
     pieces = []
-    if moments := [column for c in chosen for column in c.moments(p)]:
-        pieces.append(rows.groupBy(KEY).agg(*moments))
-    if values := {name: value for c in chosen for name, value in c.values.items()}:
-        summary = [column for c in chosen for column in c.summary()]
-        pieces.append(_value_counts(rows, values).groupBy(KEY).agg(*summary))
-    pieces += [build(rows) for c in chosen for build in c.tables]
+    counted = [_FROM_STATES[part] for part in parts if part in _FROM_STATES]
+    if counted:
+        attributes = tuple(a for names, _ in counted for a in names)
+        counts = written(count_states(rows, p, (KEY,), attributes), "counts")
+        pieces.append(counts.groupBy(KEY).agg(*[c for _, summary in counted for c in summary(p)]))
+        if "amount" in attributes:
+            pieces.append(spread_quantiles(counts))
+    if _plain_velocity in parts:
+        pieces.append(_spread_velocity(rows, heat))
     return reduce(_same_customer, pieces)
 
 
@@ -291,10 +181,9 @@ def _spread(rows: DataFrame, p: RiskParams, parts, slice_seconds: int) -> DataFr
 
 
 def _profile(split: Split, p: RiskParams, columns, *parts) -> DataFrame:
-    step = split.heat.policy.slice_seconds
     return split.map(
         lambda rows: _plain(rows, p, parts).select(*columns),
-        lambda rows: _spread(rows, p, parts, step).select(*columns),
+        lambda rows: _spread(rows, p, parts, split.heat).select(*columns),
     ).merged()
 
 
@@ -344,7 +233,10 @@ def customer_baseline(
     if only is not None:
         split = split.lookup(only, "left_semi")
     parts = (_plain_spending, _plain_geography, _plain_timing, _plain_velocity, _plain_devices)
-    profile = _profile(split, p, BASELINE_COLUMNS[:-2], *parts)
+    return _dated(_profile(split, p, BASELINE_COLUMNS[:-2], *parts), as_of, run_ts)
+
+
+def _dated(profile: DataFrame, as_of: dt.date, run_ts: dt.datetime) -> DataFrame:
     # a profile is spending joined with the rest on customer_id, and a missing
     # customer never equals itself: such a row keeps its spending part only
     spending = set(SPENDING)
@@ -353,3 +245,44 @@ def customer_baseline(
         F.lit(as_of).alias("baseline_date"),
         as_ntz(run_ts).alias("computed_at"),
     )
+
+
+def baseline_from_states(
+    states: DataFrame,
+    as_of: dt.date,
+    run_ts: dt.datetime,
+    p: RiskParams = RiskParams(),
+    heat: Heat | None = None,
+    only: DataFrame | None = None,
+) -> DataFrame:
+    """``customer_baseline`` from daily states instead of rows, with the same result.
+
+    States of one customer and day may stand in several rows. Without ``heat`` hot
+    customers are those with many rows behind their states.
+    """
+    first = as_of - dt.timedelta(days=p.baseline_lookback_days)
+    window = opening_day_alone(lookback(states, as_of, p.baseline_lookback_days), first)
+    split = split_by_heat(window, heat or heat_of(state_counts(window), HotKeyPolicy()))
+    if only is not None:
+        split = split.lookup(only, "left_semi", null_safe=True)
+    summaries = (spending_summary, geography_summary, timing_summary, velocity_summary, device_summary)
+    columns = [c for summary in summaries for c in summary(p)]
+
+    def plain(rows: DataFrame) -> DataFrame:
+        # one shuffle serves both steps
+        merged = merged_states(rows.repartition(KEY), (KEY,))
+        return _unpack_quantiles(merged.groupBy(KEY).agg(*columns, quantile_summary()))
+
+    def spread(rows: DataFrame) -> DataFrame:
+        merged = written(merged_states(rows, (KEY,)), "merged")
+        return _same_customer(merged.groupBy(KEY).agg(*columns), spread_quantiles(merged))
+
+    profile = split.map(
+        lambda rows: plain(rows).select(*BASELINE_COLUMNS[:-2]), lambda rows: spread(rows).select(*BASELINE_COLUMNS[:-2])
+    ).merged()
+    return _dated(profile, as_of, run_ts)
+
+
+def state_counts(states: DataFrame) -> DataFrame:
+    """Rows (n) per customer."""
+    return states.where(F.col("part") == "day").groupBy(KEY).agg(F.sum("n").alias("n"))

@@ -132,17 +132,19 @@ def score_transactions(
     run_ts: dt.datetime,
     p: RiskParams = RiskParams(),
     heat: Heat | None = None,
-    only: DataFrame | None = None,
+    only: Column | None = None,
     extra: tuple[str, ...] = (),
+    more: dict[str, str] | None = None,
 ) -> DataFrame:
     """Score ``txns`` against ``baseline`` (one row per customer).
 
     Bursts and previous places are taken from all of ``txns``. ``only``
     (a boolean column) then selects the rows to return, so that rows of earlier
-    runs can be passed along as context. ``extra`` columns are kept at the end.
+    runs can be passed along as context; it may use columns of the previous row that
+    ``more`` names (new -> old). ``extra`` columns are kept at the end.
     """
     split = split_by_heat(txns, heat or measure_heat(txns))
-    split = attach_history(split, SCORE_BURSTS, previous=True)
+    split = attach_history(split, SCORE_BURSTS, previous=True, more=more)
     if only is not None:
         split = split.where(only)
     rows = _enrich(split, baseline).merged()

@@ -51,10 +51,9 @@ class HotKeyPolicy:
     while it has at most ``max_keys`` entries; a longer one is stored and joined by
     a shuffle.
 
-    Rows of hot customers are processed per time slice of ``slice_seconds``;
-    burst widths must be multiples of it.
+    Rows of hot customers are ordered in chunks of about ``chunk_rows``.
     """
 
     max_keys: int = 100_000
     min_rows: int = 1_000_000
-    slice_seconds: int = 60
+    chunk_rows: int = 1_000_000

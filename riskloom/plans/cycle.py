@@ -7,16 +7,17 @@ import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from riskloom.operators.heat import measure_heat
 from riskloom.operators.monitoring import alert_route, freshness_check
 from riskloom.operators.quality import quality_report
 from riskloom.operators.staging import quarantine, stage_transactions
+from riskloom.operators.states import STATE_SCHEMA, combined_states
 from riskloom.params import HotKeyPolicy, RiskParams
-from riskloom.plans.refresh import refresh_baseline, refresh_scores
+from riskloom.plans.refresh import new_states, refresh_baseline, refresh_scores
 from riskloom.schemas import MART_SCHEMA
-from riskloom.sources.tables import DailyTable, Ledger, VersionedTable, landed_batches, read_raw
+from riskloom.session import scratch
+from riskloom.sources.batches import BatchedTable, Ledger, Span, without
+from riskloom.sources.tables import DailyTable, VersionedTable, bloom_options, raw_table, read_raw
 
 
 @dataclass(frozen=True)
@@ -33,6 +34,19 @@ class Store:
     def raw(self, batches: list[str] | None = None) -> DataFrame:
         return read_raw(self.spark, self.raw_path, batches)
 
+    @property
+    def states(self) -> BatchedTable:
+        """Daily states of customers, in folders of the batches they come from."""
+        return BatchedTable(
+            self.spark,
+            f"{self.root}/customer_states",
+            STATE_SCHEMA,
+            "transaction_date",
+            combine=combined_states,
+            sort_by=("part", "customer_id"),
+            options=bloom_options("customer_id"),
+        )
+
     @property
     def scored_batches(self) -> Ledger:
         return Ledger(self.spark, f"{self.root}/scored_batches")
@@ -41,10 +55,15 @@ class Store:
     def quarantine_path(self) -> str:
         return f"{self.root}/quarantine"
 
-    def pending(self) -> list[str]:
+    def pending(self) -> list[Span]:
         """Landed batches that were not scored yet."""
-        done = self.scored_batches.names()
-        return [n for n in landed_batches(self.spark, self.raw_path) if n not in done]
+        return without(raw_table(self.spark, self.raw_path).spans(), self.scored_batches.spans())
+
+    def merge(self, owner: str) -> None:
+        """Merge small folders of batches that an owner has landed and that were scored."""
+        raw_table(self.spark, self.raw_path).merge(owner)
+        if not any(s.owner == owner for s in self.pending()):
+            self.states.merge(owner)
 
     @property
     def baseline(self) -> VersionedTable:
@@ -95,15 +114,19 @@ def refresh(
     The batches that are not in the ledger of scored ones drive the work. They enter
     it last, so a run that broke off is repeated.
     """
-    batches = store.pending()
+    spans = store.pending()
+    batches = [name for s in spans for name in s.names()]
     arrived = store.raw(batches)
     held = 0 if strict else set_aside(store, arrived, batches)
     txns = stage_transactions(store.raw(), strict)
-    day = F.col("transaction_date")
-    heat = measure_heat(txns.where(day.isNull() | (day >= F.lit(as_of - dt.timedelta(days=p.baseline_lookback_days)))), policy)
-    new = stage_transactions(arrived, strict)
-    baseline = refresh_baseline(txns, store.baseline, as_of, now, p, heat, arrived=new)
-    refresh_scores(txns, baseline, store.mart, as_of, now, p, heat, arrived=new, **scoring)
+    for span in spans:
+        # a span that was written before a run broke off is part of the one written now
+        with scratch(store.spark) as keep:
+            rows = stage_transactions(store.raw(span.names()), strict)
+            store.states.write(new_states(rows, txns, p, policy, keep), span)
+    states, new = store.states.read(), stage_transactions(arrived, strict)
+    baseline = refresh_baseline(states, store.baseline, as_of, now, p, policy, arrived=new)
+    refresh_scores(txns, states, baseline, store.mart, as_of, now, p, policy, arrived=new, **scoring)
     store.scored_batches.add(batches)
     return held
 

@@ -4,33 +4,60 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.operators.heat import Heat, measure_heat, split_by_heat
-from riskloom.operators.profile import customer_baseline
+from riskloom.functions.clock import MICROS, epoch_micros, floor_div
+from riskloom.operators.heat import Heat, heat_of, measure_heat, split_by_heat
+from riskloom.operators.history import SCORE_BURSTS
+from riskloom.operators.profile import baseline_from_states, state_counts
 from riskloom.operators.scoring import score_transactions
 from riskloom.operators.staging import active_customers, lookback, newer_than
-from riskloom.params import RiskParams
+from riskloom.operators.states import as_states, burst_states, count_states, customer_days
+from riskloom.params import HotKeyPolicy, RiskParams
 from riskloom.session import scratch
-from riskloom.sources.tables import DailyTable, VersionedTable, latest_per_key, without_copies
+from riskloom.sources.tables import DailyTable, VersionedTable, latest_per_key, on_days, rows_with_keys, without_copies
 
-# What bursts and trips need to know about rows that are not scored themselves.
-_CONTEXT = ("transaction_id", "customer_id", "transaction_timestamp", "transaction_date", "country", "latitude", "longitude")
+_NEW = ("transaction_id", "customer_id", "transaction_timestamp", "transaction_date")
+
+
+def new_states(arrived: DataFrame, txns: DataFrame, p: RiskParams, policy: HotKeyPolicy, keep: Callable) -> DataFrame:
+    """States of rows that arrived; ``txns`` are all rows, these included.
+
+    Counts are those of the new rows. Burst records are counted again for the days these
+    fall on and the days after, from all rows of the customers on them and on the day
+    before.
+    """
+    touched = keep(arrived.where(F.col("transaction_date").isNotNull()).select("customer_id", "transaction_date").distinct(), "touched")
+    day = F.col("transaction_date")
+
+    def also(*shifts: int) -> DataFrame:
+        days = F.explode(F.array(*[F.date_add(day, n) for n in shifts])).alias("transaction_date")
+        return touched.select("customer_id", days).distinct()
+
+    read = keep(also(-1, 0, 1), "read")
+    pairs = _renamed(read)
+    rows = on_days(txns, "transaction_date", read.select("transaction_date").distinct())
+    rows = rows.join(pairs, _same(rows, pairs, "customer_id", "transaction_date"), "left_semi")
+    rows = rows.select("customer_id", "transaction_id", "transaction_timestamp", "transaction_date", "country", "latitude", "longitude")
+    bursts = burst_states(split_by_heat(rows, measure_heat(rows, policy)), also(0, 1))
+    return as_states(count_states(arrived, p)).unionByName(as_states(bursts))
 
 
 def refresh_baseline(
-    txns: DataFrame,
+    states: DataFrame,
     table: VersionedTable,
     as_of: dt.date,
     run_ts: dt.datetime,
     p: RiskParams = RiskParams(),
-    heat: Heat | None = None,
+    policy: HotKeyPolicy = HotKeyPolicy(),
     full: bool = False,
     arrived: DataFrame | None = None,
 ) -> DataFrame:
-    """Recompute the profiles of customers active since the last run.
+    """Merge the profiles of customers active since the last run from daily states.
 
     Others keep the profile they have. An empty or missing table, or ``full``,
     makes it a full refresh. ``arrived`` are the rows landed since the last run: a
@@ -38,20 +65,27 @@ def refresh_baseline(
     that row is. A second run on the same day recomputes these customers only, since
     a profile leaves the running day out.
     """
+    days = p.baseline_lookback_days
+
+    def profiles(found: DataFrame, only: DataFrame | None = None) -> DataFrame:
+        heat = heat_of(state_counts(lookback(found, as_of, days)), policy)
+        return baseline_from_states(found, as_of, run_ts, p, heat, only)
+
     existing = None if full else table.read()
     since = existing.agg(F.max("baseline_date")).first()[0] if existing is not None else None
     if since is None:
-        return table.replace(customer_baseline(txns, as_of, run_ts, p, heat))
-    late = None if arrived is None else lookback(arrived, as_of, p.baseline_lookback_days).select("customer_id").distinct()
-    if since >= as_of:
-        if late is None or late.isEmpty():
-            return existing
-        only = late
-    else:
-        only = active_customers(txns, since)
-        only = only if late is None else only.union(late).distinct()
-    updates = customer_baseline(txns, as_of, run_ts, p, heat, only=only)
-    rows = table.upsert(updates, "customer_id", on_change="append_new_columns")
+        return table.replace(profiles(states))
+    late = None if arrived is None else lookback(arrived, as_of, days).select("customer_id").distinct()
+    if since >= as_of and (late is None or late.isEmpty()):
+        return existing
+    with scratch(table.spark) as keep:
+        if since >= as_of:
+            # few customers: only their states are read
+            updates = profiles(rows_with_keys(lookback(states, as_of, days), "customer_id", late, keep))
+        else:
+            only = active_customers(states.where(F.col("part") == "day"), since)
+            updates = profiles(states, only if late is None else only.union(late).distinct())
+        rows = table.upsert(updates, "customer_id", on_change="append_new_columns")
     table.forget_old_versions()
     return rows
 
@@ -68,7 +102,7 @@ def unscored(txns: DataFrame, scored: DataFrame | None, mode: str = "missing", f
     is not in the scored table, however late it came. ``high_water``: rows after the latest
     scored timestamp; cheap, but late rows are never scored.
     """
-    keys = txns.select("transaction_id", "customer_id", "transaction_timestamp", "transaction_date")
+    keys = txns.select(*_NEW)
     if mode not in ("missing", "high_water"):
         raise ValueError(f"unknown selection mode {mode!r}")
     if scored is None:
@@ -85,12 +119,13 @@ def unscored(txns: DataFrame, scored: DataFrame | None, mode: str = "missing", f
 
 def refresh_scores(
     txns: DataFrame,
+    states: DataFrame,
     baseline: DataFrame,
     table: DailyTable,
     as_of: dt.date,
     run_ts: dt.datetime,
     p: RiskParams = RiskParams(),
-    heat: Heat | None = None,
+    policy: HotKeyPolicy = HotKeyPolicy(),
     mode: str = "missing",
     context: str = "full",
     rescore_later: bool = False,
@@ -100,28 +135,31 @@ def refresh_scores(
     """Score what is new and put it into the scored table.
 
     New is what is not in the scored table, whatever its date. ``arrived`` names the
-    candidates, the rows of batches that were not scored yet: of the scored table ids
-    and dates alone are read, on all days. A candidate whose id is scored under another
+    candidates, the rows of batches that were not scored yet; they are looked up in the
+    scored table by id. A candidate whose id is scored under another
     date replaces that row if it is the newest copy (by ``_ingested_at``) of its id.
     Without it all rows are candidates, and ``late_days`` may bound how old they are.
 
     ``context="full"`` lets new rows see the customer's earlier rows, so the result
-    equals scoring everything at once; ``"slice"`` shows them each other only. ``heat`` may be that of any larger
-    set of rows: who is not hot there has few enough rows here. With ``rescore_later`` rows that
-    follow a late one, and may have lost their predecessor to it, are scored again.
+    equals scoring everything at once; ``"slice"`` shows them each other only. The daily
+    ``states`` of all ``txns`` tell on which days a customer has rows and which one was
+    the last of each: only the days that matter are read. With ``rescore_later`` rows
+    that a late one changes are scored again: the next one of its customer, and those it
+    is counted for.
     """
     if context not in ("full", "slice"):
         raise ValueError(f"unknown context {context!r}")
     with scratch(table.spark) as keep:
-        scored, moved = table.read(), None
+        scored, moved, ids = table.read(), None, txns
         if scored is None or scored.isEmpty():
-            rows, ids = score_transactions(txns, baseline, run_ts, p, heat, extra=("_ingested_at",)), txns
+            heat = measure_heat(txns, policy)
+            rows = score_transactions(txns, baseline, run_ts, p, heat, extra=("_ingested_at",))
         else:
             if arrived is None:
                 first_day = None if late_days is None else as_of - dt.timedelta(days=late_days)
                 new = keep(unscored(txns, scored, mode, first_day), "new")
             else:
-                arrived = keep(arrived.select("transaction_id", "customer_id", "transaction_timestamp", "transaction_date"), "arrived")
+                arrived = keep(arrived.select(*_NEW), "arrived")
                 if mode == "missing":
                     scored = table.find(arrived, keep)
                     moved = _moved(txns, arrived, scored, keep)
@@ -129,11 +167,24 @@ def refresh_scores(
                 new = keep(new if moved is None else new.unionByName(moved), "new")
             if new.isEmpty():
                 return
-            context_rows, heat = _with_context(txns, new, as_of, p, heat, context, rescore_later, keep)
-            rows = score_transactions(
-                context_rows, baseline, run_ts, p, heat, only=F.col("_wanted"), extra=("_ingested_at",)
-            )
-            ids = context_rows.where("_wanted")
+            if context == "full":
+                found, heat = _surroundings(txns, states, new, policy, rescore_later, keep)
+            else:
+                found = on_days(txns, "transaction_date", new.select("transaction_date").distinct())
+                found, heat = _marked(found, new).where("_new"), measure_heat(new, policy)
+            wanted = F.col("_new")
+            if rescore_later and context == "full":
+                found = _near_new(found, new)
+                # undated rows come last, whatever is before them
+                wanted = wanted | F.col("_near") | F.coalesce("_after_new", F.lit(False)) | F.col("transaction_timestamp").isNull()
+            rows = score_transactions(found, baseline, run_ts, p, heat, only=wanted & ~F.col("_carried"), extra=("_ingested_at", "_new"), more={"_after_new": "_new"})
+            rows = keep(rows, "scored")
+            if rescore_later and context == "full":
+                # an older copy of a row that has moved to another day is not scored again
+                at = table.find(rows.where(~F.col("_new")), keep, "again_at").withColumnsRenamed({"transaction_id": "_id", "transaction_date": "_at"})
+                here = rows["transaction_id"].eqNullSafe(at["_id"]) & rows["transaction_date"].eqNullSafe(at["_at"])
+                rows = keep(rows.where("_new").unionByName(rows.where(~F.col("_new")).join(at, here, "left_semi")), "current")
+            rows, ids = rows.drop("_new"), rows
         rows = without_copies(rows, ids, "transaction_id", "_ingested_at", keep).drop("_ingested_at")
         if mode == "missing" and not rescore_later and moved is None:
             table.append(rows)
@@ -157,63 +208,88 @@ def _moved(txns: DataFrame, arrived: DataFrame, known: DataFrame, keep: Callable
     return None if newest.isEmpty() else newest
 
 
-def _with_context(
-    txns: DataFrame,
-    new: DataFrame,
-    as_of: dt.date,
-    p: RiskParams,
-    heat: Heat | None,
-    context: str,
-    rescore_later: bool,
-    keep: Callable,
+# -- which rows matter ---------------------------------------------------------
+
+
+def _same(left: DataFrame, right: DataFrame, *names: str) -> Column:
+    """Null-safe equality of columns of two tables."""
+    return reduce(and_, [left[n].eqNullSafe(right[f"_{n}"]) for n in names])
+
+
+def _renamed(rows: DataFrame) -> DataFrame:
+    return rows.withColumnsRenamed({c: f"_{c}" for c in rows.columns})
+
+
+def _marked(rows: DataFrame, new: DataFrame) -> DataFrame:
+    """``_new``: whether a row is to be scored, by its id."""
+    ids = new.select("transaction_id").distinct().withColumn("_n", F.lit(True))
+    rows = rows.join(ids, "transaction_id", "left").withColumn("_new", F.col("_n").isNotNull())
+    return rows.drop("_n").withColumn("_carried", F.lit(False))
+
+
+def _surroundings(
+    txns: DataFrame, states: DataFrame, new: DataFrame, policy: HotKeyPolicy, rescore_later: bool, keep: Callable
 ) -> tuple[DataFrame, Heat]:
-    """New rows (``_wanted``) and the earlier rows of their customers.
+    """The rows that decide about the scores of new ones, and what those change.
 
-    Counts look an hour back and need the look-back window at most. The previous
-    transaction may be any time ago: customers whose first row in scope is wanted
-    bring their last row before the scope along, found on the older days.
+    Read are, per customer with something new, its days with new rows, the day before
+    each (counts look back over midnight), with ``rescore_later`` the next day on which
+    the customer has rows, and undated rows. Where the customer's row before such a day
+    is on none of these, it comes from the states (``_carried``).
     """
-    # predecessors are looked for in the look-back window, or as far before the
-    # oldest new row if that lies outside of it
-    first_day = as_of - dt.timedelta(days=p.baseline_lookback_days)
-    oldest = new.agg(F.min("transaction_date")).first()[0]
-    if context == "slice":
-        first_day = oldest
-    elif oldest is not None and oldest < first_day:
-        first_day = oldest - dt.timedelta(days=p.baseline_lookback_days)
-    scope = txns if first_day is None else txns.where(_dated_from(first_day))
-
-    # one row per customer with something new
-    arrivals = new.groupBy("customer_id").agg(F.min("transaction_timestamp").alias("_first_new"))
-    if context == "full" and first_day is not None:
-        older = _last_before(txns, scope, keep(arrivals, "arrivals"), first_day)
-        scope = scope.unionByName(older, allowMissingColumns=True)
-    heat = heat or measure_heat(scope)
-    rows = split_by_heat(scope, heat).lookup(arrivals, "inner", null_safe=True).merged()
-    ids = new.select("transaction_id").distinct().withColumn("_new", F.lit(True))
-    rows = rows.join(ids, "transaction_id", "left")
-    wanted = F.col("_new").isNotNull()
-    if context == "slice":
-        rows = rows.where(wanted)
-    elif rescore_later:
-        # equal times count too: they see each other; undated rows come last
-        at = F.col("transaction_timestamp")
-        wanted = wanted | at.isNull() | F.coalesce(at >= F.col("_first_new"), F.lit(False))
-    rows = rows.withColumn("_wanted", wanted).drop("_new", "_first_new")
-    # context rows travel without what only scored rows need
-    light = [c if c in (*_CONTEXT, "_wanted") else F.when(F.col("_wanted"), F.col(c)).alias(c) for c in rows.columns]
-    return rows.select(*light), heat
-
-
-def _last_before(txns: DataFrame, scope: DataFrame, arrivals: DataFrame, first_day: dt.date) -> DataFrame:
-    """The last row dated before ``first_day`` of customers who have no earlier row
-    in scope than their first new one. Only their ids and places are read, from the
-    days before, and pre-aggregated per customer."""
-    first = scope.groupBy("customer_id").agg(F.min("transaction_timestamp").alias("_first"))
-    same = first["customer_id"].eqNullSafe(arrivals["customer_id"])
-    alone = arrivals.join(first, same, "left").where(F.col("_first").isNull() | (F.col("_first") >= F.col("_first_new")))
-    alone = alone.select(arrivals["customer_id"].alias("_who")).distinct()
-    before = txns.where(F.col("transaction_date") < F.lit(first_day)).select(*_CONTEXT)
-    before = before.join(alone, before["customer_id"].eqNullSafe(alone["_who"]), "left_semi")
-    last = F.max_by(F.struct(*_CONTEXT), F.struct("transaction_timestamp", "transaction_id"))
-    return before.groupBy("customer_id").agg(last.alias("_last")).select("_last.*")
+    mine = rows_with_keys(states.where(F.col("part") == "day"), "customer_id", new, keep, "mine")
+    days = keep(customer_days(mine), "days")
+    heat = heat_of(days.groupBy("customer_id").agg(F.sum("n").alias("n")), policy)
+
+    # one row per customer and day; undated rows stand at the end
+    by_day = Window.partitionBy("customer_id").orderBy(F.col("transaction_date").asc_nulls_last())
+    known = days.select(
+        "customer_id",
+        "transaction_date",
+        F.lag("transaction_date").over(by_day).alias("day_before"),
+        F.lag("last").over(by_day).alias("last_before"),
+        F.lead("transaction_date").over(by_day).alias("day_after"),
+        F.max(F.col("transaction_date").isNull()).over(Window.partitionBy("customer_id")).alias("undated"),
+    )
+    fresh = _renamed(new.select("customer_id", "transaction_date").distinct())
+    at_new = known.join(fresh, _same(known, fresh, "customer_id", "transaction_date"), "left_semi")
+    day, before = F.col("transaction_date"), F.col("day_before")
+    reach = [day, F.when(F.date_add(before, 1) == day, before)]
+    if rescore_later:
+        reach.append(F.col("day_after"))
+    read = at_new.select("customer_id", F.explode(F.array_distinct(F.array(*reach))).alias("transaction_date"), day.isNull().alias("_null"))
+    # a null in the array stands for nothing, but for rows that have no date themselves
+    read = read.where(F.col("transaction_date").isNotNull() | F.col("_null"))
+    if rescore_later:
+        also = at_new.where("undated").select("customer_id", F.lit(None).cast("date").alias("transaction_date"))
+        read = read.select("customer_id", "transaction_date").unionByName(also)
+    read = keep(read.select("customer_id", "transaction_date").distinct(), "read")
+
+    pairs = _renamed(read)
+    rows = on_days(txns, "transaction_date", read.select("transaction_date").distinct())
+    rows = _marked(rows.join(pairs, _same(rows, pairs, "customer_id", "transaction_date"), "left_semi"), new)
+    here = known.join(pairs, _same(known, pairs, "customer_id", "transaction_date"), "left_semi")
+    gone = here.where(F.col("last_before").isNotNull()).withColumnsRenamed({"transaction_date": "_of", "day_before": "transaction_date"})
+    gone = gone.join(pairs, _same(gone, pairs, "customer_id", "transaction_date"), "left_anti")
+    carried = gone.select("customer_id", "last_before.*", F.lit(False).alias("_new"), F.lit(True).alias("_carried")).distinct()
+    return rows.unionByName(carried, allowMissingColumns=True), heat
+
+
+_BURST = max(SCORE_BURSTS.values()) * MICROS
+
+
+def _near_new(rows: DataFrame, new: DataFrame) -> DataFrame:
+    """``_near``: whether a new row of the customer happened at the row's time or less
+    than a burst before. Times are compared per stretch of the length of a burst: with
+    the first new row of the row's own stretch and the last one of the stretch before."""
+    at = epoch_micros(F.col("transaction_timestamp"))
+    times = new.where(F.col("transaction_timestamp").isNotNull()).select("customer_id", at.alias("_t"), floor_div(at, _BURST).alias("_b"))
+    stretch = times.groupBy("customer_id", "_b").agg(F.min("_t").alias("_min"), F.max("_t").alias("_max"))
+    own = stretch.select("customer_id", "_b", F.col("_min").alias("_own"), F.lit(None).cast("long").alias("_last"))
+    onward = stretch.select("customer_id", (F.col("_b") + 1).alias("_b"), F.lit(None).cast("long").alias("_own"), F.col("_max").alias("_last"))
+    both = own.unionByName(onward).groupBy(F.col("customer_id").alias("_c"), "_b").agg(F.max("_own").alias("_own"), F.max("_last").alias("_last"))
+    rows = rows.withColumn("_at", at).withColumn("_stretch", floor_div(F.col("_at"), _BURST))
+    same = F.col("customer_id").eqNullSafe(F.col("_c")) & (F.col("_stretch") == F.col("_b"))
+    near = (F.col("_own") <= F.col("_at")) | (F.col("_last") >= F.col("_at") - _BURST)
+    rows = rows.join(both, same, "left").withColumn("_near", F.coalesce(near, F.lit(False)))
+    return rows.drop("_at", "_stretch", "_c", "_b", "_own", "_last")

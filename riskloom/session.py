@@ -33,6 +33,11 @@ def files(spark: SparkSession, path: str):
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = files(spark, path)
+    return fs.exists(p)
+
+
 def _stored(rows: DataFrame, path: str) -> DataFrame:
     rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)

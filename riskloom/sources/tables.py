@@ -18,10 +18,11 @@ from pyspark.sql import types as T
 
 from riskloom.operators.quality import duplicated_keys
 from riskloom.schemas import RAW_SCHEMA
-from riskloom.session import files, scratch
+from riskloom.session import exists, files, scratch
+from riskloom.sources.batches import BATCH, BatchedTable, BatchExists, Span, batch_name
 
 LANDED_SCHEMA = T.StructType(
-    RAW_SCHEMA.fields + [T.StructField("event_date", T.DateType()), T.StructField("ingest_batch", T.StringType())]
+    RAW_SCHEMA.fields + [T.StructField("event_date", T.DateType()), T.StructField(BATCH, T.StringType())]
 )
 
 
@@ -36,16 +37,8 @@ def with_event_date(raw: DataFrame) -> DataFrame:
     return raw.withColumn("event_date", F.col("transaction_timestamp").try_cast("date"))
 
 
-class BatchExists(ValueError):
-    """Another batch has been landed under this name."""
-
-
-_BATCH = "ingest_batch"
-
-
-def batch_name(batch_id: int, owner: str) -> str:
-    """Batches are numbered per owner: a new or lost checkpoint starts again at 0."""
-    return f"{owner}-{batch_id}"
+def raw_table(spark: SparkSession, path: str) -> BatchedTable:
+    return BatchedTable(spark, path, LANDED_SCHEMA, "event_date")
 
 
 def land_batch(raw: DataFrame, path: str, batch_id: int, owner: str = "batch", replay: bool = False) -> str:
@@ -55,101 +48,19 @@ def land_batch(raw: DataFrame, path: str, batch_id: int, owner: str = "batch", r
     landed before is refused, or skipped with ``replay``: a restarted stream sends
     its last batch again. A landing that broke off is repeated as a whole.
     """
-    spark, name = raw.sparkSession, batch_name(batch_id, owner)
-    folder = f"{path}/{_BATCH}={name}"
-    if _exists(spark, f"{folder}/_SUCCESS") or name in _compacted(spark, path):
+    table, name = raw_table(raw.sparkSession, path), batch_name(batch_id, owner)
+    if table.has(name):
         if replay:
             return name
         raise BatchExists(name)
-    rows = with_event_date(raw.select(*RAW_SCHEMA.fieldNames()))
-    # one or a few files per day instead of one per task and day
-    rows.hint("rebalance", "event_date").write.mode("overwrite").partitionBy("event_date").parquet(folder)
+    rows = with_event_date(raw.select(*RAW_SCHEMA.fieldNames())).withColumn(BATCH, F.lit(name))
+    table.write(rows, Span(owner, batch_id, batch_id))
     return name
 
 
-def landed_batches(spark: SparkSession, path: str) -> list[str]:
-    """Names of all landed batches, merged ones included."""
-    merged_into = _compacted(spark, path)
-    return sorted({n for n in _folders(spark, path) if n not in merged_into.values()} | merged_into.keys())
-
-
-def _folders(spark: SparkSession, path: str) -> list[str]:
-    fs, p = files(spark, path)
-    if not fs.exists(p):
-        return []
-    names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
-    names = [n.removeprefix(f"{_BATCH}=") for n in names if n.startswith(f"{_BATCH}=")]
-    return [n for n in names if _exists(spark, f"{path}/{_BATCH}={n}/_SUCCESS")]
-
-
-def _merges(spark: SparkSession, path: str) -> VersionedTable:
-    return VersionedTable(spark, f"{path}_merges")
-
-
-def _compacted(spark: SparkSession, path: str) -> dict[str, str]:
-    """Merged batches and the folder that holds their rows."""
-    found = _merges(spark, path).read()
-    return {} if found is None else {r["batch"]: r["folder"] for r in found.collect()}
-
-
-def compact_raw(spark: SparkSession, path: str, least: int = 32) -> None:
-    """Merge the batches landed since the last call into one folder, if there are ``least``.
-
-    Rows keep the name of their batch. The list of merges, written last, switches
-    readers from the old folders to the new one; only then the old ones go.
-    """
-    merged_into = _compacted(spark, path)
-    small = [n for n in _folders(spark, path) if n not in merged_into and not n.startswith("merged-")]
-    if len(small) >= least:
-        folder = f"merged-{len(set(merged_into.values()))}"
-        rows = _read_folders(spark, path, small)
-        rows = rows.withColumnRenamed(_BATCH, "batch").hint("rebalance", "event_date")
-        rows.write.mode("overwrite").partitionBy("event_date").parquet(f"{path}/{_BATCH}={folder}")
-        merged_into |= dict.fromkeys(small, folder)
-        table = _merges(spark, path)
-        table.replace(spark.createDataFrame(sorted(merged_into.items()), "batch string, folder string"))
-        table.forget_old_versions()
-    for name in set(_folders(spark, path)) & merged_into.keys():
-        fs, p = files(spark, f"{path}/{_BATCH}={name}")
-        fs.delete(p, True)
-
-
-def _read_folders(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
-    folders = [f"{path}/{_BATCH}={n}" for n in names]
-    stored = T.StructType([*LANDED_SCHEMA.fields, T.StructField("batch", T.StringType())])
-    if not folders:
-        return spark.createDataFrame([], LANDED_SCHEMA)
-    rows = spark.read.schema(stored).option("basePath", path).parquet(*folders)
-    # rows of merged folders carry the name of their batch
-    return rows.withColumn(_BATCH, F.coalesce("batch", _BATCH)).drop("batch")
-
-
 def read_raw(spark: SparkSession, path: str, batches: list[str] | None = None) -> DataFrame:
     """The raw table, or the rows of some batches (whose folders alone are read)."""
-    merged_into = _compacted(spark, path)
-    live = {n for n in _folders(spark, path) if n not in merged_into and not n.startswith("merged-")}
-    if batches is None:
-        return _read_folders(spark, path, sorted(live | set(merged_into.values())))
-    wanted = {merged_into.get(n, n) for n in batches}
-    rows = _read_folders(spark, path, sorted(wanted & (live | set(merged_into.values()))))
-    return rows if wanted <= live else rows.where(F.col(_BATCH).isin(batches))
-
-
-@dataclass(frozen=True)
-class Ledger:
-    """Names of batches that are done, one empty folder each."""
-
-    spark: SparkSession
-    path: str
-
-    def names(self) -> set[str]:
-        fs, p = files(self.spark, self.path)
-        return {s.getPath().getName() for s in fs.listStatus(p)} if fs.exists(p) else set()
-
-    def add(self, names: list[str]) -> None:
-        for name in names:
-            fs, p = files(self.spark, f"{self.path}/{name}")
-            fs.mkdirs(p)
+    return raw_table(spark, path).read(batches)
 
 
 # -- upsert building blocks --------------------------------------------------
@@ -230,13 +141,15 @@ _IN_LISTS = "spark.sql.parquet.pushdown.inFilterThreshold"
 
 def bloom_options(key: str) -> dict[str, str]:
     """Writer options: a Bloom filter on ``key`` in each row group, as large as its keys
-    need. One in 100,000 row groups is read in vain per key looked up."""
+    need. One in 100,000 row groups is read in vain per key looked up. Without a
+    dictionary, which each row group would be asked for once per key as well."""
     return {
+        f"parquet.enable.dictionary#{key}": "false",
         f"parquet.bloom.filter.enabled#{key}": "true",
         f"parquet.bloom.filter.fpp#{key}": "0.00001",
         "parquet.bloom.filter.adaptive.enabled": "true",
-        "parquet.bloom.filter.candidates.number": "11",
-        "parquet.bloom.filter.max.bytes": str(4 << 20),
+        "parquet.bloom.filter.candidates.number": "9",
+        "parquet.bloom.filter.max.bytes": str(1 << 20),
     }
 
 
@@ -257,28 +170,34 @@ def one_of(key: str, values: list) -> Column:
     return reduce(or_, lists, F.lit(False))
 
 
-def rows_with_keys(rows: DataFrame, key: str, keys: DataFrame, keep: Callable, most: int = FEW_KEYS) -> DataFrame:
-    """The stored ``rows`` whose key is in ``keys``, kept as a table of its own.
+def on_days(rows: DataFrame, day: str, days: DataFrame) -> DataFrame:
+    """Rows of some days (null finds null): the list, one entry per day, reaches the folders."""
+    listed = [r[0] for r in days.collect()]
+    found = one_of(day, sorted(d for d in listed if d is not None))
+    return rows.where(found | F.col(day).isNull() if None in listed else found)
+
+
+def rows_with_keys(rows: DataFrame, key: str, keys: DataFrame, keep: Callable, name: str = "looked_up", most: int = FEW_KEYS) -> DataFrame:
+    """The stored ``rows`` whose key is in ``keys`` (null finds null), kept as a table.
 
     At most ``most`` keys are brought to the driver and pushed down to the files, where
     Bloom filters skip the row groups that have none of them; more keys are joined.
     """
-    keys = keys.select(key).where(F.col(key).isNotNull()).distinct()
+    keys = keys.select(F.col(key).alias("_key")).distinct()
     few = [r[0] for r in keys.limit(most + 1).collect()]
     if len(few) > most:
-        return keep(rows.join(keys, key, "left_semi"), "looked_up")
+        return keep(rows.join(keys, F.col(key).eqNullSafe(F.col("_key")), "left_semi"), name)
+    found = rows.where(one_of(key, sorted(k for k in few if k is not None)))
+    if None in few:
+        # apart: beside other conditions a Bloom filter cannot tell that there are no nulls
+        found = found.unionByName(rows.where(F.col(key).isNull()))
     with _long_in_lists(rows.sparkSession):
-        return keep(rows.where(one_of(key, sorted(few))), "looked_up")
+        return keep(found, name)
 
 
 # -- tables ------------------------------------------------------------------
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, p = files(spark, path)
-    return fs.exists(p)
-
-
 @dataclass(frozen=True)
 class VersionedTable:
     """A table rewritten as a whole into a new folder per version.
@@ -297,7 +216,7 @@ class VersionedTable:
             return []
         names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
         numbers = sorted(int(n[2:]) for n in names if n.startswith("v=") and n[2:].isdigit())
-        return [n for n in numbers if _exists(self.spark, f"{self.path}/v={n}/_SUCCESS")]
+        return [n for n in numbers if exists(self.spark, f"{self.path}/v={n}/_SUCCESS")]
 
     def newest(self) -> int | None:
         versions = self._versions()
@@ -344,7 +263,7 @@ class DailyTable:
     sort_by: str | None = None
 
     def read(self) -> DataFrame | None:
-        if not _exists(self.spark, self.path):
+        if not exists(self.spark, self.path):
             return None
         rows = self.spark.read.schema(self.schema).parquet(self.path)
         return rows.select(*self.schema.fieldNames())
@@ -367,12 +286,12 @@ class DailyTable:
         self.recover()
         self._write(rows, "append")
 
-    def find(self, keys: DataFrame, keep: Callable) -> DataFrame:
+    def find(self, keys: DataFrame, keep: Callable, name: str = "found") -> DataFrame:
         """(key, day) of the stored rows with one of the keys."""
         stored = self.read()
         if stored is None:
             stored = self.spark.createDataFrame([], self.schema)
-        return rows_with_keys(stored.select(self.key, self.day), self.key, keys, keep)
+        return rows_with_keys(stored.select(self.key, self.day), self.key, keys, keep, name)
 
     def upsert(self, updates: DataFrame) -> None:
         """Replace rows by key; only days that lose or gain rows are rewritten.
@@ -391,14 +310,10 @@ class DailyTable:
             updates = keep(updates, "updates")
             days = self.find(updates, keep).select(self.day).union(updates.select(self.day)).distinct()
             days = keep(days.withColumnRenamed(self.day, "touched"), "days")
-            touched = [row[0] for row in days.collect()]  # one entry per day
-            in_days = F.coalesce(F.col(self.day).isin([d for d in touched if d is not None]), F.lit(False))
-            if None in touched:
-                in_days = in_days | F.col(self.day).isNull()
             swaps = self._swaps()
             version = (swaps.newest() or 0) + 1
             days.write.mode("overwrite").parquet(f"{swaps.path}_days/{version}")
-            swaps.replace(merged(existing.where(in_days), updates, self.key), version)
+            swaps.replace(merged(on_days(existing, self.day, days), updates, self.key), version)
         self.recover()
 
     def recover(self) -> None:
@@ -406,7 +321,7 @@ class DailyTable:
         swaps = self._swaps()
         done = f"{swaps.path}_done"
         version = swaps.newest()
-        if version is None or _exists(self.spark, f"{done}/{version}"):
+        if version is None or exists(self.spark, f"{done}/{version}"):
             return
         content = swaps.read()
         touched = {r[0] for r in self.spark.read.parquet(f"{swaps.path}_days/{version}").collect()}

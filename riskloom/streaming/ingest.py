@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from riskloom.sources.messages import decode_messages
-from riskloom.sources.tables import compact_raw, land_batch
+from riskloom.sources.tables import land_batch, raw_table
 
 TRIGGER = {"processingTime": "30 seconds"}  # fixed value
 DRAIN = {"availableNow": True}  # for scheduled runs and tests
@@ -28,7 +28,8 @@ def ingest_stream(messages: DataFrame, path: str, checkpoint: str, trigger: dict
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        land_batch(decode_messages(batch), path, batch_id, query_id(spark, checkpoint), replay=True)
-        compact_raw(spark, path)
+        owner = query_id(spark, checkpoint)
+        land_batch(decode_messages(batch), path, batch_id, owner, replay=True)
+        raw_table(spark, path).merge(owner)
 
     return messages.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(**trigger).start()

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from riskloom.params import HotKeyPolicy, RiskParams
 from riskloom.plans.cycle import Store, refresh
 from riskloom.sources.messages import decode_messages
-from riskloom.sources.tables import compact_raw, land_batch
+from riskloom.sources.tables import land_batch
 from riskloom.streaming.ingest import TRIGGER, query_id
 
 
@@ -43,9 +43,10 @@ def score_stream(
     def step(batch: DataFrame, batch_id: int) -> None:
         now = clock()
         spark = store.spark
-        land_batch(decode_messages(batch), store.raw_path, batch_id, query_id(spark, checkpoint), replay=True)
+        owner = query_id(spark, checkpoint)
+        land_batch(decode_messages(batch), store.raw_path, batch_id, owner, replay=True)
         refresh(store, now.date(), now, p, policy, strict, rescore_later=True)
-        compact_raw(spark, store.raw_path)
+        store.merge(owner)
 
     return (
         messages.writeStream.foreachBatch(step)

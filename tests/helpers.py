@@ -93,13 +93,13 @@ def random_rows(seed: int, n: int = 300) -> list[dict]:
 
 
 def heats(rows) -> dict[str, Heat]:
-    """No hot customer, some, and all, with several slice lengths."""
+    """No hot customer, some, and all, with chunks of several sizes."""
     return {
         "plain": measure_heat(rows),
         "some hot": measure_heat(rows, HotKeyPolicy(min_rows=60, max_keys=1_000_000)),
-        "all hot": measure_heat(rows, HotKeyPolicy(min_rows=1, max_keys=1_000_000, slice_seconds=60)),
-        "one second": measure_heat(rows, HotKeyPolicy(min_rows=1, max_keys=1_000_000, slice_seconds=1)),
-        "five minutes": measure_heat(rows, HotKeyPolicy(min_rows=1, max_keys=1_000_000, slice_seconds=300)),
+        "all hot": measure_heat(rows, HotKeyPolicy(min_rows=1, max_keys=1_000_000)),
+        "small chunks": measure_heat(rows, HotKeyPolicy(min_rows=1, max_keys=1_000_000, chunk_rows=200)),
+        "tiny chunks": measure_heat(rows, HotKeyPolicy(min_rows=1, max_keys=0, chunk_rows=40)),
     }
 
 

@@ -9,17 +9,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.session import scratch, work_folder, written
+from riskloom.sources.batches import Ledger, Span, joined, live, next_merge, without
 from riskloom.sources.tables import (
     BatchExists,
     DailyTable,
     SchemaChanged,
     VersionedTable,
     align_schema,
-    compact_raw,
     land_batch,
-    landed_batches,
     latest_per_key,
+    raw_table,
     read_raw,
+    rows_with_keys,
     without_copies,
 )
 from riskloom.schemas import RAW_SCHEMA
@@ -142,33 +143,107 @@ def test_landing_a_batch_twice_changes_nothing(spark, folder):
     assert day.count() == 2 and "PartitionFilters: [isnotnull(event_date" in day._jdf.queryExecution().toString()
 
 
-def test_owners_number_their_batches_apart_and_merging_keeps_all_rows(spark, folder):
-    def raw(i, at="2024-01-01 00:00:00"):
-        return spark.createDataFrame([(f"T{i}", "C", 1.0, *[None] * 3, at, *[None] * 7, dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1))], RAW_SCHEMA)
+def _raw(spark, i, at="2024-01-01 00:00:00"):
+    return spark.createDataFrame([(f"T{i}", "C", 1.0, *[None] * 3, at, *[None] * 7, dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1))], RAW_SCHEMA)
+
 
+def test_owners_number_their_batches_apart_and_merging_keeps_all_rows(spark, folder):
     path = f"{folder}/raw"
+    table = raw_table(spark, path)
     for i in range(6):
-        land_batch(raw(i), path, i % 3, owner=f"q{i // 3}")
-    names = landed_batches(spark, path)
-    assert names == ["q0-0", "q0-1", "q0-2", "q1-0", "q1-1", "q1-2"]
+        land_batch(_raw(spark, i), path, i % 3, owner=f"q{i // 3}")
+    assert table.spans() == [Span("q0", n, n) for n in range(3)] + [Span("q1", n, n) for n in range(3)]
     before = rows(read_raw(spark, path))
-    compact_raw(spark, path, least=7)
-    assert len(os.listdir(path)) == 6
-    compact_raw(spark, path, least=5)
-    assert [n for n in os.listdir(path) if n[0] != "."] == ["ingest_batch=merged-0"]
-    assert rows(read_raw(spark, path)) == before and landed_batches(spark, path) == names
-    assert len([f for _, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")]) <= 2
-    land_batch(raw(99), path, 1, owner="q1", replay=True)  # known although merged
-    land_batch(raw(7, "2024-01-02"), path, 3, owner="q1")
+    running = read_raw(spark, path)  # of the second owner, planned before the first one merges
+    table.merge("q0", fan=3)
+    assert table.spans() == [Span("q0", 0, 2)] + [Span("q1", n, n) for n in range(3)]
+    assert rows(running) == before == rows(read_raw(spark, path))
+    table.merge("q0", fan=3, grace=0)  # later, when nobody needs the old folders
+    assert sorted(n for n in os.listdir(path) if "q0" in n) == ["batches=q0~0~2"]
+    land_batch(_raw(spark, 99), path, 1, owner="q0", replay=True)  # known although merged
+    with pytest.raises(BatchExists):
+        land_batch(_raw(spark, 99), path, 2, owner="q0")
+    land_batch(_raw(spark, 7, "2024-01-02"), path, 3, owner="q0")
     assert rows(read_raw(spark, path).select("transaction_id")) == [(f"T{i}",) for i in (0, 1, 2, 3, 4, 5, 7)]
-    assert rows(read_raw(spark, path, ["q1-0", "q1-3"]).select("transaction_id", "ingest_batch")) == [("T3", "q1-0"), ("T7", "q1-3")]
+    assert rows(read_raw(spark, path, ["q0-0", "q0-3"]).select("transaction_id", "ingest_batch")) == [("T0", "q0-0"), ("T7", "q0-3")]
     assert read_raw(spark, path, []).count() == 0
-    # a merge that broke off before its list was written does not show
-    land_batch(raw(8), path, 4, owner="q1")
-    read_raw(spark, path, ["q1-4"]).drop("ingest_batch", "event_date").withColumn("batch", F.lit("q1-4")).write.parquet(f"{path}/ingest_batch=merged-1")
-    assert read_raw(spark, path).count() == 8
-    compact_raw(spark, path, least=2)
-    assert read_raw(spark, path).count() == 8 and read_raw(spark, path, ["q1-4"]).count() == 1
+    # a merge that broke off before its success marker does not show, and is done again
+    read_raw(spark, path).drop("event_date").write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{path}/batches=q1~0~2/event_date=2024-01-01")
+    assert read_raw(spark, path).count() == 7
+    table.merge("q1", fan=3, grace=0)
+    assert read_raw(spark, path).count() == 7 and table.spans()[-1] == Span("q1", 0, 2)
+
+
+def test_ten_thousand_batches_leave_few_folders(spark, folder):
+    spans, written_rows = [], 0
+    for n in range(10_000):
+        spans.append(Span("q", n, n))
+        while merge := next_merge(spans, 8):
+            parts = [s for s in spans if merge.covers(s)]
+            assert len(parts) == 8
+            written_rows += merge.size
+            spans = [s for s in spans if s not in parts] + [merge]
+        assert len(spans) <= 7 * 5
+    assert joined(spans) == [Span("q", 0, 9_999)] and written_rows <= 10_000 * 5
+    ledger = Ledger(spark, f"{folder}/ledger")
+    assert ledger.spans() == []
+    ledger.add([f"q-{n}" for n in range(9_999)])
+    ledger.add(["q-9999", "other-3"])
+    assert ledger.spans() == [Span("other", 3, 3), Span("q", 0, 9_999)]
+    assert len([n for n in os.listdir(f"{folder}/ledger") if n.endswith(".json") and n[0] != "."]) <= 2
+
+
+def test_spans():
+    a = [Span("x", 0, 4), Span("x", 5, 5), Span("y", 0, 0), Span("x", 8, 9)]
+    assert joined(a) == [Span("x", 0, 5), Span("x", 8, 9), Span("y", 0, 0)]
+    assert without(a, [Span("x", 2, 3), Span("x", 9, 20)]) == [Span("x", 0, 1), Span("x", 4, 5), Span("x", 8, 8), Span("y", 0, 0)]
+    assert without(a, a) == [] and without([], a) == [] and without(a, []) == joined(a)
+    assert live([*a, Span("x", 0, 5)]) == [Span("x", 0, 5), Span("x", 8, 9), Span("y", 0, 0)]
+    # a gap in the numbers is never merged over
+    assert next_merge([Span("x", 0, 0), Span("x", 2, 2)], 2) is None
+    assert next_merge([Span("x", 0, 0), Span("x", 2, 2), Span("x", 3, 3)], 2) == Span("x", 2, 3)
+    assert Span.of_folder(Span("a-b~c", 3, 7).folder) == Span("a-b~c", 3, 7) and Span.of_batch("a-b-12") == Span("a-b", 12, 12)
+
+
+def scanned_rows(df) -> int:
+    """Rows that the file scans of a finished query have put out."""
+
+    def leaves(node):
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            return leaves(node.executedPlan())
+        if kind == "FileSourceScanExec":
+            return node.metrics().apply("numOutputRows").value()
+        below = [node.plan()] if kind.endswith("QueryStageExec") else [node.children().apply(i) for i in range(node.children().size())]
+        return sum(map(leaves, below))
+
+    return leaves(df._jdf.queryExecution().executedPlan())
+
+
+def test_a_look_up_reads_few_row_groups(spark, folder):
+    """Ids in no order: only Bloom filters can tell which row groups have them."""
+    hadoop = spark._jsc.hadoopConfiguration()
+    t = daily(spark, folder)
+    many = spark.range(40_000).select(F.md5(F.col("id").cast("string")).alias("id"), F.lit("x").alias("level"), F.date_add(F.lit(D[0]), (F.col("id") % 4).cast("int")).alias("day"))
+    hadoop.set("parquet.block.row.count.limit", "500")
+    try:
+        t.append(many.repartition(4))
+    finally:
+        hadoop.unset("parquet.block.row.count.limit")
+    seen = []
+
+    def watch(df, name):
+        df.collect()
+        seen.append(scanned_rows(df))
+        return df
+
+    ids = spark.range(3).select(F.md5(F.col("id").cast("string")).alias("id"))
+    found = t.find(ids.union(spark.createDataFrame([("unknown",), (None,)], "id string")), watch)
+    assert {r["day"] for r in found.collect()} == set(D[:3]) and found.count() == 3
+    assert 3 <= seen[0] <= 3 * 500
+    # more keys than go by value: a join with the same result
+    joined_rows = rows_with_keys(t.read().select("id", "day"), "id", ids, lambda df, name: df, most=2)
+    assert rows(joined_rows) == rows(found)
 
 
 def test_work_folder_is_new_each_time(spark):
