@@ -135,15 +135,20 @@ def score_transactions(
     only: Column | None = None,
     extra: tuple[str, ...] = (),
     more: dict[str, str] | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Score ``txns`` against ``baseline`` (one row per customer).
 
     Bursts and previous places are taken from all of ``txns``. ``only``
     (a boolean column) then selects the rows to return, so that rows of earlier
     runs can be passed along as context; it may use columns of the previous row that
-    ``more`` names (new -> old). ``extra`` columns are kept at the end.
+    ``more`` names (new -> old). ``extra`` columns are kept at the end. ``buckets``:
+    the profile is stored in so many, by customer; the transactions are then dealt the
+    same way, once for windows and join.
     """
     split = split_by_heat(txns, heat or measure_heat(txns))
+    if buckets:
+        split = split.map(lambda rows: rows.repartition(buckets, "customer_id"), lambda rows: rows)
     split = attach_history(split, SCORE_BURSTS, previous=True, more=more)
     if only is not None:
         split = split.where(only)

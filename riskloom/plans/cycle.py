@@ -26,6 +26,7 @@ class Store:
 
     spark: SparkSession
     root: str
+    buckets: int = 64  # of the profile; stays the same for the life of a store
 
     @property
     def raw_path(self) -> str:
@@ -67,7 +68,7 @@ class Store:
 
     @property
     def baseline(self) -> VersionedTable:
-        return VersionedTable(self.spark, f"{self.root}/int_customer_baseline", layout_by="customer_id")
+        return VersionedTable(self.spark, f"{self.root}/int_customer_baseline", "customer_id", self.buckets)
 
     @property
     def mart(self) -> DailyTable:
@@ -126,7 +127,7 @@ def refresh(
             store.states.write(new_states(rows, txns, p, policy, keep), span)
     states, new = store.states.read(), stage_transactions(arrived, strict)
     baseline = refresh_baseline(states, store.baseline, as_of, now, p, policy, arrived=new)
-    refresh_scores(txns, states, baseline, store.mart, as_of, now, p, policy, arrived=new, **scoring)
+    refresh_scores(txns, states, baseline, store.mart, as_of, now, p, policy, arrived=new, buckets=store.buckets, **scoring)
     store.scored_batches.add(batches)
     return held
 

@@ -131,6 +131,7 @@ def refresh_scores(
     rescore_later: bool = False,
     late_days: int | None = None,
     arrived: DataFrame | None = None,
+    buckets: int | None = None,
 ) -> None:
     """Score what is new and put it into the scored table.
 
@@ -145,7 +146,8 @@ def refresh_scores(
     ``states`` of all ``txns`` tell on which days a customer has rows and which one was
     the last of each: only the days that matter are read. With ``rescore_later`` rows
     that a late one changes are scored again: the next one of its customer, and those it
-    is counted for.
+    is counted for. ``buckets``: those of the stored profile, for the first run; later
+    ones look up the profiles of their customers.
     """
     if context not in ("full", "slice"):
         raise ValueError(f"unknown context {context!r}")
@@ -153,7 +155,7 @@ def refresh_scores(
         scored, moved, ids = table.read(), None, txns
         if scored is None or scored.isEmpty():
             heat = measure_heat(txns, policy)
-            rows = score_transactions(txns, baseline, run_ts, p, heat, extra=("_ingested_at",))
+            rows = score_transactions(txns, baseline, run_ts, p, heat, extra=("_ingested_at",), buckets=buckets)
         else:
             if arrived is None:
                 first_day = None if late_days is None else as_of - dt.timedelta(days=late_days)
@@ -172,6 +174,8 @@ def refresh_scores(
             else:
                 found = on_days(txns, "transaction_date", new.select("transaction_date").distinct())
                 found, heat = _marked(found, new).where("_new"), measure_heat(new, policy)
+            # few customers: only their profiles are read
+            baseline = rows_with_keys(baseline, "customer_id", new, keep, "profiles")
             wanted = F.col("_new")
             if rescore_later and context == "full":
                 found = _near_new(found, new)

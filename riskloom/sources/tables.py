@@ -6,6 +6,7 @@ classes without touching the operators.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -204,11 +205,17 @@ class VersionedTable:
 
     The newest folder that carries the job's success marker is the table, so a
     failed write changes nothing and readers of older versions go on unharmed.
+
+    With ``buckets`` rows are dealt by a hash of ``layout_by`` and sorted within, and
+    read through a table of the session's catalog that says so: a join on that column
+    with rows dealt into as many partitions needs no shuffle of the table. Any session
+    can declare it again from the files.
     """
 
     spark: SparkSession
     path: str
     layout_by: str | None = None
+    buckets: int = 0
 
     def _versions(self) -> list[int]:
         fs, p = files(self.spark, self.path)
@@ -224,17 +231,37 @@ class VersionedTable:
 
     def read(self) -> DataFrame | None:
         newest = self.newest()
-        return None if newest is None else self.spark.read.parquet(f"{self.path}/v={newest}")
+        if newest is None:
+            return None
+        rows = self.spark.read.parquet(f"{self.path}/v={newest}")
+        if not self.buckets:
+            return rows
+        name = self._name(newest)
+        if not self.spark.catalog.tableExists(name):
+            by = f"clustered by ({self.layout_by}) sorted by ({self.layout_by}) into {self.buckets} buckets"
+            columns = rows._jdf.schema().toDDL()
+            self.spark.sql(f"create table if not exists {name} ({columns}) using parquet {by} location '{self.path}/v={newest}'")
+        return self.spark.table(name)
+
+    def _name(self, version: int) -> str:
+        return f"riskloom_{hashlib.sha256(self.path.encode()).hexdigest()[:16]}_{version}"
 
     def replace(self, rows: DataFrame, version: int | None = None) -> DataFrame:
         """Write ``rows`` as the next version, or under a higher number of one's own."""
         newest = self.newest()
         version = version if version is not None else 0 if newest is None else newest + 1
+        path = f"{self.path}/v={version}"
+        if self.buckets:
+            # one file per bucket
+            rows = rows.repartition(self.buckets, self.layout_by)
+            writer = rows.write.bucketBy(self.buckets, self.layout_by).sortBy(self.layout_by).options(**bloom_options(self.layout_by))
+            writer.mode("overwrite").option("path", path).saveAsTable(self._name(version))
+            return self.read()
         if self.layout_by:
             # the last join or aggregate has hashed rows by key already; a range
             # partitioning would compute them a second time to sample its bounds
             rows = rows.sortWithinPartitions(self.layout_by)
-        rows.write.mode("overwrite").parquet(f"{self.path}/v={version}")
+        rows.write.mode("overwrite").parquet(path)
         return self.read()
 
     def upsert(self, updates: DataFrame, key: str, on_change: str = "append_new_columns") -> DataFrame:
@@ -247,6 +274,8 @@ class VersionedTable:
 
     def forget_old_versions(self, keep: int = 2) -> None:
         for n in self._versions()[:-keep]:
+            if self.buckets:
+                self.spark.sql(f"drop table if exists {self._name(n)}")
             fs, p = files(self.spark, f"{self.path}/v={n}")
             fs.delete(p, True)
 
