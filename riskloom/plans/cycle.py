@@ -13,11 +13,12 @@ from riskloom.operators.quality import quality_report
 from riskloom.operators.staging import quarantine, stage_transactions
 from riskloom.operators.states import STATE_SCHEMA, combined_states
 from riskloom.params import HotKeyPolicy, RiskParams
+from riskloom.plans.checklog import CheckLog, check_run
 from riskloom.plans.refresh import new_states, refresh_baseline, refresh_scores
 from riskloom.schemas import MART_SCHEMA
 from riskloom.session import scratch
 from riskloom.sources.batches import BatchedTable, Ledger, Span, without
-from riskloom.sources.tables import DailyTable, VersionedTable, bloom_options, raw_table, read_raw
+from riskloom.sources.tables import DailyTable, VersionedTable, bloom_options, on_days, raw_table, read_raw
 
 
 @dataclass(frozen=True)
@@ -60,6 +61,10 @@ class Store:
         """Landed batches that were not scored yet."""
         return without(raw_table(self.spark, self.raw_path).spans(), self.scored_batches.spans())
 
+    @property
+    def checks(self) -> CheckLog:
+        return CheckLog(self.spark, f"{self.root}/checks")
+
     def merge(self, owner: str) -> None:
         """Merge small folders of batches that an owner has landed and that were scored."""
         raw_table(self.spark, self.raw_path).merge(owner)
@@ -108,14 +113,16 @@ def refresh(
     p: RiskParams,
     policy: HotKeyPolicy,
     strict: bool = False,
+    checks: bool = False,
     **scoring,
 ) -> int:
     """Bring profile and scores up to the landed batches; number of rows set aside.
 
     The batches that are not in the ledger of scored ones drive the work. They enter
-    it last, so a run that broke off is repeated.
+    it last, so a run that broke off is repeated. With ``checks`` what the run has read
+    and written is checked and noted in the log.
     """
-    spans = store.pending()
+    spans, done = store.pending(), store.scored_batches.spans()
     batches = [name for s in spans for name in s.names()]
     arrived = store.raw(batches)
     held = 0 if strict else set_aside(store, arrived, batches)
@@ -126,12 +133,22 @@ def refresh(
             rows = stage_transactions(store.raw(span.names()), strict)
             store.states.write(new_states(rows, txns, p, policy, keep), span)
     states, new = store.states.read(), stage_transactions(arrived, strict)
+    profiles = store.baseline.newest()
     baseline = refresh_baseline(states, store.baseline, as_of, now, p, policy, arrived=new)
-    refresh_scores(txns, states, baseline, store.mart, as_of, now, p, policy, arrived=new, buckets=store.buckets, **scoring)
+    days = refresh_scores(txns, states, baseline, store.mart, as_of, now, p, policy, arrived=new, buckets=store.buckets, **scoring)
+    if checks:
+        changed = baseline if store.baseline.newest() != profiles else None
+        days = days.unionByName(new.select("transaction_date").distinct())
+        earlier = read_spans(store, done)
+        check_run(store.checks, arrived, new, earlier, spans, changed, store.mart.read(), days.distinct(), now, done)
     store.scored_batches.add(batches)
     return held
 
 
+def read_spans(store: Store, spans: list[Span]) -> DataFrame:
+    return store.raw([name for s in spans for name in s.names()])
+
+
 def run_cycle(
     store: Store,
     as_of: dt.date,
@@ -139,28 +156,37 @@ def run_cycle(
     p: RiskParams = RiskParams(),
     policy: HotKeyPolicy = HotKeyPolicy(),
     strict: bool = False,
+    full_checks: bool = False,
     **scoring,
 ) -> CycleReport:
     """Freshness, profile, scores, quality checks, alert route.
 
     A stale raw table is reported and stops nothing. Rows that cannot be read are
     set aside and counted; with ``strict`` they end the run. Failed quality checks
-    hold the alert back: ``alert`` is None then. ``scoring`` goes to
-    ``refresh_scores``.
+    hold the alert back: ``alert`` is None then. Checked is what the run has written,
+    and added to the results for the rest; ``full_checks`` reads all tables instead.
+    ``scoring`` goes to ``refresh_scores``.
     """
-    raw = store.raw()
-    freshness = freshness_check(raw, now, p)
-    held = refresh(store, as_of, now, p, policy, strict, **scoring)
-    txns = stage_transactions(raw, strict)
-    baseline, scored = store.baseline.read(), store.mart.read()
-    quality = quality_report(
-        {
-            "raw_transactions": raw,
-            "stg_transactions": txns,
-            "int_customer_baseline": baseline,
-            "mart_fraud_detection": scored,
-        }
-    )
+    since = now - dt.timedelta(minutes=p.monitor_minutes)
+    lately = without([*store.pending(), *store.checks.batches_since(since)], [])
+    freshness = freshness_check(read_spans(store, lately), now, p)
+    # before the run changes what it reads
+    freshness = store.spark.createDataFrame(freshness.collect(), freshness.schema)
+    held = refresh(store, as_of, now, p, policy, strict, checks=not full_checks, **scoring)
+    scored = store.mart.read()
+    if full_checks:
+        raw = store.raw()
+        quality = quality_report(
+            {
+                "raw_transactions": raw,
+                "stg_transactions": stage_transactions(raw, strict),
+                "int_customer_baseline": store.baseline.read(),
+                "mart_fraud_detection": scored,
+            }
+        )
+    else:
+        quality = store.checks.report()
+        scored = on_days(scored, "transaction_date", store.checks.days_since(since))
     # a handful of lines, one per declared check
     lines = quality.collect()
     quality = store.spark.createDataFrame(lines, quality.schema)

@@ -132,8 +132,8 @@ def refresh_scores(
     late_days: int | None = None,
     arrived: DataFrame | None = None,
     buckets: int | None = None,
-) -> None:
-    """Score what is new and put it into the scored table.
+) -> DataFrame:
+    """Score what is new and put it into the scored table; the days that were written.
 
     New is what is not in the scored table, whatever its date. ``arrived`` names the
     candidates, the rows of batches that were not scored yet; they are looked up in the
@@ -168,7 +168,7 @@ def refresh_scores(
                 new = unscored(arrived, scored, mode)
                 new = keep(new if moved is None else new.unionByName(moved), "new")
             if new.isEmpty():
-                return
+                return new.sparkSession.createDataFrame([], "transaction_date date")
             if context == "full":
                 found, heat = _surroundings(txns, states, new, policy, rescore_later, keep)
             else:
@@ -192,8 +192,10 @@ def refresh_scores(
         rows = without_copies(rows, ids, "transaction_id", "_ingested_at", keep).drop("_ingested_at")
         if mode == "missing" and not rescore_later and moved is None:
             table.append(rows)
+            days = rows.select("transaction_date").distinct().collect()
         else:
-            table.upsert(rows)
+            days = table.upsert(rows)
+        return table.spark.createDataFrame([tuple(r) for r in days], "transaction_date date")
 
 
 def _moved(txns: DataFrame, arrived: DataFrame, known: DataFrame, keep: Callable) -> DataFrame | None:

@@ -38,6 +38,27 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file; it shows when it is whole."""
+    folder, name = path.rsplit("/", 1)
+    fs, hidden = files(spark, f"{folder}/.{name}.tmp")
+    stream = fs.create(hidden, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    _, target = files(spark, path)
+    fs.delete(target, False)
+    fs.rename(hidden, target)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = files(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(spark._jvm.org.apache.hadoop.io.IOUtils.readFullyToByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
 def _stored(rows: DataFrame, path: str) -> DataFrame:
     rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)

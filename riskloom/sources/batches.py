@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.session import exists, files
+from riskloom.session import exists, files, read_text, write_text
 
 BATCH = "ingest_batch"
 _PART = "batches"
@@ -212,28 +212,18 @@ class Ledger:
         newest = max(self._versions(), default=None)
         if newest is None:
             return []
-        fs, p = files(self.spark, f"{self.path}/{newest}.json")
-        stream = fs.open(p)
-        try:
-            text = self.spark._jvm.org.apache.hadoop.io.IOUtils.readFullyToByteArray(stream)
-        finally:
-            stream.close()
-        return [Span(*s) for s in json.loads(bytes(text))]
+        return [Span(*s) for s in json.loads(read_text(self.spark, f"{self.path}/{newest}.json"))]
 
     def add(self, names: list[str]) -> None:
         if not names:
             return
         spans = joined([*self.spans(), *map(Span.of_batch, names)])
         versions = self._versions()
-        newest = max(versions, default=-1) + 1
-        fs, p = files(self.spark, f"{self.path}/.{newest}.tmp")
-        stream = fs.create(p, True)
-        stream.write(bytearray(json.dumps([[s.owner, s.first, s.last] for s in spans]).encode()))
-        stream.close()
-        # a version shows when it is whole
-        fs.rename(p, files(self.spark, f"{self.path}/{newest}.json")[1])
+        text = json.dumps([[s.owner, s.first, s.last] for s in spans])
+        write_text(self.spark, f"{self.path}/{max(versions, default=-1) + 1}.json", text)
         for old in sorted(versions)[:-1]:
-            fs.delete(files(self.spark, f"{self.path}/{old}.json")[1], False)
+            fs, p = files(self.spark, f"{self.path}/{old}.json")
+            fs.delete(p, False)
 
     def _versions(self) -> list[int]:
         fs, p = files(self.spark, self.path)

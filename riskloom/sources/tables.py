@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from riskloom.operators.quality import duplicated_keys
 from riskloom.schemas import RAW_SCHEMA
-from riskloom.session import exists, files, scratch
+from riskloom.session import exists, files, read_text, scratch, write_text
 from riskloom.sources.batches import BATCH, BatchedTable, BatchExists, Span, batch_name
 
 LANDED_SCHEMA = T.StructType(
@@ -39,7 +39,7 @@ def with_event_date(raw: DataFrame) -> DataFrame:
 
 
 def raw_table(spark: SparkSession, path: str) -> BatchedTable:
-    return BatchedTable(spark, path, LANDED_SCHEMA, "event_date")
+    return BatchedTable(spark, path, LANDED_SCHEMA, "event_date", options=bloom_options("transaction_id"))
 
 
 def land_batch(raw: DataFrame, path: str, batch_id: int, owner: str = "batch", replay: bool = False) -> str:
@@ -233,13 +233,12 @@ class VersionedTable:
         newest = self.newest()
         if newest is None:
             return None
-        rows = self.spark.read.parquet(f"{self.path}/v={newest}")
         if not self.buckets:
-            return rows
+            return self.spark.read.parquet(f"{self.path}/v={newest}")
         name = self._name(newest)
         if not self.spark.catalog.tableExists(name):
             by = f"clustered by ({self.layout_by}) sorted by ({self.layout_by}) into {self.buckets} buckets"
-            columns = rows._jdf.schema().toDDL()
+            columns = read_text(self.spark, f"{self.path}/v={newest}.columns")
             self.spark.sql(f"create table if not exists {name} ({columns}) using parquet {by} location '{self.path}/v={newest}'")
         return self.spark.table(name)
 
@@ -252,6 +251,8 @@ class VersionedTable:
         version = version if version is not None else 0 if newest is None else newest + 1
         path = f"{self.path}/v={version}"
         if self.buckets:
+            # beside the files, of which an empty table has none
+            write_text(self.spark, f"{path}.columns", rows._jdf.schema().toDDL())
             # one file per bucket
             rows = rows.repartition(self.buckets, self.layout_by)
             writer = rows.write.bucketBy(self.buckets, self.layout_by).sortBy(self.layout_by).options(**bloom_options(self.layout_by))
@@ -276,8 +277,9 @@ class VersionedTable:
         for n in self._versions()[:-keep]:
             if self.buckets:
                 self.spark.sql(f"drop table if exists {self._name(n)}")
-            fs, p = files(self.spark, f"{self.path}/v={n}")
-            fs.delete(p, True)
+            for name in (f"v={n}", f"v={n}.columns"):
+                fs, p = files(self.spark, f"{self.path}/{name}")
+                fs.delete(p, True)
 
 
 @dataclass(frozen=True)
@@ -322,8 +324,9 @@ class DailyTable:
             stored = self.spark.createDataFrame([], self.schema)
         return rows_with_keys(stored.select(self.key, self.day), self.key, keys, keep, name)
 
-    def upsert(self, updates: DataFrame) -> None:
-        """Replace rows by key; only days that lose or gain rows are rewritten.
+    def upsert(self, updates: DataFrame) -> list:
+        """Replace rows by key; only days that lose or gain rows are rewritten, and
+        returned, a row each.
 
         The new content of those days is first written completely beside the
         table and then swapped in. A swap that broke off is repeated before the
@@ -334,7 +337,7 @@ class DailyTable:
         existing = self.read()
         if existing is None:
             self._write(updates, "append")
-            return
+            return self.read().select(self.day).distinct().collect()
         with scratch(self.spark) as keep:
             updates = keep(updates, "updates")
             days = self.find(updates, keep).select(self.day).union(updates.select(self.day)).distinct()
@@ -343,7 +346,9 @@ class DailyTable:
             version = (swaps.newest() or 0) + 1
             days.write.mode("overwrite").parquet(f"{swaps.path}_days/{version}")
             swaps.replace(merged(on_days(existing, self.day, days), updates, self.key), version)
+            touched = days.collect()
         self.recover()
+        return touched
 
     def recover(self) -> None:
         """Swap in the newest complete set of days unless that was done."""

@@ -96,3 +96,11 @@ def test_cycle_gates_alerts_on_quality(spark):
     assert held.alert is None
     failed = {(r["table_name"], r["check_name"]) for r in held.quality.where("failures > 0").collect()}
     assert failed == {("raw_transactions", "unique"), ("stg_transactions", "unique")}
+    land_batch(raw_table(spark, rows[:1]), store.raw_path, 2)  # a key that was repeated before is not a new one
+    land_batch(raw_table(spark, rows[1:2] * 2).withColumn("amount", F.lit(-1.0)), store.raw_path, 3)
+    later = NOW + dt.timedelta(minutes=4)
+    kept = run_cycle(store, NOW.date() + dt.timedelta(days=6), later, full_checks=False)
+    full = run_cycle(store, NOW.date() + dt.timedelta(days=6), later, full_checks=True)
+    assert sorted(map(tuple, kept.quality.collect())) == sorted(map(tuple, full.quality.collect()))
+    assert kept.quality.agg(F.sum("failures")).first()[0] == 6 and kept.freshness.first()["recent_records"] == store.raw().count()
+    assert run_cycle(store, NOW.date() + dt.timedelta(days=6), NOW + dt.timedelta(minutes=6)).freshness.first()["status"] == "WARNING"
