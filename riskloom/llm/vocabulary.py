@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,9 +17,10 @@ import regex
 
 # Characters on which Python and the tokenizer agree about case, letters and
 # digits; a text with any other character is encoded whole by the library.
-PLAIN = regex.compile(r"[\t\n\r\x20-\x7e¡-įı-ɏ]*")
-# The tokenizer's own split (fixed values).
+PLAIN = re.compile(r"[\t\n\r\x20-\x7e¡-įı-ɏ]*")
+# The tokenizer's own split (fixed values), and the same for lower-case ASCII.
 SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+ASCII_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
 KEPT = 400_000
 TOGETHER = 1 << 20
 _encoders: dict[int, Encoder] = {}
@@ -87,7 +89,7 @@ class Encoder:
 
     def _cut(self, words: list[str]) -> list[bytes]:
         """Ids of runs of non-space characters, from the ids of their pieces."""
-        pieces = [SPLIT.findall(w) for w in words]
+        pieces = [(ASCII_SPLIT if w.isascii() else SPLIT).findall(w) for w in words]
         found = self.pieces.learn([p for w in pieces for p in w]).__getitem__
         return [b"".join(map(found, w)) for w in pieces]
 
