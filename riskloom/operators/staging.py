@@ -46,7 +46,10 @@ def quarantine(raw: DataFrame) -> DataFrame:
     """Raw rows that staging would drop or could not read, with the reason."""
     ts = F.col("transaction_timestamp")
     unreadable = ts.isNotNull() & ts.try_cast("timestamp_ntz").isNull()
-    reason = F.when(F.col("transaction_id").isNull(), "no_id").when(unreadable, "unreadable_time")
+    amount = F.col("amount")
+    # NaN, or too large for the declared digits
+    no_amount = amount.isNotNull() & amount.try_cast("decimal(18,2)").isNull()
+    reason = F.when(F.col("transaction_id").isNull(), "no_id").when(unreadable, "unreadable_time").when(no_amount, "unreadable_amount")
     return raw.withColumn("reason", reason).where(F.col("reason").isNotNull())
 
 

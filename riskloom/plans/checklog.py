@@ -68,7 +68,7 @@ class CheckLog:
 
     @property
     def _table(self) -> VersionedTable:
-        return VersionedTable(self.spark, self.path)
+        return VersionedTable(self.spark, self.path, schema=_SCHEMA)
 
     def lines(self) -> DataFrame:
         found = self._table.read()

@@ -216,6 +216,7 @@ class VersionedTable:
     path: str
     layout_by: str | None = None
     buckets: int = 0
+    schema: str | None = None  # if it never changes: spares looking it up in the files
 
     def _versions(self) -> list[int]:
         fs, p = files(self.spark, self.path)
@@ -234,7 +235,8 @@ class VersionedTable:
         if newest is None:
             return None
         if not self.buckets:
-            return self.spark.read.parquet(f"{self.path}/v={newest}")
+            reader = self.spark.read.schema(self.schema) if self.schema else self.spark.read
+            return reader.parquet(f"{self.path}/v={newest}")
         name = self._name(newest)
         if not self.spark.catalog.tableExists(name):
             by = f"clustered by ({self.layout_by}) sorted by ({self.layout_by}) into {self.buckets} buckets"

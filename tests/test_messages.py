@@ -81,6 +81,9 @@ def test_unreadable_timestamp(spark):
         stage_transactions(raw).collect()
     assert stage_transactions(raw, strict=False).first()["transaction_timestamp"] is None
     assert quarantine(raw).count() == 2
+    odd = [raw.limit(1).withColumns({"transaction_id": F.lit(n), "transaction_timestamp": F.lit("2024-01-02"), "amount": F.lit(x)}) for n, x in (("A", float("nan")), ("B", 1e20), ("C", 1e15))]
+    held = quarantine(odd[0].unionByName(odd[1]).unionByName(odd[2])).collect()
+    assert {(r["transaction_id"], r["reason"]) for r in held} == {("A", "unreadable_amount"), ("B", "unreadable_amount")}
 
 
 def test_stream_lands_each_message_once_across_restarts(spark):

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskloom import session
+from riskloom.operators import history, profile
 from riskloom.operators.heat import Heat, measure_heat
 from riskloom.operators.history import PROFILE_BURSTS, SCORE_BURSTS, plain_history
 from riskloom.operators.profile import customer_baseline
@@ -92,6 +93,22 @@ def test_a_bucketed_profile_is_not_shuffled(spark, landed, no_broadcast):
     assert store.baseline.read().count() == rows.count()
 
 
+def test_the_hot_route_reads_the_source_twice(spark, landed, monkeypatch):
+    """Once for all counts, once for the bursts; everything else comes from what they leave."""
+    heat = measure_heat(landed, HotKeyPolicy(min_rows=0, max_keys=1_000_000))
+    sources = []
+    for module in (profile, history):
+        kept = module.written
+        monkeypatch.setattr(module, "written", lambda rows, name, kept=kept: (sources.append((name, raw_scans(rows))), kept(rows, name))[1])
+    df = customer_baseline(landed, AS_OF, RUN_TS, heat=heat)
+    assert sorted(sources) == [("chunks", 1), ("counts", 1)]
+    assert raw_scans(df) == 1  # customers that are not hot
+
+
+def raw_scans(df) -> int:
+    return sum("FileScan" in line and "event_date" in line for line in plan(df).splitlines())
+
+
 def test_every_scan_of_a_refresh_is_pruned(spark, monkeypatch):
     """What a run with few new rows reads: by day, by id, or its own small tables."""
     store = Store(spark, work_folder(spark, "pruned"))
