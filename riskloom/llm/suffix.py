@@ -428,6 +428,12 @@ def remove_repeats(
     only if all its bytes do, so that what is left is text. Null text counts as empty; an empty table
     gives an empty table; other columns stay.
     """
+    others = [c for c in docs.columns if c != text]
+    return _without_repeats(docs, others, length, key, text, whole_characters).toDF(*others, "kept", "n_removed", "n_spans")
+
+
+def _without_repeats(docs: DataFrame, others: list[str], length: int, key: str, text: str, whole_characters: bool) -> DataFrame:
+    """The other columns under hidden names (_0, _1, ...), kept, n_removed, n_spans."""
     spans = repeated_spans(docs, length, key=key, text=text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -455,7 +461,6 @@ def remove_repeats(
             columns = [*b.columns[:-2], pa.array(kept, pa.binary()), pa.array(removed, pa.int64()), pa.array(count, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in out_schema])
 
-    others = [c for c in docs.columns if c != text]
     hidden = [f"_{i}" for i in range(len(others))]
     rows = docs.select(
         *(F.col(c).alias(h) for c, h in zip(others, hidden, strict=True)),
@@ -465,10 +470,13 @@ def remove_repeats(
     )
     joined = rows.join(spans, ["doc", "key"], "left").select(*hidden, "t", "spans")
     out_schema = StructType([*joined.schema.fields[:-2], StructField("kept", BinaryType()), StructField("n_removed", LongType()), StructField("n_spans", LongType())])
-    return joined.mapInArrow(run, out_schema).toDF(*others, "kept", "n_removed", "n_spans")
+    return joined.mapInArrow(run, out_schema)
 
 
 def drop_repeats(docs: DataFrame, length: int = 100, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Docs with all texts freed of repeated whole characters; all rows and columns stay."""
-    left = remove_repeats(docs, length, key=key, text=text, whole_characters=True)
-    return left.withColumn(text, F.col("kept").cast("string")).select(*docs.columns)
+    """Docs with all texts freed of repeated whole characters; all rows and columns stay,
+    whatever the columns are called."""
+    others = [c for c in docs.columns if c != text]
+    left = _without_repeats(docs, others, length, key, text, whole_characters=True)
+    kept = F.col("kept").cast("string").alias(text)
+    return left.select(*[kept if c == text else F.col(f"_{others.index(c)}").alias(c) for c in docs.columns])

@@ -9,8 +9,10 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from riskloom.llm import suffix
-from riskloom.llm.suffix import _prefix, _powers, merged, remove_repeats, suffix_sort
+from riskloom.llm.suffix import _prefix, _powers, drop_repeats, merged, remove_repeats, suffix_sort
 
 
 def brute(rows, length):
@@ -103,3 +105,14 @@ def test_hot_anchors_are_dealt_by_window(spark, monkeypatch, length):
     assert sorted((str(r.doc_id), bytes(r.kept), r.n_removed, r.n_spans) for r in out) == brute(rows, length)
     most = stored["anchors"].where("anchor >= 0").groupBy("gram").count().agg({"count": "max"}).first()[0]
     assert most <= 8 and stored["windows"].where("whole = 1").count() > 8
+
+
+def test_columns_named_like_results_stay(spark):
+    names = ["kept", "n_removed", "n_spans", "doc", "key", "t", "spans", "_0"]
+    passage = "a passage of more than one hundred characters that two documents share, word for word, without any change at all. "
+    docs = spark.createDataFrame([(1, f"first {passage}"), (2, f"second {passage}"), (3, None)], "doc_id long, text string")
+    wide = docs.select("doc_id", *[F.lit(i).alias(n) for i, n in enumerate(names)], "text")
+    out = drop_repeats(wide)
+    got = {r["doc_id"]: r for r in out.collect()}
+    assert out.columns == wide.columns and all(r[n] == i for r in got.values() for i, n in enumerate(names))
+    assert [got[i]["text"].strip() for i in (1, 2, 3)] == [f"first {passage}".strip(), "second", ""]
