@@ -98,9 +98,11 @@ def _sets(docs: DataFrame, wanted: DataFrame, size: int, key: str, text: str) ->
                 out = [s.tobytes() if ok else None for s, ok in zip(sets, same, strict=True)]
                 yield pa.RecordBatch.from_arrays([b.column(0), _binary(out)], names=["class", "shingles"])
 
-    rows = docs.select(F.col(key).alias("first"), text_or_empty(text).alias("t"))
-    rows = rows.join(wanted.select("class", "first"), rows["first"].eqNullSafe(wanted["first"])).select("class", "t")
-    # a repeated key can bring another document's text; repeated rows bring the same set twice
+    rows = docs.select(F.col(key).alias("k"), F.xxhash64(text_or_empty(text)).alias("h"), text_or_empty(text).alias("t"))
+    # by key and text, so that null and repeated keys do not meet all of their rows
+    same = F.col("k").eqNullSafe(F.col("first")) & (F.col("h") == F.col("first_h"))
+    rows = rows.join(wanted.select("class", "first", "first_h"), same).select("class", "t")
+    # equal hashes can bring another text; repeated rows bring the same set twice
     return rows.mapInArrow(run, "class binary, shingles binary").where("shingles is not null").groupBy("class").agg(F.first("shingles").alias("shingles"))
 
 
@@ -171,16 +173,17 @@ def _linked(docs: DataFrame, size: int, part: int, whole: int, key: str, text: s
     class of each bucket, then with all classes of its buckets.
     """
     rows = store(sketches(docs, size, key=key, text=text), "sketches")
+    order = F.struct(F.col("k").isNull(), F.col("k").alias("first"), F.col("h").alias("first_h"))
     classes = rows.where("class is not null").groupBy("class").agg(
-        F.min("k").alias("first"), F.first("n").alias("n"), F.first("registers").alias("registers"), F.first("bands").alias("bands")
+        F.min(order).alias("o"), F.first("n").alias("n"), F.first("registers").alias("registers"), F.first("bands").alias("bands")
     )
-    classes = store(classes, "classes")
+    classes = store(classes.select("class", "o.first", "o.first_h", "n", "registers", "bands"), "classes")
     members = classes.select("class", F.explode("bands").alias("band"))
     # one class of each bucket, a different one in each band
     spread = F.struct(F.xxhash64("class", "band"), F.col("class"))
     buckets = members.groupBy("band").agg(F.count("*").alias("size"), F.min(spread)["class"].alias("pivot")).where("size > 1")
     members = store(members.join(buckets, "band"), "buckets")
-    wanted = members.select("class").distinct().join(classes, "class").select("class", "first")
+    wanted = members.select("class").distinct().join(classes, "class").select("class", "first", "first_h")
     sets = store(_sets(docs, wanted, size, key, text), "sets")
 
     links, labels = None, None

@@ -10,6 +10,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from riskloom.llm import neardup
 from riskloom.llm.components import components
 from riskloom.llm.neardup import drop_near_duplicates, near_duplicates
 from riskloom.llm.sketch import SetSketch
@@ -77,6 +78,27 @@ def test_one_row_of_each_group_stays(spark, rows):
     assert sum(not shingles(t, 5) for _, t in kept) == sum(not n for _, n, *_ in want)
 
 
+def test_null_and_repeated_keys_do_not_multiply(spark, monkeypatch):
+    """300 rows without a key, and 300 of one key: each text is fetched for its own class only."""
+    texts = [" ".join(f"w{i % 150}x{j}" for j in range(20)) + f" end {i}" for i in range(300)]
+    rows = [(None, t) for t in texts] + [(5, t + " more") for t in texts]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    fetched = []
+    kept = neardup._sets
+
+    def watched(*args):
+        found = kept(*args)
+        fetched.append(found.count())
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert "first_h" in plan
+        return found
+
+    monkeypatch.setattr(neardup, "_sets", watched)
+    got = near_duplicates(docs, 3, 85).collect()
+    assert fetched[0] <= 600 and len(got) == 600
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id), r.kept) for r in got) == brute(rows, 3, 85, 100)
+
+
 @settings(max_examples=25, deadline=None)
 @given(st.sets(st.integers(0, 2**63), min_size=1, max_size=60), st.sets(st.integers(0, 2**63), min_size=1, max_size=60))
 def test_sketches_merge(a, b):
