@@ -11,6 +11,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import regex
@@ -65,32 +66,26 @@ class Encoder:
 
     def many(self, texts: list[str]) -> Iterator[np.ndarray]:
         """Ids of each text; unknown words of neighbouring texts are encoded together."""
-        group, unknown, size = [], [], 0
+        group, size = [], 0
         for i, text in enumerate(texts):
             size += len(text)
             if self.by_piece and PLAIN.fullmatch(text) and not any(s in text for s in self.special):
-                words = text.lower().split()
-                found = list(map(self.words.new.get, words))
-                gaps = [(at, words[at]) for at, x in enumerate(found) if x is None] if None in found else []
-                unknown += [w for _, w in gaps]
-                group.append((found, gaps))
+                group.append(text.lower().split())
             else:
-                group.append((text, None))
+                group.append(text)
             if size >= TOGETHER or i == len(texts) - 1:
-                learned = self.words.learn(unknown)
-                for found, gaps in group:
-                    if gaps is None:
+                learned = self.words.learn(set(chain.from_iterable(g for g in group if isinstance(g, list))))
+                for found in group:
+                    if isinstance(found, str):
                         yield np.array(self.tokenizer.encode(found, add_special_tokens=False).ids, dtype="<u4")
-                        continue
-                    for at, word in gaps:
-                        found[at] = learned[word]
-                    yield np.frombuffer(b"".join(found), dtype="<u4")
-                group, unknown, size = [], [], 0
+                    else:
+                        yield np.frombuffer(b"".join(map(learned.__getitem__, found)), dtype="<u4")
+                group, size = [], 0
 
     def _cut(self, words: list[str]) -> list[bytes]:
         """Ids of runs of non-space characters, from the ids of their pieces."""
         pieces = [(ASCII_SPLIT if w.isascii() else SPLIT).findall(w) for w in words]
-        found = self.pieces.learn([p for w in pieces for p in w]).__getitem__
+        found = self.pieces.learn(set(chain.from_iterable(pieces))).__getitem__
         return [b"".join(map(found, w)) for w in pieces]
 
     def _encode(self, pieces: list[str]) -> list[bytes]:
@@ -111,12 +106,12 @@ class Kept:
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def learn(self, names: list[str]) -> dict[str, bytes]:
+    def learn(self, names: set[str]) -> dict[str, bytes]:
         """A dictionary that has all the names."""
-        missing = [n for n in dict.fromkeys(names) if n not in self.new]
+        missing = names.difference(self.new)
         if len(self.new) + len(missing) > KEPT:
             self.old, self.new = self.new, {}
-            missing = list(dict.fromkeys(names))
+            missing = names
         unknown = []
         for n in missing:
             if (found := self.old.get(n)) is None:
