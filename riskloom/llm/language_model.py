@@ -28,6 +28,7 @@ from riskloom.llm.common import ascii_lower, mix, shuffle_partitions, small_side
 
 END = np.uint64(0)  # the end token, and the context of first words; word hashes are odd
 TOKENS = 1_500_000  # of a block; a longer text is a block of its own
+ROWS = 250_000  # seated at a time
 SALT = np.uint64(60)  # a context's pairs are spread by the first bits of the word
 KEPT = 300_000
 _words: dict[bytes, int] = {}
@@ -80,8 +81,15 @@ def seat(customers: np.ndarray, strength: float, discount: float, others: np.nda
             x, o, left = joining[far], opening[far], customers[busy[far]] - at[far]
             target = np.log1p(-u[far])
             stays = lambda m: _rise(x, o) - _rise(x + m, o)  # log probability that m customers join
-            lo, hi = np.ones(len(far)), left.copy()
             last = stays(left) > target
+            # the quotient is nearly a power: look around where that one ends first
+            y = x + (o - 1) / 2
+            guess = np.clip(np.floor(y * np.expm1(np.minimum(-target / o, 700.0))), 1, left)
+            lo, hi = np.ones(len(far)), left.copy()
+            for m in (np.maximum(guess - 1 - np.floor(guess / 1000), 1), np.minimum(guess + 2 + np.floor(guess / 1000), left)):
+                more = stays(m) > target
+                lo, hi = np.where(more, np.maximum(lo, m), lo), np.where(more, hi, np.minimum(hi, m))
+            lo = np.where(last, left, lo)
             while np.any(hi - lo > 1):
                 mid = np.floor((lo + hi) / 2)
                 more = stays(mid) > target
@@ -345,6 +353,20 @@ def _matrix(column: pa.Array, rows: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(rows, -1).astype(np.float64)
 
 
+def _large(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in fewer batches: a sweep takes steps for its largest dish, whatever the rows."""
+    held, rows = [], 0
+    for b in batches:
+        if b.num_rows:
+            held.append(b)
+            rows += b.num_rows
+        if rows >= ROWS:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, rows = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def _unsigned(column: pa.Array) -> np.ndarray:
     return column.to_numpy().view(np.uint64)
 
@@ -377,9 +399,7 @@ def train(index: DataFrame, buckets: int, sweeps: int, strengths: tuple[float, f
         if i:
 
             def tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-                for b in batches:
-                    if not b.num_rows:
-                        continue
+                for b in _large(batches):
                     u, w = _unsigned(b.column(0)), _unsigned(b.column(1))
                     t = sampler.dishes(u, w, b.column(4).to_numpy().astype(np.float64), *(_matrix(b.column(c), b.num_rows) for c in (5, 6, 7)))[-1]
                     x, at = np.unique(np.concatenate([u, w]), return_inverse=True)
@@ -397,9 +417,7 @@ def train(index: DataFrame, buckets: int, sweeps: int, strengths: tuple[float, f
         )
 
         def parents(batches: Iterator[pa.RecordBatch], i: int = i) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                if not b.num_rows:
-                    continue
+            for b in _large(batches):
                 customers, before = _matrix(b.column(7), b.num_rows), _matrix(b.column(8), b.num_rows)
                 now = sampler.parent(_unsigned(b.column(0)), customers[:, i], before[:, -1] if i else None, i)
                 grown = np.column_stack([before, now]).astype(np.int64)
@@ -435,9 +453,7 @@ def _answered(index: DataFrame, sampler: Sampler, words: DataFrame, pairs: DataF
             yield _batch("bucket, i, x", *b.columns[:2], lists)
 
     def of_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if not b.num_rows:
-                continue
+        for b in _large(batches):
             count = b.column(4).to_numpy().astype(np.float64)
             # the last sweep's tables follow from the histories before it
             history = [_matrix(b.column(c), b.num_rows)[:, :-1] for c in (5, 6, 7)]
