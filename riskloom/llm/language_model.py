@@ -112,8 +112,8 @@ class Sampler:
         self.customers: list[float] = []  # of the parent restaurant, per sweep
         self.tables: list[float] = []
 
-    def above(self, customers: np.ndarray, tables: np.ndarray, i: int) -> np.ndarray:
-        """Predictive probability of words in the parent restaurant after sweep i."""
+    def above(self, customers, tables, i: int):
+        """Predictive probability of words in the parent restaurant after sweep i (arrays or columns)."""
         return (customers - self.d0 * tables + (self.s0 + self.d0 * self.tables[i]) * self.base) / (self.s0 + self.customers[i])
 
     def left(self, customers: np.ndarray, tables: np.ndarray) -> np.ndarray:
@@ -123,16 +123,15 @@ class Sampler:
     def salt(self, i: int) -> np.uint64:
         return mix(np.array([self.seed * 1000 + i], np.uint64))[0]
 
-    def dishes(self, u: np.ndarray, w: np.ndarray, count: np.ndarray, tables: np.ndarray, customers: np.ndarray, parents: np.ndarray) -> list[np.ndarray]:
+    def dishes(self, u: np.ndarray, w: np.ndarray, count: np.ndarray, tables: np.ndarray, above: np.ndarray) -> list[np.ndarray]:
         """Tables of pairs after each sweep that the histories allow, and one more.
 
-        Rows of ``tables`` (of the context), ``customers`` and ``parents`` (tables, of
-        the word in the parent) are pairs, columns are sweeps. Sweep 0 opens one table.
+        Rows of ``tables`` (of the context) and ``above`` (probability of the word in
+        the parent) are pairs, columns are sweeps. Sweep 0 opens one table.
         """
         key, found = mix(w ^ mix(u)), [np.ones(len(count))]
         for i in range(tables.shape[1]):
-            p = self.above(customers[:, i], parents[:, i], i)
-            found.append(seat(count, self.s1, self.d1, tables[:, i] - found[-1], p, key ^ self.salt(i + 1)))
+            found.append(seat(count, self.s1, self.d1, tables[:, i] - found[-1], above[:, i], key ^ self.salt(i + 1)))
         return found
 
     def parent(self, w: np.ndarray, customers: np.ndarray, before: np.ndarray | None, i: int) -> np.ndarray:
@@ -389,11 +388,11 @@ def train(index: DataFrame, buckets: int, sweeps: int, strengths: tuple[float, f
     none = F.array().cast("array<long>")
     state = state.withColumns({"tables": none, "customers": none, "parents": none})
 
-    def with_histories(state: DataFrame) -> DataFrame:
-        known = store(state.where("su is not null").select("w", "tables", "customers", "parents"), "histories")
-        known = small_side(known)
-        u, w = known.select(F.col("w").alias("u"), "tables"), known.select("w", "customers", "parents")
-        return pairs.join(u, "u").join(w, "w").select(*_names(PAIR), *_names(HISTORY))
+    def with_histories(state: DataFrame, *columns: str) -> DataFrame:
+        above = [sampler.above(F.col("customers")[i], F.col("parents")[i], i) for i in range(len(sampler.tables))]
+        known = small_side(store(state.where("su is not null").select("w", "tables", F.array(*above).alias("above")), "histories"))
+        u, w = known.select(F.col("w").alias("u"), "tables"), known.select("w", "above")
+        return pairs.select("u", "w", "c", *columns).join(u, "u").join(w, "w").select("u", "w", "c", "tables", "above", *columns)
 
     for i in range(sweeps):
         if i:
@@ -401,7 +400,7 @@ def train(index: DataFrame, buckets: int, sweeps: int, strengths: tuple[float, f
             def tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for b in _large(batches):
                     u, w = _unsigned(b.column(0)), _unsigned(b.column(1))
-                    t = sampler.dishes(u, w, b.column(4).to_numpy().astype(np.float64), *(_matrix(b.column(c), b.num_rows) for c in (5, 6, 7)))[-1]
+                    t = sampler.dishes(u, w, b.column(2).to_numpy().astype(np.float64), *(_matrix(b.column(c), b.num_rows) for c in (3, 4)))[-1]
                     x, at = np.unique(np.concatenate([u, w]), return_inverse=True)
                     n = len(u)
                     sums = [np.bincount(part, t, len(x)).astype(np.int64) for part in (at[:n], at[n:])]
@@ -428,7 +427,7 @@ def train(index: DataFrame, buckets: int, sweeps: int, strengths: tuple[float, f
         state = store(after.mapInArrow(parents, schema), "words")
         found = state.agg(*(F.coalesce(F.sum(F.element_at(c, -1)), F.lit(0)).cast("double") for c in ("customers", "parents"))).first()
         sampler.customers.append(found[0]), sampler.tables.append(found[1])
-    return sampler, state, with_histories(state), tokens
+    return sampler, state, with_histories(state, "bucket", "i"), tokens
 
 
 def _answered(index: DataFrame, sampler: Sampler, words: DataFrame, pairs: DataFrame, burn_in: int, buckets: int, partitions: int) -> DataFrame:
@@ -454,13 +453,13 @@ def _answered(index: DataFrame, sampler: Sampler, words: DataFrame, pairs: DataF
 
     def of_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _large(batches):
-            count = b.column(4).to_numpy().astype(np.float64)
+            count = b.column(2).to_numpy().astype(np.float64)
             # the last sweep's tables follow from the histories before it
-            history = [_matrix(b.column(c), b.num_rows)[:, :-1] for c in (5, 6, 7)]
+            history = [_matrix(b.column(c), b.num_rows)[:, :-1] for c in (3, 4)]
             tables = sampler.dishes(_unsigned(b.column(0)), _unsigned(b.column(1)), count, *history)
             value = count - sampler.d1 * np.mean(tables[burn_in:], axis=0)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1, dtype=np.int32)), pa.array(value.astype(np.float32)))
-            yield _batch("bucket, i, x", b.column(2), b.column(3), lists)
+            yield _batch("bucket, i, x", b.column(5), b.column(6), lists)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unknown = [sampler.above(np.zeros(1), np.zeros(1), i)[0] for i in averaged]
