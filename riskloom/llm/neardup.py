@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import ascii_lower, mix, small_side, store, text_or_empty
@@ -141,36 +141,114 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, part: int, whole: int) -> Data
     return pairs.join(a, "a").join(b, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a binary, b binary")
 
 
-def _shareable(wanted: DataFrame, classes: DataFrame, sets: DataFrame, part: int, whole: int) -> DataFrame:
-    """(class, n, m): sizes, and how many shingles some other wanted class has too.
-
-    No wanted partner has more than m in common, so classes that cannot reach the
-    similarity even so are left out: most members of a group whose copies differ too
-    much from each other.
-    """
+def _exploded(rows: DataFrame) -> DataFrame:
+    """(g, c, s): one row per shingle of rows (g, c, shingles)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole_batch in batches:
             for at in range(0, whole_batch.num_rows, SLICE):
                 b = whole_batch.slice(at, SLICE)
-                found = [np.frombuffer(s.as_buffer(), np.int64) for s in b.column(1)]
-                c = np.repeat(b.column(0).to_numpy(), [len(s) for s in found])
-                yield pa.RecordBatch.from_arrays([pa.array(c), pa.array(np.concatenate(found))], names=["c", "s"])
+                found = [np.frombuffer(s.as_buffer(), np.int64) for s in b.column(2)]
+                if not found:
+                    continue
+                times = [len(s) for s in found]
+                g, c = (pa.array(np.repeat(b.column(i).to_numpy(), times)) for i in (0, 1))
+                yield pa.RecordBatch.from_arrays([g, c, pa.array(np.concatenate(found))], names=["g", "c", "s"])
+
+    return rows.mapInArrow(run, "g long, c long, s long")
+
+
+def _differences(rows: DataFrame) -> DataFrame:
+    """(c, size, s, times) per row (c, size, shingles, core, times): how many shingles
+    are in the row's set or the core but not in both, and the core's shingles that the
+    set lacks, with the number of sets that lack them."""
 
-    number = F.xxhash64("class")
-    rows = wanted.join(sets, "class").select(number.alias("c"), "shingles").mapInArrow(run, "c long, s long")
-    own = rows.groupBy("s").agg(F.count("*").alias("times"), F.min("c").alias("c")).where("times = 1").groupBy("c").agg(F.count("*").alias("own"))
-    out = wanted.join(classes.select("class", "n"), "class").withColumn("c", number).join(own, "c", "left")
-    out = out.select("class", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("m"))
-    return store(out.where(whole * F.col("m") >= part * F.col("n")), "shareable")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole_batch in batches:
+            for at in range(0, whole_batch.num_rows, SLICE):
+                b = whole_batch.slice(at, SLICE)
+                apart, lacking, lacked = [], [], []
+                for i in range(b.num_rows):
+                    own, core = np.frombuffer(b.column(2)[i].as_buffer(), np.int64), b.column(3)[i].values.to_numpy()
+                    there = np.isin(core, own)
+                    apart.append(len(own) + len(core) - 2 * int(there.sum()))
+                    lacking.append(core[~there])
+                    lacked.append(b.column(1)[i].as_py() - b.column(4)[i].values.to_numpy()[~there])
+                lists = [pa.array(x, pa.list_(pa.int64())) for x in (lacking, lacked)]
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(apart, pa.int64()), *lists], names=["c", "apart", "s", "times"])
+
+    return rows.mapInArrow(run, "c long, apart long, s array<long>, times array<long>")
+
+
+GROUP_PART = 256  # classes of a group that meet one copy of its core
+
+
+def _apart(left: DataFrame, classes: DataFrame, sets: DataFrame, part: int, whole: int) -> tuple[DataFrame, DataFrame]:
+    """What decides about pairs within a group of classes: (class, center) and
+    (class, g, s, t, at, m). ``left`` has the buckets (band, class, label) that are not
+    connected; the classes of a bucket are all in one group, a class can be in several.
+
+    A group's core are the shingles of more than half of its sets. With d the number of
+    shingles in a set or the core but not in both, and o the number of these that two
+    sets have in common, the sets differ in d + d' - 2 o shingles. So they are similar
+    if and only if 2 (whole + part) o >= t + t', with t = (whole + part) d - (whole -
+    part) n. Where the right side is at most 0, both sets are similar to the one with
+    the smallest t, the group's center. Else o is 1 or more, and as many of the rarest
+    differences (s) of each set as leave less than the least o that could do meet in
+    one of them; ``at`` counts them from 1, rarest first, of ``m`` that some other set
+    has too.
+    """
+    # named by the component that most classes of a bucket are in, so that buckets of one
+    # group name it alike, and a chance bucket joins few classes of another one to it
+    most = left.groupBy("band", "label").agg(F.count("*").alias("times")).groupBy("band").agg(F.max(F.struct("times", "label"))["label"].alias("group"))
+    groups = left.join(most, "band").select("class", F.xxhash64("group").alias("g")).distinct()
+    number = F.xxhash64("class", "g").alias("c")
+    members = groups.join(sets, "class").join(classes.select("class", "n"), "class").select("class", number, "g", "n", "shingles")
+    members = store(members, "members")
+    shingles = _exploded(members.select("g", "c", "shingles"))
+    sizes = store(members.groupBy("g").agg(F.count("*").alias("size")), "groups")
+    times = shingles.groupBy("g", "s").agg(F.count("*").alias("times")).where("times > 1")
+    times = store(times.join(small_side(sizes), "g"), "times")
+    in_core = F.col("times") * 2 > F.col("size")
+    # the core goes to parts of bounded size, so that no task meets a whole large group
+    parts = F.ceil(F.col("size") / GROUP_PART).cast("long")
+    core = times.where(in_core).groupBy("g").agg(F.collect_list(F.struct("s", "times")).alias("core"))
+    core = sizes.join(core, "g", "left").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+    nothing = F.array().cast("array<struct<s:bigint,times:bigint>>")
+    core = core.select("g", "part", "size", F.coalesce("core", nothing).alias("core"))
+    dealt = members.join(small_side(sizes), "g").withColumn("part", F.pmod("c", parts)).drop("size")
+    met = dealt.join(core, ["g", "part"]).select("c", "size", "shingles", F.col("core.s").alias("core"), F.col("core.times").alias("times"))
+    # the order of the columns is that of the reader
+    apart = store(_differences(met.select("c", "size", "shingles", "core", "times")), "apart")
+    t = (whole + part) * F.col("apart") - (whole - part) * F.col("n")
+    named = store(members.drop("shingles").join(apart.select("c", "apart"), "c").select("class", "c", "g", t.alias("t")), "named")
+    centers = named.groupBy("g").agg(F.min("t").alias("least"), F.min_by("class", F.struct("t", "class")).alias("center"))
+    named = store(named.join(small_side(store(centers, "centers")), "g"), "centered")
+
+    lacks = apart.select("c", F.explode(F.arrays_zip("s", "times")).alias("e")).select("c", "e.s", "e.times").where("times > 1")
+    rare = times.where(~in_core).select("g", "s", "times")
+    has = shingles.join(rare, ["g", "s"]).select("c", "s", "times")
+    rows = lacks.unionByName(has).withColumn("at", F.row_number().over(Window.partitionBy("c").orderBy("times", "s")))
+    rows = rows.withColumn("m", F.count("*").over(Window.partitionBy("c")))
+    rows = rows.join(named, "c")
+    fewest = F.greatest(F.lit(1), F.ceil((F.col("t") + F.col("least")) / (2 * (whole + part))))
+    rows = rows.where(F.col("at") <= F.col("m") - fewest + 1).select("class", "g", "s", "t", "at", "m")
+    return named.select("class", "center"), store(rows, "differences")
+
+
+def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """``label`` of each row's class: its component so far, or the class itself."""
+    return rows.join(labels, rows["class"] == labels["node"], "left").withColumn("label", F.coalesce("label", "class"))
 
 
 def _linked(docs: DataFrame, size: int, part: int, whole: int, key: str, text: str) -> DataFrame:
     """Per row: k, h, n, class, label (of its component; null without shingles) and low, the component's smallest key.
 
-    Pairs are taken in three steps, each only between classes that are not
-    connected yet: every class with one class of its largest bucket, then with one
-    class of each bucket, then with all classes of its buckets.
+    Pairs are taken in steps: every class with one class of its largest bucket, then
+    with one class of each bucket; where a bucket is not connected by then, with the
+    center of its group, then with the classes that share one of its rarest differences
+    from the group's core and that it may still be similar to (see ``_apart``). All but the first and third step are only between classes that are
+    not connected yet.
     """
     rows = store(sketches(docs, size, key=key, text=text), "sketches")
     order = F.struct(F.col("k").isNull(), F.col("k").alias("first"), F.col("h").alias("first_h"))
@@ -187,23 +265,28 @@ def _linked(docs: DataFrame, size: int, part: int, whole: int, key: str, text: s
     sets = store(_sets(docs, wanted, size, key, text), "sets")
 
     links, labels = None, None
-    for step in ("one bucket", "one class of each bucket", "all"):
+    for step in ("one bucket", "one class of each bucket", "center", "differences"):
         if step == "one bucket":
             pairs = members.groupBy("class").agg(F.max_by("pivot", F.struct("size", "band")).alias("pivot"))
             pairs = pairs.select(F.col("class").alias("x"), F.col("pivot").alias("y"))
+        elif step == "one class of each bucket":
+            named = _labelled(members, labels).select("band", "class", "pivot", "label")
+            at = labels.select(F.col("node").alias("pivot"), F.col("label").alias("other"))
+            pairs = named.join(at, "pivot", "left").where(F.col("label") != F.coalesce("other", "pivot")).select(F.col("class").alias("x"), F.col("pivot").alias("y"))
+        elif step == "center":
+            named = _labelled(members, labels).select("band", "class", "label")
+            open_bands = named.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("band")
+            left = store(named.join(open_bands, "band").select("band", "class", "label"), "open")
+            if left.isEmpty():
+                break
+            centers, differences = _apart(left, classes, sets, part, whole)
+            pairs = centers.select(F.col("class").alias("x"), F.col("center").alias("y"))
         else:
-            named = members.join(labels, members["class"] == labels["node"], "left").select("band", "class", "pivot", F.coalesce("label", "class").alias("label"))
-            if step == "all":
-                open_bands = named.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("band")
-                left = store(named.join(open_bands, "band").select("band", "class", "label"), "open")
-                left = left.join(_shareable(left.select("class").distinct(), classes, sets, part, whole), "class")
-                right = left.select("band", *(F.col(c).alias(f"{c}_y") for c in ("class", "label", "n", "m")))
-                common = F.least("m", "m_y")
-                able = whole * common >= part * (F.col("n") + F.col("n_y") - common)
-                pairs = left.join(right, "band").where((F.col("label") < F.col("label_y")) & able).select(F.col("class").alias("x"), F.col("class_y").alias("y"))
-            else:
-                at = labels.select(F.col("node").alias("pivot"), F.col("label").alias("other"))
-                pairs = named.join(at, "pivot", "left").where(F.col("label") != F.coalesce("other", "pivot")).select(F.col("class").alias("x"), F.col("pivot").alias("y"))
+            left = _labelled(differences, labels).select("g", "s", "class", "label", "t", "at", "m")
+            right = left.select("g", "s", *(F.col(c).alias(f"{c}_y") for c in ("class", "label", "t", "at", "m")))
+            common = F.least(F.col("m") - F.col("at"), F.col("m_y") - F.col("at_y")) + 1
+            wanted = (F.col("label") < F.col("label_y")) & (2 * (whole + part) * common >= F.col("t") + F.col("t_y"))
+            pairs = left.join(right, ["g", "s"]).where(wanted).select(F.col("class").alias("x"), F.col("class_y").alias("y"))
         pairs = pairs.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         found = store(_confirmed(_estimated(pairs, classes, part / whole - MARGIN), sets, part, whole), "links")
         links = found if links is None else links.unionByName(found)

@@ -99,6 +99,30 @@ def test_null_and_repeated_keys_do_not_multiply(spark, monkeypatch):
     assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id), r.kept) for r in got) == brute(rows, 3, 85, 100)
 
 
+@pytest.mark.parametrize(("size", "part", "changes"), [(3, 85, 4), (5, 80, 3)])
+def test_copies_that_differ_too_much_take_few_pairs(spark, monkeypatch, size, part, changes):
+    """One text with some words changed in each copy: all share buckets, most pairs are below the threshold."""
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for k in range(300):
+        words = list(base)
+        for at in rng.sample(range(10, 140), changes if k % 3 else rng.randrange(1, 9)):
+            words[at] = f"x{rng.randrange(10 if k % 5 else 10**9)}"
+        rows.append((k, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    tested, kept = [], neardup._estimated
+
+    def watched(pairs, *args):
+        tested.append(pairs.count())
+        return kept(pairs, *args)
+
+    monkeypatch.setattr(neardup, "_estimated", watched)
+    got = near_duplicates(docs, size, part).collect()
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id), r.kept) for r in got) == brute(rows, size, part, 100)
+    assert sum(tested[2:]) < 20 * len(rows), tested
+
+
 @settings(max_examples=25, deadline=None)
 @given(st.sets(st.integers(0, 2**63), min_size=1, max_size=60), st.sets(st.integers(0, 2**63), min_size=1, max_size=60))
 def test_sketches_merge(a, b):
