@@ -10,7 +10,7 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -58,7 +58,13 @@ class Encoder:
         if self.by_piece:
             self.ends[[i for name, i in names.items() if name.endswith(suffix)]] = True
         self.bits = max(1, int(self.tokenizer.get_vocab_size()).bit_length())
-        self.words, self.pieces = Kept(self._cut), Kept(self._encode)
+        splits = [n["type"] for n in (parts.get("pre_tokenizer") or {}).get("pretokenizers", [])]
+        self.plain = self.tokenizer
+        if self.by_piece and splits == ["Split", "ByteLevel"]:
+            # pieces are normalized and split already: the same model without these two steps
+            parts["normalizer"], parts["pre_tokenizer"]["pretokenizers"][0] = None, {"type": "WhitespaceSplit"}
+            self.plain = Tokenizer.from_str(json.dumps(parts))
+        self.words = Kept(self._make)
 
     def ids(self, text: str) -> np.ndarray:
         """Ids of a whole text without added special tokens."""
@@ -82,15 +88,25 @@ class Encoder:
                         yield np.frombuffer(b"".join(map(learned.__getitem__, found)), dtype="<u4")
                 group, size = [], 0
 
-    def _cut(self, words: list[str]) -> list[bytes]:
-        """Ids of runs of non-space characters, from the ids of their pieces."""
-        pieces = [(ASCII_SPLIT if w.isascii() else SPLIT).findall(w) for w in words]
-        found = self.pieces.learn(set(chain.from_iterable(pieces))).__getitem__
-        return [b"".join(map(found, w)) for w in pieces]
+    def _make(self, words: list[str], known: Callable[[str], bytes | None]) -> dict[str, bytes]:
+        """Ids of runs of non-space characters and of the pieces they are cut into.
+
+        A piece alone is cut into itself, so words and pieces share one dictionary.
+        """
+        cut = {w: (ASCII_SPLIT if w.isascii() else SPLIT).findall(w) for w in words if not w.isalpha()}
+        made = dict.fromkeys(w for w in words if w.isalpha())
+        for piece in set(chain.from_iterable(cut.values())):
+            made[piece] = known(piece)
+        unknown = [piece for piece, ids in made.items() if ids is None]
+        made.update(zip(unknown, self._encode(unknown), strict=True))
+        found = made.__getitem__
+        made.update({w: b"".join(map(found, pieces)) for w, pieces in cut.items() if len(pieces) > 1})
+        return made
 
     def _encode(self, pieces: list[str]) -> list[bytes]:
         """Ids of pieces: encoded as one text and cut at the ends of words."""
-        ids = np.array(self.tokenizer.encode(" ".join(pieces), add_special_tokens=False).ids, dtype="<u4")
+        (found,) = self.plain.encode_batch_fast([" ".join(pieces)], add_special_tokens=False)
+        ids = np.array(found.ids, dtype="<u4")
         cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist()
         if len(cuts) != len(pieces) or (cuts and cuts[-1] != len(ids)):
             raise ValueError("the tokenizer splits its input in an unknown way")
@@ -119,5 +135,9 @@ class Kept:
             else:
                 self.new[n] = found
         if unknown:
-            self.new.update(zip(unknown, self.make(unknown), strict=True))
+            self.new.update(self.make(unknown, self.known))
         return self.new
+
+    def known(self, name: str) -> bytes | None:
+        found = self.new.get(name)
+        return self.old.get(name) if found is None else found

@@ -61,6 +61,18 @@ def test_pieces_equal_whole_text_encoding(text):
     assert COUNTER.count([text]) == [len(COUNTER.model.encode(text))]
 
 
+def test_words_and_pieces_are_kept_once(monkeypatch):
+    """A worker keeps a bounded number of strings in all, and ids stay those of whole texts."""
+    monkeypatch.setattr("riskloom.llm.vocabulary.KEPT", 300)
+    monkeypatch.setattr("riskloom.llm.vocabulary.TOGETHER", 400)
+    encoder = Encoder(definition(WORD))
+    texts = [" ".join(f"w{'abcdefgh'[i % 8]}{chr(97 + j % 26)}x{'.,é'[j % 3]}q{chr(97 + i % 26)}" for j in range(20)) for i in range(60)] + ["don't I'll 'S ''s a1b2"]
+    kept = [x for x in vars(encoder).values() if hasattr(x, "learn")]
+    for t, ids in zip(texts * 2, encoder.many(texts * 2), strict=True):
+        assert ids.tolist() == ids_of(t)[:-1]
+        assert 0 < sum(len(k.new) + len(k.old) for k in kept) <= 2 * 300 + 100
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 40), max_size=1500))
 def test_wavelet_matrix(ids):
