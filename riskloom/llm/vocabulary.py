@@ -11,7 +11,7 @@ import json
 import os
 import re
 from collections.abc import Callable, Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import regex
@@ -72,21 +72,28 @@ class Encoder:
 
     def many(self, texts: list[str]) -> Iterator[np.ndarray]:
         """Ids of each text; unknown words of neighbouring texts are encoded together."""
-        group, size = [], 0
+        group, unknown, size = [], set(), 0
         for i, text in enumerate(texts):
             size += len(text)
             if self.by_piece and PLAIN.fullmatch(text) and not any(s in text for s in self.special):
-                group.append(text.lower().split())
+                words = text.lower().split()
+                parts = list(map(self.words.new.get, words))
+                gaps = [(at, words[at]) for at, ids in enumerate(parts) if ids is None]
+                unknown.update(w for _, w in gaps)
+                group.append((parts, gaps))
             else:
                 group.append(text)
             if size >= TOGETHER or i == len(texts) - 1:
-                learned = self.words.learn(set(chain.from_iterable(g for g in group if isinstance(g, list))))
+                learned = self.words.learn(unknown)
                 for found in group:
                     if isinstance(found, str):
                         yield np.array(self.tokenizer.encode(found, add_special_tokens=False).ids, dtype="<u4")
                     else:
-                        yield np.frombuffer(b"".join(map(learned.__getitem__, found)), dtype="<u4")
-                group, size = [], 0
+                        parts, gaps = found
+                        for at, w in gaps:
+                            parts[at] = learned[w]
+                        yield np.frombuffer(b"".join(parts), dtype="<u4")
+                group, unknown, size = [], set(), 0
 
     def _make(self, words: list[str], known: Callable[[str], bytes | None]) -> dict[str, bytes]:
         """Ids of runs of non-space characters and of the pieces they are cut into.
@@ -115,7 +122,11 @@ class Encoder:
 
 
 class Kept:
-    """What ``make`` gives for strings, kept in two generations of bounded size."""
+    """What ``make`` gives for at most twice ``KEPT`` strings.
+
+    Beyond that the latest ``KEPT`` become the old ones, and those of them that are met
+    again are new ones once more. As long as all fit, none is made twice.
+    """
 
     def __init__(self, make):
         self.make = make
@@ -125,8 +136,9 @@ class Kept:
     def learn(self, names: set[str]) -> dict[str, bytes]:
         """A dictionary that has all the names."""
         missing = names.difference(self.new)
-        if len(self.new) + len(missing) > KEPT:
-            self.old, self.new = self.new, {}
+        if len(self.new) + len(missing) > (KEPT if self.old else 2 * KEPT):
+            latest = islice(self.new.items(), max(0, len(self.new) - KEPT), None)
+            self.old, self.new = dict(latest), {}
             missing = names
         unknown = []
         for n in missing:

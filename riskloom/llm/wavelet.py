@@ -39,7 +39,7 @@ class WaveletMatrix:
             ones = (x & kind(1 << (bits - 1 - level))).astype(bool)
             planes[level] = np.packbits(ones)
             zeros.append(len(x) - int(np.count_nonzero(ones)))
-            x = np.concatenate([x[~ones], x[ones]])
+            x = np.concatenate([x.compress(~ones), x.compress(ones)])
         return cls(len(x), bits, planes, zeros)
 
     def to_bytes(self) -> bytes:
@@ -117,8 +117,8 @@ class WaveletMatrix:
         for level in reversed(range(self.bits)):
             ones = np.unpackbits(self.planes[level], count=self.n).astype(bool)
             up = np.empty_like(values)
-            up[~ones] = values[: self.zeros[level]]
-            up[ones] = values[self.zeros[level] :] | kind(1 << (self.bits - 1 - level))
+            up[np.flatnonzero(~ones)] = values[: self.zeros[level]]
+            up[np.flatnonzero(ones)] = values[self.zeros[level] :] | kind(1 << (self.bits - 1 - level))
             values = up
         return values
 

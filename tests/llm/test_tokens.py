@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 
 from riskloom.llm.packing import Plan, fill, pack
 from riskloom.llm.token_count import Counter, count_tokens
-from riskloom.llm.vocabulary import Encoder, definition
+from riskloom.llm.vocabulary import Encoder, Kept, definition
 from riskloom.llm.wavelet import WaveletMatrix, documents_of, read_shards, write_shards
 
 PIECE, WORD = public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("word_bpe_49k.json")
@@ -73,6 +73,22 @@ def test_words_and_pieces_are_kept_once(monkeypatch):
         assert 0 < sum(len(k.new) + len(k.old) for k in kept) <= 2 * 300 + 100
 
 
+def test_words_that_fit_are_made_once(monkeypatch):
+    monkeypatch.setattr("riskloom.llm.vocabulary.KEPT", 300)
+    made = []
+    kept = Kept(lambda words, known: made.extend(words) or {w: w.encode() for w in words})
+    groups = [{f"w{i}" for i in range(lo, lo + 50)} for lo in range(0, 550, 50)]
+    for g in groups * 3:
+        found = kept.learn(g)
+        assert all(found[w] == w.encode() for w in g)
+    assert sorted(made) == sorted(set().union(*groups))
+    for lo in range(1000, 9000, 50):
+        # one that is met all the time is made again at most once
+        kept.learn({f"w{i}" for i in range(lo, lo + 50)} | {"w549"})
+        assert len(kept.new) + len(kept.old) <= 600
+    assert made.count("w549") <= 2
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 40), max_size=1500))
 def test_wavelet_matrix(ids):
